@@ -239,11 +239,15 @@ TEXT_NAMES = {"store_id", "id", "air_area_name", "ext_store_id"}
 DATE_NAMES = {"end_date", "visit_date"}
 
 
-def normalize_sql(inner: str, columns: list[str], int_cols=None, text_cols=(), date_cols=()) -> str:
-    """Cast integers to BIGINT and round doubles to 6 decimals (-0.0 -> 0.0)."""
+def normalize_sql(inner: str, columns: list[str], int_cols=None, text_cols=(), date_cols=(),
+                  keep_cols=()) -> str:
+    """Cast integers to BIGINT and round doubles to 6 decimals (-0.0 -> 0.0);
+    ``keep_cols`` (e.g. timestamps) pass through."""
     out = []
     for c in columns:
-        if c in TEXT_NAMES or c in text_cols:
+        if c in keep_cols:
+            out.append(qi(c))
+        elif c in TEXT_NAMES or c in text_cols:
             out.append(f"cast({qi(c)} as varchar) as {qi(c)}")
         elif c in DATE_NAMES or c in date_cols:
             out.append(f"cast({qi(c)} as date) as {qi(c)}")

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 def _load():
     from footfall.plans import queries  # noqa: F401  (registers snapshot queries)
+    from footfall.plans import queries_profile  # noqa: F401
     return queries
 
 
