@@ -49,6 +49,23 @@ FIXTURE_SQL = {
 }
 
 
+FIXTURE_SQL.update({
+    "fx_reg": """select o_orderkey, count(*) as n_lines, sum(l_quantity) as qty, max(l_discount) as max_disc,
+        o_orderpriority, o_totalprice as y
+        from orders join lineitem on l_orderkey = o_orderkey group by o_orderkey, o_orderpriority, o_totalprice""",
+    "fx_clf": """select labels.doc_id, n_chars, lang, source, quality as y, toxic
+        from labels join documents on labels.doc_id = documents.doc_id""",
+    "fx_cat": """select p_partkey, p_brand, p_type, p_size, case when p_retailprice >= 950 then 1 else 0 end as y
+        from part""",
+    "fx_scores": """select doc_id, y, (n_chars % 1000) / 1000.0::double as score from fx_clf""",
+    "fx_multi": """select vec_id, label as y, cast((vec_id * 7) % 10 as integer) as pred from embeddings""",
+})
+
+
+def md5_mod_sql(key: str, k: int) -> str:
+    return f"((('0x' || substr(md5(cast({key} as varchar)), 1, 8))::bigint) % {k})"
+
+
 def _anchor_values() -> str:
     rows = ", ".join(f"(date '{a.end_date.isoformat()}', {a.horizon})" for a in FX.fixture_anchors())
     return f"select * from (values {rows}) t(end_date, horizon)"
@@ -240,7 +257,7 @@ DATE_NAMES = {"end_date", "visit_date"}
 
 
 def normalize_sql(inner: str, columns: list[str], int_cols=None, text_cols=(), date_cols=(),
-                  keep_cols=()) -> str:
+                  keep_cols=(), digits: int = 6) -> str:
     """Cast integers to BIGINT and round doubles to 6 decimals (-0.0 -> 0.0);
     ``keep_cols`` (e.g. timestamps) pass through."""
     out = []
@@ -254,7 +271,7 @@ def normalize_sql(inner: str, columns: list[str], int_cols=None, text_cols=(), d
         elif (int_cols is not None and c in int_cols) or (int_cols is None and INT_NAME.search(c)):
             out.append(f"cast({qi(c)} as bigint) as {qi(c)}")
         else:
-            out.append(f"round(cast({qi(c)} as double), 6) + 0.0 as {qi(c)}")
+            out.append(f"round(cast({qi(c)} as double), {digits}) + 0.0 as {qi(c)}")
     return f"select {', '.join(out)} from ({inner}) q"
 
 

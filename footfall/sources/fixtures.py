@@ -123,3 +123,43 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     cal = bounds.select(F.explode(F.sequence("lo", "hi")).alias("visit_date"))
     return cal.select("visit_date",
                       F.dayofmonth("visit_date").isin(*FIXTURE_HOLIDAY_DAYS).cast("int").alias("holiday_flg"))
+
+
+# ----------------------------------------------- model-selection inputs ----
+def regression_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order: o_orderkey, n_lines, qty, max_disc, o_orderpriority, y (total price)."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_discount")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    return (o.join(li, o.o_orderkey == li.l_orderkey)
+             .groupBy("o_orderkey", "o_orderpriority", "o_totalprice")
+             .agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("qty"),
+                  F.max("l_discount").alias("max_disc"))
+             .select("o_orderkey", "n_lines", "qty", "max_disc", "o_orderpriority",
+                     F.col("o_totalprice").alias("y")))
+
+
+def classification_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents (imbalanced): doc_id, n_chars, lang, source, y (quality), toxic."""
+    lb = table(spark, sf_dir, "labels")
+    d = table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang", "source")
+    return lb.join(d, "doc_id").select("doc_id", "n_chars", "lang", "source",
+                                       F.col("quality").alias("y"), "toxic")
+
+
+def categorical_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts with categorical features: p_partkey, p_brand, p_type, p_size, y (price >= 950)."""
+    p = table(spark, sf_dir, "part")
+    return p.select("p_partkey", "p_brand", "p_type", "p_size",
+                    (F.col("p_retailprice") >= 950).cast("int").alias("y"))
+
+
+def binary_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deterministic score per labelled document: doc_id, y, score in [0, 1)."""
+    return classification_rows(spark, sf_dir).select(
+        "doc_id", "y", ((F.col("n_chars") % 1000) / F.lit(1000.0)).alias("score"))
+
+
+def multiclass_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deterministic 10-class prediction per vector: vec_id, y, pred."""
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", F.col("label").alias("y"), ((F.col("vec_id") * 7) % 10).cast("int").alias("pred"))
