@@ -7,6 +7,7 @@ def _load():
     from footfall.plans import queries  # noqa: F401  (registers snapshot queries)
     from footfall.plans import queries_profile  # noqa: F401
     from footfall.plans import queries_eval  # noqa: F401
+    from footfall.plans import queries_models  # noqa: F401
     return queries
 
 
