@@ -16,13 +16,15 @@ small blocks with a checked or proven size and are broadcast.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall import constants as K
 from footfall.operators import diffs, features as FE, reserve as RS, weather as WX
-from footfall.operators.anchors import Anchor
+from footfall.operators.anchors import Anchor, horizon_bounds
+from footfall.session import materialize
 from footfall.operators.snapshot import base_fact, calendar_dim, history, label_rows, store_dim
 
 ALL_FAMILIES = ("store", "store_dow", "diff", "genre", "reserve", "weather", "ratios")
@@ -58,12 +60,20 @@ def _genre_small(sdim: DataFrame, n_anchors: int) -> bool:
 
 def create_snapshots(inp: ForecastInputs, anchors: list[Anchor], families=ALL_FAMILIES,
                      weather_mode: str = "as_reference", median_mode: str = "exact",
-                     lookbacks=K.LOOKBACKS) -> DataFrame:
-    """One wide row per (anchor, store, horizon day): labels + features."""
+                     lookbacks=K.LOOKBACKS, materialize_base: bool = True) -> DataFrame:
+    """One wide row per (anchor, store, horizon day): labels + features.
+
+    The base fact feeds labels, history and differences (about eight
+    branches); it is restricted to the dates any anchor can read and written
+    once to the checkpoint folder, so no branch recomputes its inputs."""
     families = set(families)
     sdim = store_dim(inp.stores)
     cal = calendar_dim(inp.calendar)
     base = base_fact(inp.visits, sdim, cal, inp.submission)
+    if materialize_base:
+        lo = min(a.end_date for a in anchors) - timedelta(days=max(max(lookbacks), max(diffs.K.DIFF_WINDOWS)))
+        _, hi = horizon_bounds(anchors)
+        base = materialize(base.where((F.col("visit_date") > F.lit(lo)) & (F.col("visit_date") < F.lit(hi))))
     labels = label_rows(base, anchors, cal).select(*LABEL_COLUMNS)
     out_cols = [F.col(c) for c in LABEL_COLUMNS]
 

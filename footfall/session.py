@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -41,13 +41,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) a scratch folder is created.
+    as is.  Only when it is unset and the master is local (tests) a scratch
+    folder is created; a cluster without the setting is an error, since a
+    machine-local folder would not survive the loss of that machine.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(current)
         return current
+    if sc.getCheckpointDir() is not None:
+        return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
     path = tempfile.mkdtemp(prefix="footfall-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and cut its lineage.
+
+    Used where one intermediate feeds many branches of a plan: the branches
+    read the written copy instead of recomputing it, and a lost executor
+    costs a re-read, not a replay of the whole upstream plan."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
