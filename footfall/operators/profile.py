@@ -35,20 +35,34 @@ def relative_frequency(df: DataFrame, col: str) -> DataFrame:
     return vc.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
 
 
-def describe(df: DataFrame, cols: list[str]) -> DataFrame:
-    """count, mean, std (sample), min, exact quartiles (linear interpolation,
-    as pandas), max -- one row per column (A-18)."""
+def describe(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:
+    """count, mean, std (sample), min, quartiles (linear interpolation, as
+    pandas), max -- one row per column (A-18).
+
+    Moments come from one aggregate.  Quartiles use distributed exact
+    selection (``ranking.exact_quantiles``): a global ``percentile`` would
+    merge one map entry per distinct value in a single task.  ``exact=False``
+    uses ``percentile_approx`` instead."""
+    from footfall.operators.ranking import exact_quantiles
     aggs = []
     for i, c in enumerate(cols):
         v = _q(c).cast("double")
         aggs += [F.count(v).alias(f"count_{i}"), F.avg(v).alias(f"mean_{i}"),
-                 F.stddev_samp(v).alias(f"std_{i}"), F.min(v).alias(f"min_{i}"),
-                 F.percentile(v, 0.25).alias(f"p25_{i}"), F.percentile(v, 0.5).alias(f"p50_{i}"),
-                 F.percentile(v, 0.75).alias(f"p75_{i}"), F.max(v).alias(f"max_{i}")]
+                 F.stddev_samp(v).alias(f"std_{i}"), F.min(v).alias(f"min_{i}"), F.max(v).alias(f"max_{i}")]
+        if not exact:
+            aggs += [F.percentile_approx(v, [0.25, 0.5, 0.75], 10000).alias(f"q_{i}")]
     wide = df.agg(*aggs)
-    stats = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
-    rows = [F.struct(F.lit(c).alias("column_name"), *[F.col(f"{s}_{i}").alias(s) for s in stats])
-            for i, c in enumerate(cols)]
+    rows = []
+    for i, c in enumerate(cols):
+        if exact:
+            qs = exact_quantiles(df, c, [0.25, 0.5, 0.75])
+            p25, p50, p75 = (F.lit(qs[p]).cast("double") for p in (0.25, 0.5, 0.75))
+        else:
+            p25, p50, p75 = (F.col(f"q_{i}")[j].cast("double") for j in range(3))
+        rows.append(F.struct(F.lit(c).alias("column_name"), F.col(f"count_{i}").alias("count"),
+                             F.col(f"mean_{i}").alias("mean"), F.col(f"std_{i}").alias("std"),
+                             F.col(f"min_{i}").alias("min"), p25.alias("p25"), p50.alias("p50"),
+                             p75.alias("p75"), F.col(f"max_{i}").alias("max")))
     return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 

@@ -88,3 +88,15 @@ def test_classification_report_macro_and_weighted(spark):
     f1s = [rep[c]["f1"] for c in ("0", "1", "2")]
     assert rep["macro avg"]["f1"] == pytest.approx(sum(f1s) / 3)
     assert rep["accuracy"]["f1"] == pytest.approx(4 / 6)
+
+
+def test_exact_quantiles_match_numpy_with_ties(spark):
+    from footfall.operators.ranking import exact_quantiles
+    rng = np.random.default_rng(1)
+    vals = np.concatenate([rng.normal(size=1500), np.full(1000, 1.5), rng.integers(0, 5, 500).astype(float)])
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+    # tiny buckets and local limit force several refinement levels
+    got = exact_quantiles(df, "v", probs, n_buckets=10, local_limit=50)
+    for p in probs:
+        assert got[p] == pytest.approx(float(np.quantile(vals, p)), abs=1e-12)
