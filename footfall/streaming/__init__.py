@@ -1,0 +1,5 @@
+"""Incremental ingest of the pipeline's daily fact with Structured Streaming."""
+
+from footfall.streaming.ingest import daily_totals_stream, start_daily_totals
+
+__all__ = ["daily_totals_stream", "start_daily_totals"]
