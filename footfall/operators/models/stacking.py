@@ -67,6 +67,65 @@ def fit_stacking(df: DataFrame, key: str, base: dict, meta_estimator, k: int = 5
     return StackingModel(full, meta, names)
 
 
+def fit_stacking_classifier(df: DataFrame, key: str, base: dict, meta_estimator, k: int = 5,
+                            meta_features: str = "__meta") -> StackingModel:
+    """Stacked classifier: meta learner on out-of-fold class-1 probabilities
+    (or predictions, for learners without probabilities)."""
+    from pyspark.ml.functions import vector_to_array
+    names = sorted(base)
+
+    class _Prob:
+        def __init__(self, est, name):
+            self.est, self.name = est, name
+
+        def fit(self, d):
+            model = _with_prediction_col(self.est, f"__pp_{self.name}").fit(d)
+            return _ProbModel(model, self.name)
+
+    class _ProbModel:
+        def __init__(self, model, name):
+            self.model, self.name = model, name
+
+        def transform(self, d):
+            keep = d.columns
+            out = self.model.transform(d)
+            prob_col = f"__pp_{self.name}_probabilityCol"
+            val = (F.get(vector_to_array(F.col(prob_col)), 1) if prob_col in out.columns
+                   else F.col(f"__pp_{self.name}"))
+            return out.select(*keep, val.alias(f"pred_{self.name}"))
+
+    wrapped = {n: _Prob(base[n], n) for n in names}
+    folded = kfold(df, key, k, "__stack_fold").cache()
+    parts = []
+    for f in range(k):
+        train, hold = folded.where(F.col("__stack_fold") != f), folded.where(F.col("__stack_fold") == f)
+        scored = hold
+        for n in names:
+            scored = wrapped[n].fit(train).transform(scored)
+        parts.append(scored)
+    oof = parts[0]
+    for p in parts[1:]:
+        oof = oof.unionByName(p)
+    meta = Pipeline(stages=[VectorAssembler(inputCols=[f"pred_{n}" for n in names], outputCol=meta_features),
+                            meta_estimator.setFeaturesCol(meta_features)]).fit(oof)
+    full = {n: wrapped[n].fit(folded) for n in names}
+    folded.unpersist()
+    return _ClassifierStack(full, meta, names)
+
+
+@dataclass
+class _ClassifierStack:
+    base: dict
+    meta: object
+    names: list
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        out = df
+        for name in self.names:
+            out = self.base[name].transform(out)
+        return self.meta.transform(out)
+
+
 @dataclass
 class CalibratedSVC:
     svc: object
@@ -85,7 +144,7 @@ def fit_calibrated_svc(df: DataFrame, key: str, features: str, label: str, k: in
     on out-of-fold margins (Platt scaling)."""
     from pyspark.ml.functions import vector_to_array
     svc = LinearSVC(featuresCol=features, labelCol=label, rawPredictionCol="__raw",
-                    predictionCol="__svc_pred", regParam=reg_param, standardization=False)
+                    predictionCol="__svc_pred", regParam=reg_param, standardization=True, tol=1e-4)
     folded = kfold(df, key, k, "__cal_fold").cache()
     parts = []
     for f in range(k):

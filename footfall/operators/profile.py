@@ -29,10 +29,12 @@ def value_counts(df: DataFrame, col: str, count_col: str = "n") -> DataFrame:
 
 
 def relative_frequency(df: DataFrame, col: str) -> DataFrame:
-    """(value, n, share) with share = n / total (A-17).  The total is a
-    window over the grouped rows only (as many rows as distinct values)."""
-    vc = df.where(_q(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    return vc.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+    """(value, n, share) with share = n / total (A-17).  The total is one
+    global count, so no window ever gathers the groups into one task."""
+    kept = df.where(_q(col).isNotNull())
+    total = kept.count()
+    vc = kept.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    return vc.withColumn("share", F.col("n") / F.lit(float(total)) if total else F.lit(None).cast("double"))
 
 
 def describe(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:

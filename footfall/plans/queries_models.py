@@ -20,7 +20,7 @@ from footfall.operators.models import estimators as ES
 from footfall.operators.models import search as S
 from footfall.operators.models.linear import fit_ols, recursive_feature_elimination
 from footfall.operators.models.naive_bayes import fit_gaussian_nb
-from footfall.operators.models.stacking import fit_calibrated_svc, fit_stacking
+from footfall.operators.models.stacking import fit_calibrated_svc, fit_stacking, fit_stacking_classifier
 from footfall.plans import forecast as FC
 from footfall.plans.inputs import fixture_inputs
 from footfall.plans.normalize import normalize
@@ -287,3 +287,39 @@ def q_m06_gbt_weighted(spark, sf):
     pred = model.transform(split.where(F.col("is_test") == 1)) \
                 .select(F.col("label").cast("int").alias("y"), F.get(vector_to_array("probability"), 1).alias("s"))
     return M.roc_auc(pred, "y", "s")
+
+
+@register("q_p03_expr_filter", with_ctes({"fx_clf": FIXTURE_SQL["fx_clf"]},
+          "select doc_id, lang, source, cast(n_chars as bigint) as n_chars from fx_clf where y = 1 and toxic = 0"))
+def q_p03_expr_filter(spark, sf):
+    """Filter by a predicate given as an expression string (P-03)."""
+    df = FX.classification_rows(spark, sf).where("y == 1 and toxic == 0")
+    return normalize(df.select("doc_id", "lang", "source", "n_chars"))
+
+
+@register("q_v07_ts_cv_forecast", None)
+def q_v07_ts_cv_forecast(spark, sf):
+    """Time-series CV with early stopping; the test anchor's predictions are
+    the mean over fold models (V-07, M-05)."""
+    snaps = create_snapshots(fixture_inputs(spark, sf), fixture_anchors()).cache()
+    last = max(a.end_date for a in fixture_anchors())
+    feats = FC.predictors(snaps.columns)
+    va, models = FC.fit_forecaster_ts_cv(snaps.where(F.col("end_date") < F.lit(last)), feats,
+                                         n_splits=3, max_iter=20)
+    return FC.predict_averaged(va, models, snaps.where(F.col("end_date") == F.lit(last)))
+
+
+@register("q_m13_stacking_clf", None)
+def q_m13_stacking_clf(spark, sf):
+    """Stacked classifier: tree, logistic and naive Bayes base learners,
+    logistic meta learner on out-of-fold probabilities (M-13)."""
+    df = cat_frame(spark, sf)
+    split = holdout(df, "p_partkey")
+    train, test = split.where(F.col("is_test") == 0), split.where(F.col("is_test") == 1)
+    base = {"tree": ES.pipeline(CAT_FEATURES, ES.classifier("DecisionTree")),
+            "logit": ES.pipeline(CAT_FEATURES, ES.classifier("LogisticRegression")),
+            "nb": ES.pipeline(CAT_FEATURES, ES.classifier("GaussianNB"))}
+    model = fit_stacking_classifier(train, "p_partkey", base, LogisticRegression(labelCol="label"), k=3)
+    pred = model.transform(test).select(F.col("label").cast("int").alias("y"),
+                                        F.col("prediction").cast("int").alias("p"))
+    return M.binary_metrics(pred, "y", "p")
