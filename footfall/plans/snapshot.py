@@ -112,14 +112,14 @@ def create_snapshots(inp: ForecastInputs, anchors: list[Anchor], families=ALL_FA
         out = out.join(gb, ["end_date", "air_genre_name"], "left")
         out_cols += FE.select_genre_features(lookbacks)
 
-    result = out.select(*out_cols)
     if "ratios" in families:
-        result = result.select("*", *[(F.col(a) / (F.col(b) + F.lit(K.RATIO_EPS))).alias(name)
-                                      for name, a, b in K.RATIOS])
+        # the raw means are columns of ``out``; fill and divide in the same projection
+        mean = lambda name: FE.fill0(FE.q(name))
+        ratio_cols = [(mean(a) / (mean(b) + F.lit(K.RATIO_EPS))).alias(name) for name, a, b in K.RATIOS]
         if "store" not in families or "genre" not in families:
-            keep = set(LABEL_COLUMNS) | {n for n, _, _ in K.RATIOS}
-            result = result.select(*[FE.q(c) for c in result.columns if c in keep])
-    return result
+            return out.select(*[F.col(c) for c in LABEL_COLUMNS], *ratio_cols)
+        return out.select(*out_cols, *ratio_cols)
+    return out.select(*out_cols)
 
 
 def feature_columns(families=ALL_FAMILIES, weather_measures=(), lookbacks=K.LOOKBACKS) -> list[str]:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "footfall") -> SparkSession:
+                app_name: str = "footfall", extra: dict[str, str] | None = None) -> SparkSession:
     master = master or os.environ.get("FOOTFALL_MASTER", "local[8]")
     parts = shuffle_partitions or int(os.environ.get("FOOTFALL_SHUFFLE_PARTITIONS", "8"))
     builder = (
@@ -31,6 +31,11 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         # wide snapshot plans (hundreds of aggregate columns)
         .config("spark.sql.codegen.maxFields", "1000")
     )
+    event_dir = os.environ.get("FOOTFALL_EVENT_LOG_DIR")
+    if event_dir:   # stage/task timings for profiling, written to a scratch folder
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
