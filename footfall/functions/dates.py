@@ -12,9 +12,12 @@ def weekday(d: Column) -> Column:
 
 
 def floor_day_diff(late: Column, early: Column) -> Column:
-    """Whole days between two timestamps, floored (-14 h -> -1, +14 h -> 0)."""
-    seconds = (F.unix_micros(late.cast("timestamp")) - F.unix_micros(early.cast("timestamp")))
-    return F.floor(seconds / F.lit(86_400_000_000)).cast("int")
+    """Whole days between two timestamps, floored (-14 h -> -1, +14 h -> 0).
+
+    Computed on wall-clock (``timestamp_ntz``) values, so the session time
+    zone and its daylight-saving changes never shift the count."""
+    seconds = F.timestamp_diff("SECOND", early.cast("timestamp_ntz"), late.cast("timestamp_ntz"))
+    return F.floor(seconds / F.lit(86_400)).cast("int")
 
 
 def calendar_flag_columns(visit_date: Column, holiday_flg: Column) -> dict[str, Column]:

@@ -17,17 +17,25 @@ from pyspark.sql.streaming import StreamingQuery
 from footfall.session import ensure_checkpoint_dir
 
 
+def _wall_clock_as_utc(c):
+    """The wall-clock value of ``c`` as a UTC instant, so 1-day windows are
+    calendar days whatever the session time zone (watermarks need a zoned
+    timestamp; ``timestamp_ntz`` is not accepted)."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, c.cast("timestamp_ntz")))
+
+
 def daily_totals_stream(records: DataFrame, ts_col: str, key_col: str, value_col: str,
                         out_key: str = "store_id", out_value: str = "visitors",
                         lateness: str = "1 day") -> DataFrame:
     """(key, visit_date, total) per closed day; rows later than ``lateness``
     behind the newest event are dropped by the watermark."""
-    ts = F.col(ts_col).cast("timestamp")
-    agg = (records.withColumn("__ts", ts)
+    agg = (records.withColumn("__ts", _wall_clock_as_utc(F.col(ts_col)))
                   .withWatermark("__ts", lateness)
                   .groupBy(F.col(key_col).cast("string").alias(out_key), F.window("__ts", "1 day"))
                   .agg(F.sum(value_col).alias(out_value)))
-    return agg.select(out_key, F.to_date(F.col("window.start")).alias("visit_date"), out_value)
+    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("window.start")) / 86400).cast("int"))
+    return agg.select(out_key, day.alias("visit_date"), out_value)
 
 
 def start_daily_totals(spark: SparkSession, daily: DataFrame, path: str, name: str = "daily_totals",

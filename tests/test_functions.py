@@ -64,3 +64,14 @@ def test_split_past_end_is_null(spark):
 def test_md5_fold_matches_golden(spark):
     df = spark.range(8).select(md5_bucket(F.col("id"), 3).alias("f"))
     assert [r[0] for r in df.collect()] == [0, 1, 2, 0, 2, 2, 0, 0]
+
+
+def test_floor_day_difference_ignores_daylight_saving(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(dt.datetime(2017, 3, 13), dt.datetime(2017, 3, 11))],
+                                   "late timestamp_ntz, early timestamp_ntz")
+        assert df.select(floor_day_diff(F.col("late"), F.col("early"))).first()[0] == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

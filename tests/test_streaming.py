@@ -6,7 +6,20 @@ from footfall.streaming import daily_totals_stream, start_daily_totals
 from tests.conftest import SF_SMALL
 
 
-def test_stream_matches_batch_for_closed_days(spark, tmp_path):
+import pytest
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_stream_matches_batch_for_closed_days(spark, tmp_path, zone):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        _check_stream(spark, tmp_path)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def _check_stream(spark, tmp_path):
     events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     src = str(tmp_path / "src")
     # three arrival batches of files, in time order
