@@ -299,3 +299,16 @@ def snapshot_sql(families, columns: list[str]) -> str:
 
 def snapshot_columns(families) -> list[str]:
     return LABEL_COLUMNS + feature_columns(families, ("precipitation", "high_temperature"))
+
+
+def weather_observed_sql() -> str:
+    """Label rows left-joined to their own day's weather; no match -> -1."""
+    ctes = dict(FIXTURE_SQL)
+    ctes.update(SNAPSHOT_CTES)
+    ctes["label"] = _label_cte()
+    body = (f"select l.end_date, l.store_id, l.visit_date, "
+            f"coalesce(w.precipitation, {K.WEATHER_FILL}) as precipitation, "
+            f"coalesce(w.high_temperature, {K.WEATHER_FILL}) as high_temperature "
+            f"from label l left join fx_weather w on w.store_id = l.store_id and w.visit_date = l.visit_date")
+    return with_ctes(ctes, normalize_sql(body, ["end_date", "store_id", "visit_date", "precipitation",
+                                                "high_temperature"]))

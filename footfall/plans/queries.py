@@ -72,3 +72,14 @@ for _name, (_fams, _cols) in _FAMILY_QUERIES.items():
 # the flagship: every family, the whole wide snapshot (J-09)
 _ALL = ("weather", "store", "store_dow", "diff", "reserve", "genre", "ratios")
 _snapshot_query("q_snapshot", _ALL, O.snapshot_columns(_ALL))
+
+
+# weather of the label day itself (observed mode; the reference mode is the
+# constant fill value, covered by q_snapshot) (J-08, S-03, P-09)
+def _weather_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = create_snapshots(fixture_inputs(spark, sf_dir), fixture_anchors(), families=("weather",),
+                          weather_mode="observed")
+    return normalize(df.select(*KEYS, "precipitation", "high_temperature"))
+
+
+register("q_j08_weather_observed", O.weather_observed_sql())(_weather_observed)

@@ -73,3 +73,14 @@ def test_single_anchor_equals_multi_anchor_rows(spark, snapshot_small):
     multi = normalize(snapshot_small.where(F.col("end_date") == F.lit(anchor.end_date)), 9).select(*cols)
     assert single.select(*cols).exceptAll(multi).count() == 0
     assert multi.exceptAll(single.select(*cols)).count() == 0
+
+
+def test_training_anchor_grid():
+    from footfall.operators.anchors import training_anchors
+    start = dt.date(2017, 3, 12)
+    train, test = training_anchors(start)
+    assert len(train) == 63
+    assert train[0] == Anchor(start, 39) and train[57] == Anchor(start - dt.timedelta(days=7 * 57), 39)
+    assert [a.horizon for a in train[58:]] == [35, 28, 21, 14, 7]
+    assert train[58].end_date == start + dt.timedelta(days=7)
+    assert test == Anchor(start + dt.timedelta(days=42), 39)
