@@ -19,6 +19,7 @@ from footfall.operators.folds import holdout, stratified_kfold, kfold
 from footfall.operators.models import estimators as ES
 from footfall.operators.models import search as S
 from footfall.operators.models.linear import fit_ols, recursive_feature_elimination
+from footfall.operators.models.knn import knn_classify, knn_neighbours
 from footfall.operators.models.naive_bayes import fit_gaussian_nb
 from footfall.operators.models.stacking import fit_calibrated_svc, fit_stacking, fit_stacking_classifier
 from footfall.plans import forecast as FC
@@ -323,3 +324,28 @@ def q_m13_stacking_clf(spark, sf):
     pred = model.transform(test).select(F.col("label").cast("int").alias("y"),
                                         F.col("prediction").cast("int").alias("p"))
     return M.binary_metrics(pred, "y", "p")
+
+
+_KNN_SQL = f"""
+    with e as (select vec_id, label, cast(embedding as double[]) as x,
+                      case when {md5_mod_sql('vec_id', K.HOLDOUT_TEST_BUCKETS)} = 0 then 1 else 0 end as is_test
+               from embeddings),
+    tr as (select * from e where is_test = 0),
+    te as (select * from e where is_test = 1),
+    d as (select te.vec_id as qid, te.label as qy, tr.vec_id as nid, tr.label as y,
+                 list_distance(te.x, tr.x) as dist from te, tr),
+    r as (select *, row_number() over (partition by qid order by dist, nid) as rk from d),
+    v as (select qid, qy, y, count(*) as w from r where rk <= 5 group by qid, qy, y)
+    select qid as vec_id, qy as y, first(y order by w desc, y) as pred from v group by qid, qy"""
+
+
+@register("q_m07_knn", normalize_sql(_KNN_SQL, ["vec_id", "y", "pred"], {"vec_id", "y", "pred"}))
+def q_m07_knn(spark, sf):
+    """Exact 5-nearest-neighbour vote (Euclidean) for the held-out vectors (M-07)."""
+    e = holdout(FX.table(spark, sf, "embeddings"), "vec_id", K.HOLDOUT_TEST_BUCKETS)
+    train, test = e.where(F.col("is_test") == 0), e.where(F.col("is_test") == 1)
+    neigh = knn_neighbours(train, test, k=5, p=2.0, train_id="vec_id", test_id="vec_id",
+                           features="embedding", label="label", block_size=128)
+    pred = knn_classify(neigh)
+    out = test.select(F.col("vec_id").alias("qid"), F.col("label").alias("y")).join(pred, "qid")
+    return normalize(out.select(F.col("qid").alias("vec_id"), "y", "pred"))
