@@ -45,7 +45,8 @@ def describe(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:
     selection (``ranking.exact_quantiles``): a global ``percentile`` would
     merge one map entry per distinct value in a single task.  ``exact=False``
     uses ``percentile_approx`` instead."""
-    from footfall.operators.ranking import exact_quantiles
+    from footfall.operators.ranking import exact_quantiles_multi
+    quart = exact_quantiles_multi(df, cols, [0.25, 0.5, 0.75]) if exact else {}
     aggs = []
     for i, c in enumerate(cols):
         v = _q(c).cast("double")
@@ -57,7 +58,7 @@ def describe(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:
     rows = []
     for i, c in enumerate(cols):
         if exact:
-            qs = exact_quantiles(df, c, [0.25, 0.5, 0.75])
+            qs = quart[c]
             p25, p50, p75 = (F.lit(qs[p]).cast("double") for p in (0.25, 0.5, 0.75))
         else:
             p25, p50, p75 = (F.col(f"q_{i}")[j].cast("double") for j in range(3))

@@ -70,82 +70,92 @@ def running_totals_desc(df: DataFrame, score: str, value_cols: list[str], n_buck
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float], n_buckets: int = 1000,
                     local_limit: int = 100_000) -> dict[float, float | None]:
+    """Exact quantiles of one column (see ``exact_quantiles_multi``)."""
+    return exact_quantiles_multi(df, [col], probs, n_buckets, local_limit)[col]
+
+
+def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float], n_buckets: int = 1000,
+                          local_limit: int = 100_000) -> dict[str, dict[float, float | None]]:
     """Exact quantiles with linear interpolation (as pandas / ``quantile_cont``)
-    by distributed selection, never a single-task sort or value map.
-
-    Each level: approximate quantiles of the rows still in play give bucket
-    bounds; one aggregate counts rows per bucket; each wanted rank keeps only
-    the bucket that holds it.  Buckets shrink ~``n_buckets``-fold per level;
-    once a bucket has at most ``local_limit`` rows its value counts are
-    collected and the rank is read off exactly.  Work per level is one scan of
-    the rows still in play plus driver-side lists of ``n_buckets`` numbers.
+    for several columns at once, by distributed selection -- never a
+    single-task sort or a value map of a whole column.
+
+    The columns are read as (column, value) rows.  Each level splits every
+    interval still holding a wanted rank into ``n_buckets`` equal-width
+    buckets (one arithmetic expression per row, monotone in the value), and
+    one aggregate returns count, min and max per bucket.  A rank keeps the
+    bucket that holds it; that bucket's own min and max are the next
+    interval.  An interval whose min equals its max is resolved at once;
+    intervals of at most ``local_limit`` rows are resolved from their value
+    counts, all in one job.  Driver-side state is a few numbers per bucket.
     """
     import math
 
-    x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    n = x.count()
-    if n == 0:
-        return {p: None for p in probs}
-    pos = {p: p * (n - 1) for p in probs}
-    ranks = sorted({int(math.floor(h)) for h in pos.values()} | {int(math.ceil(h)) for h in pos.values()})
-    # per rank: (low exclusive, high inclusive, rows at or below low, rows in interval)
-    state = {r: (None, None, 0, n) for r in ranks}
-    found: dict[int, float] = {}
-
-    def member(lo, hi):
-        c = F.lit(True)
-        if lo is not None:
-            c = c & (F.col("x") > F.lit(lo))
-        if hi is not None:
-            c = c & (F.col("x") <= F.lit(hi))
-        return c
-
-    probs_b = [i / n_buckets for i in range(1, n_buckets)]
-    while len(found) < len(ranks):
-        intervals = sorted({state[r] for r in ranks if r not in found}, key=lambda s: (s[2], s[3]))
-        small = [iv for iv in intervals if iv[3] <= local_limit]
-        big = [iv for iv in intervals if iv[3] > local_limit]
-        for iv in small:
-            lo, hi, off, _ = iv
-            counts = x.where(member(lo, hi)).groupBy("x").count().orderBy("x").collect()
-            cum = off
-            for row in counts:
-                for r in ranks:
-                    if r not in found and state[r] == iv and cum <= r < cum + row["count"]:
-                        found[r] = row["x"]
-                cum += row["count"]
+    long = (df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"`{c}`").cast("double").alias("x"))
+                                          for i, c in enumerate(cols)])).alias("r"))
+              .select("r.c", "r.x").where(F.col("x").isNotNull() & ~F.isnan("x")))
+    stats = {r["c"]: (r["n"], r["lo"], r["hi"]) for r in
+             long.groupBy("c").agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()}
+    pos = {(ci, p): p * (stats[ci][0] - 1) for ci in stats for p in probs}
+    wanted = sorted({(ci, int(math.floor(h))) for (ci, _), h in pos.items()}
+                    | {(ci, int(math.ceil(h))) for (ci, _), h in pos.items()})
+    # per (column, rank): (column, low, high, rows below low, rows in [low, high]); bounds inclusive
+    state = {w: (w[0], stats[w[0]][1], stats[w[0]][2], 0, stats[w[0]][0]) for w in wanted}
+    found: dict[tuple, float] = {}
+
+    def member(iv):
+        return (F.col("c") == F.lit(iv[0])) & (F.col("x") >= F.lit(iv[1])) & (F.col("x") <= F.lit(iv[2]))
+
+    def tag_of(ivs):
+        tag = F.lit(None).cast("int")
+        for i, iv in reversed(list(enumerate(ivs))):
+            tag = F.when(member(iv), F.lit(i)).otherwise(tag)
+        return tag
+
+    while len(found) < len(wanted):
+        for w in wanted:                       # a single distinct value: done
+            if w not in found and state[w][1] == state[w][2]:
+                found[w] = state[w][1]
+        intervals = sorted({state[w] for w in wanted if w not in found}, key=repr)
+        if not intervals:
+            break
+        small = [iv for iv in intervals if iv[4] <= local_limit]
+        big = [iv for iv in intervals if iv[4] > local_limit]
+        if small:
+            rows = (long.withColumn("__t", tag_of(small)).where(F.col("__t").isNotNull())
+                        .groupBy("__t", "x").count().collect())
+            per: dict[int, list] = {}
+            for row in rows:
+                per.setdefault(row["__t"], []).append((row["x"], row["count"]))
+            for t, iv in enumerate(small):
+                cum = iv[3]
+                for x, cnt in sorted(per.get(t, [])):
+                    for w in wanted:
+                        if w not in found and state[w] == iv and cum <= w[1] < cum + cnt:
+                            found[w] = x
+                    cum += cnt
         if not big:
             continue
-        tag = F.lit(None).cast("int")
-        for i, (lo, hi, _, _) in reversed(list(enumerate(big))):
-            tag = F.when(member(lo, hi), F.lit(i)).otherwise(tag)
-        tagged = x.withColumn("__iv", tag).where(F.col("__iv").isNotNull())
-        qs = tagged.groupBy("__iv").agg(F.percentile_approx("x", probs_b, 10000).alias("q")).collect()
-        bounds = {row["__iv"]: sorted(set(row["q"])) for row in qs}
-        sub = F.lit(0)
-        for i in range(len(big)):
-            arr = F.array(*[F.lit(float(b)) for b in bounds.get(i, [])]) if bounds.get(i) else \
-                F.array().cast("array<double>")
-            sub = F.when(F.col("__iv") == i, F.size(F.filter(arr, lambda b: b < F.col("x")))).otherwise(sub)
-        cnt = tagged.groupBy("__iv", sub.alias("__sb")).count().collect()
-        per = {}
-        for row in cnt:
-            per.setdefault(row["__iv"], {})[row["__sb"]] = row["count"]
+        tagged = long.withColumn("__iv", tag_of(big)).where(F.col("__iv").isNotNull())
+        bucket = F.lit(0)
+        for i, (_, lo, hi, _, _) in enumerate(big):
+            b = F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(hi - lo) * F.lit(n_buckets)),
+                        F.lit(n_buckets - 1)).cast("int")
+            bucket = F.when(F.col("__iv") == i, b).otherwise(bucket)
+        rows = (tagged.groupBy("__iv", bucket.alias("__b"))
+                      .agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect())
+        per_b: dict[int, list] = {}
+        for row in rows:
+            per_b.setdefault(row["__iv"], []).append((row["__b"], row["n"], row["lo"], row["hi"]))
         for i, iv in enumerate(big):
-            lo, hi, off, total = iv
-            b = bounds.get(i, [])
-            cum = off
-            for sb in sorted(per.get(i, {})):
-                c = per[i][sb]
-                new_lo = lo if sb == 0 else b[sb - 1]
-                new_hi = hi if sb >= len(b) else b[sb]
-                for r in ranks:
-                    if r not in found and state[r] == iv and cum <= r < cum + c:
-                        # no progress means the interval holds few distinct values: resolve locally next
-                        state[r] = (new_lo, new_hi, cum, c if c < total else min(c, local_limit))
-                cum += c
-    out = {}
-    for p, h in pos.items():
-        lo_v, hi_v = found[int(math.floor(h))], found[int(math.ceil(h))]
-        out[p] = lo_v + (hi_v - lo_v) * (h - math.floor(h))
+            cum = iv[3]
+            for _, n, lo, hi in sorted(per_b.get(i, [])):
+                for w in wanted:
+                    if w not in found and state[w] == iv and cum <= w[1] < cum + n:
+                        state[w] = (iv[0], lo, hi, cum, n)
+                cum += n
+    out: dict[str, dict[float, float | None]] = {c: {p: None for p in probs} for c in cols}
+    for (ci, p), h in pos.items():
+        lo_v, hi_v = found[(ci, int(math.floor(h)))], found[(ci, int(math.ceil(h)))]
+        out[cols[ci]][p] = lo_v + (hi_v - lo_v) * (h - math.floor(h))
     return out
