@@ -10,13 +10,29 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# dictionaries up to this many levels are ranked in one task
+SMALL_DICTIONARY = 100_000
+
+
 def level_codes(df: DataFrame, col: str, code_col: str = "code") -> DataFrame:
     """Dictionary ``(col, code)``: code = alphabetical rank from 0 (T-01).
 
-    The window runs over the distinct levels only.
+    The number of levels is checked first.  Up to ``SMALL_DICTIONARY`` levels
+    one window ranks them in one task (a bounded set); beyond that, levels are
+    range-partitioned, the partition ids are frozen by a checkpoint (so a
+    recomputation cannot move a level), and ranks are offsets per range plus
+    a row number inside it -- the same codes, no single-task sort.
     """
+    from footfall.operators.ranking import exact_row_number
+    from footfall.session import materialize
     levels = df.select(col).where(F.col(col).isNotNull()).distinct()
-    return levels.withColumn(code_col, (F.dense_rank().over(Window.orderBy(col)) - 1).cast("int"))
+    n = levels.count()
+    if n <= SMALL_DICTIONARY:
+        return levels.withColumn(code_col, (F.dense_rank().over(Window.orderBy(col)) - 1).cast("int"))
+    parts = max(2, -(-n // SMALL_DICTIONARY))
+    ranged = materialize(levels.repartitionByRange(parts, col).withColumn("__pid", F.spark_partition_id()))
+    ranked = exact_row_number(ranged, [], [F.col(col)], F.col("__pid"), "__rn")
+    return ranked.select(col, F.col("__rn").cast("int").alias(code_col))
 
 
 def label_encode(df: DataFrame, col: str, out_col: str | None = None) -> DataFrame:

@@ -100,3 +100,13 @@ def test_exact_quantiles_match_numpy_with_ties(spark):
     got = exact_quantiles(df, "v", probs, n_buckets=10, local_limit=50)
     for p in probs:
         assert got[p] == pytest.approx(float(np.quantile(vals, p)), abs=1e-12)
+
+
+def test_level_codes_large_dictionary_path_matches_window(spark, monkeypatch):
+    from footfall.operators import encode as EN
+    rows = [(f"lvl{(i * 7919) % 997:04d}",) for i in range(3000)]
+    df = spark.createDataFrame(rows, "v string")
+    small = {r["v"]: r["code"] for r in EN.level_codes(df, "v").collect()}
+    monkeypatch.setattr(EN, "SMALL_DICTIONARY", 50)
+    large = {r["v"]: r["code"] for r in EN.level_codes(df, "v").collect()}
+    assert small == large and sorted(small.values()) == list(range(997))
