@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall import constants as K
-from footfall.functions import calendar_flag_columns, make_id, split_part, weekday, id_date, id_store
+from footfall.functions import calendar_flag_columns, make_id, weekday, id_date, id_store
 from footfall.operators.anchors import (Anchor, explode_anchors, horizon_bounds, in_horizon,
                                         in_lookback, lookback_bounds)
 from footfall.operators.encode import label_encode

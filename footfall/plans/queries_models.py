@@ -7,7 +7,6 @@ iterative fits are rows-only, as the driver's gate allows.
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression, GBTClassifier
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from footfall.functions import split_part
 from footfall.operators import profile as P
-from footfall.operators.reserve import map_ids
 from footfall.plans.normalize import normalize
 from footfall.plans.oracle import FIXTURE_SQL, normalize_sql, with_ctes
 from footfall.plans.queries import register
