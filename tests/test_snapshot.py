@@ -84,3 +84,21 @@ def test_training_anchor_grid():
     assert [a.horizon for a in train[58:]] == [35, 28, 21, 14, 7]
     assert train[58].end_date == start + dt.timedelta(days=7)
     assert test == Anchor(start + dt.timedelta(days=42), 39)
+
+
+def test_approx_median_mode_is_bounded_and_exact_for_odd_counts(spark, snapshot_small):
+    approx = create_snapshots(fixture_inputs(spark, SF_SMALL), fixture_anchors(), families=("store",),
+                              median_mode="approx")
+    key = ["end_date", "store_id", "visit_date"]
+    cols = []
+    for n in (7, 14, 28, 56, 600):
+        cols += [f"store_min{n}", f"store_max{n}", f"store_median{n}", f"store_count{n}"]
+    a = approx.select(*key, *[F.col(c).alias("a_" + c) for c in cols])
+    j = a.join(snapshot_small.select(*key, *cols), key).collect()
+    assert len(j) == snapshot_small.count()
+    for r in j:
+        for n in (7, 14, 28, 56, 600):
+            med = r[f"a_store_median{n}"]
+            assert r[f"store_min{n}"] - 1e-9 <= med <= r[f"store_max{n}"] + 1e-9
+            if r[f"store_count{n}"] % 2 == 1:
+                assert med == pytest.approx(r[f"store_median{n}"], abs=1e-9)
