@@ -111,3 +111,23 @@ def mean_importance_table(spark: SparkSession, models, features: list[str], k: i
     imp = np.mean([m.featureImportances.toArray() for m in models], axis=0)
     df = spark.createDataFrame([(f, float(v)) for f, v in zip(features, imp)], "feature_name string, varimp double")
     return df.orderBy(F.desc("varimp"), "feature_name").limit(k)
+
+
+def run_forecast(spark: SparkSession, inputs, train_anchors, test_anchor, snapshot_path: str,
+                 submission_dir: str, requested_ids: DataFrame | None = None, max_iter: int = 100):
+    """Snapshots for every anchor -> Parquet partitioned by anchor -> GBT on
+    the training anchors -> expm1 predictions for the test anchor, requested
+    ids filled with 0 -> CSV with 4-decimal floats in a timestamped folder.
+
+    Returns (submission folder, top-50 importance table)."""
+    from footfall.plans.snapshot import create_snapshots
+    from footfall.sources.files import read_snapshots, write_snapshots, write_submission_csv
+    write_snapshots(create_snapshots(inputs, list(train_anchors) + [test_anchor]), snapshot_path)
+    snaps = read_snapshots(spark, snapshot_path)
+    is_test = F.col("end_date") == F.lit(test_anchor.end_date)
+    train, test = snaps.where(~is_test), snaps.where(is_test)
+    feats = predictors([c for c in train.columns if c != "horizon"])
+    va, model = fit_forecaster(train, feats, max_iter=max_iter)
+    ids = requested_ids if requested_ids is not None else test.select("id")
+    pred = predict_visits(va, model, test, ids)
+    return write_submission_csv(pred, submission_dir, ["visitors"]), importance_table(spark, model, feats)

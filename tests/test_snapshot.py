@@ -102,3 +102,22 @@ def test_approx_median_mode_is_bounded_and_exact_for_odd_counts(spark, snapshot_
             assert r[f"store_min{n}"] - 1e-9 <= med <= r[f"store_max{n}"] + 1e-9
             if r[f"store_count{n}"] % 2 == 1:
                 assert med == pytest.approx(r[f"store_median{n}"], abs=1e-9)
+
+
+def test_known_ahead_reservation_boundaries(spark):
+    from footfall.operators.reserve import known_ahead, prepare
+    end = dt.date(2017, 3, 12)
+    a = Anchor(end, 3)
+    ts = lambda d, h=0: dt.datetime.combine(d, dt.time()) + dt.timedelta(hours=h)
+    day = lambda k: end + dt.timedelta(days=k)
+    rows = [
+        ("s", ts(day(-1), 20), ts(day(0), 10), 1.0),   # kept: made the evening before, 14 h lead -> 0 days
+        ("s", ts(day(0)), ts(day(1)), 2.0),           # dropped: made on the anchor day
+        ("s", ts(day(-5)), ts(day(2)), 3.0),          # kept: last horizon day
+        ("s", ts(day(-5)), ts(day(3)), 4.0),          # dropped: visit at end + horizon
+        ("s", ts(day(-5)), ts(day(-1)), 5.0),         # dropped: visit before the anchor
+    ]
+    res = spark.createDataFrame(rows, "store_id string, reserve_ts timestamp_ntz, visit_ts timestamp_ntz, "
+                                      "reserve_visitors double")
+    got = sorted((r["reserve_visitors"], r["diff_time"]) for r in known_ahead(prepare(res), [a]).collect())
+    assert got == [(1.0, 0), (3.0, 7)]
