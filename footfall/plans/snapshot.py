@@ -142,3 +142,26 @@ def feature_columns(families=ALL_FAMILIES, weather_measures=(), lookbacks=K.LOOK
     if "ratios" in families:
         cols += [n for n, _, _ in K.RATIOS]
     return cols
+
+
+def write_snapshots_incremental(inputs: ForecastInputs, anchors: list[Anchor], path: str,
+                                batch_anchors: int = 8, **kwargs) -> list[Anchor]:
+    """Write snapshots in batches of anchors to Parquet partitioned by
+    ``end_date``; anchors already present under ``path`` are skipped.
+
+    Each batch is one job whose exploded history covers only its anchors, and
+    a finished batch is durable: a run interrupted by a lost driver or
+    executors resumes with the missing anchors only.  Returns the anchors
+    written by this call."""
+    from footfall.sources.files import write_snapshots
+    spark = inputs.visits.sparkSession
+    done: set = set()
+    try:
+        done = {r[0] for r in spark.read.parquet(path).select("end_date").distinct().collect()}
+    except Exception:  # noqa: BLE001  (nothing written yet)
+        done = set()
+    todo = sorted(a for a in anchors if a.end_date not in done)
+    for i in range(0, len(todo), batch_anchors):
+        batch = todo[i:i + batch_anchors]
+        write_snapshots(create_snapshots(inputs, batch, **kwargs), path, mode="overwrite")
+    return todo

@@ -121,3 +121,21 @@ def test_known_ahead_reservation_boundaries(spark):
                                       "reserve_visitors double")
     got = sorted((r["reserve_visitors"], r["diff_time"]) for r in known_ahead(prepare(res), [a]).collect())
     assert got == [(1.0, 0), (3.0, 7)]
+
+
+def test_incremental_snapshots_resume(spark, tmp_path):
+    from footfall.plans.snapshot import write_snapshots_incremental
+    anchors = sorted(fixture_anchors())
+    path = str(tmp_path / "snaps")
+    inp = fixture_inputs(spark, SF_SMALL)
+    first = write_snapshots_incremental(inp, anchors[:3], path, batch_anchors=2)
+    assert first == anchors[:3]
+    second = write_snapshots_incremental(inp, anchors, path, batch_anchors=4)
+    assert second == anchors[3:]
+    written = spark.read.parquet(path)
+    one_job = create_snapshots(inp, anchors)
+    assert written.count() == one_job.count()
+    cols = ["end_date", "store_id", "visit_date", "store_mean600", "genre_median56", "air_date_sum"]
+    a = normalize(written.select(*cols), 9)
+    b = normalize(one_job.select(*cols), 9)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
