@@ -30,6 +30,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.driver.memory", os.environ.get("FOOTFALL_DRIVER_MEMORY", "16g"))
         # wide snapshot plans (hundreds of aggregate columns)
         .config("spark.sql.codegen.maxFields", "1000")
+        # remove checkpoint files once their DataFrame is no longer referenced
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     event_dir = os.environ.get("FOOTFALL_EVENT_LOG_DIR")
     if event_dir:   # stage/task timings for profiling, written to a scratch folder
