@@ -54,3 +54,25 @@ def time_series_folds(df: DataFrame, date_col: str, key: str, n_splits: int = 5,
         return ranked.withColumn(out, F.lit(None).cast("int")).drop("__rn")
     fold = F.when(F.col("__rn") >= start, F.floor((F.col("__rn") - start) / test_size).cast("int"))
     return ranked.withColumn(out, fold).drop("__rn")
+
+
+def _md5_rank(df: DataFrame, key: str, out: str = "__rn", hex_chars: int = 4) -> DataFrame:
+    order = [F.md5(F.col(key).cast("string")), F.col(key)]
+    return exact_row_number(df, [], order, md5_prefix(F.col(key), hex_chars), out)
+
+
+def holdout_exact(df: DataFrame, key: str, test_size: float = 0.2, out: str = "is_test") -> DataFrame:
+    """Exactly ceil(test_size * n) test rows: the first rows in (md5(key), key)
+    order (V-01, exact-size form)."""
+    import math
+    n = df.count()
+    n_test = math.ceil(test_size * n)
+    ranked = _md5_rank(df, key)
+    return ranked.withColumn(out, (F.col("__rn") < n_test).cast("int")).drop("__rn")
+
+
+def kfold_exact(df: DataFrame, key: str, k: int = 3, out: str = "fold") -> DataFrame:
+    """Folds of n // k or n // k + 1 rows: rows in (md5(key), key) order dealt
+    round-robin (V-02, exact-size form)."""
+    ranked = _md5_rank(df, key)
+    return ranked.withColumn(out, (F.col("__rn") % k).cast("int")).drop("__rn")

@@ -42,6 +42,22 @@ def q_v02_kfold(spark, sf):
     return normalize(FO.kfold(FX.regression_rows(spark, sf), "o_orderkey", K.N_FOLDS).select("o_orderkey", "fold"))
 
 
+@register("q_v01_holdout_exact", _sql(("fx_reg",), """select o_orderkey, case when row_number() over
+    (order by md5(cast(o_orderkey as varchar)), o_orderkey) - 1 < ceil(0.2 * count(*) over ()) then 1 else 0 end
+    as is_test from fx_reg""", ["o_orderkey", "is_test"], ints=("o_orderkey", "is_test")))
+def q_v01_holdout_exact(spark, sf):
+    df = FO.holdout_exact(FX.regression_rows(spark, sf), "o_orderkey", 0.2)
+    return normalize(df.select("o_orderkey", "is_test"))
+
+
+@register("q_v02_kfold_exact", _sql(("fx_reg",), f"""select o_orderkey, (row_number() over
+    (order by md5(cast(o_orderkey as varchar)), o_orderkey) - 1) % {K.N_FOLDS} as fold from fx_reg""",
+    ["o_orderkey", "fold"], ints=("o_orderkey", "fold")))
+def q_v02_kfold_exact(spark, sf):
+    return normalize(FO.kfold_exact(FX.regression_rows(spark, sf), "o_orderkey", K.N_FOLDS)
+                     .select("o_orderkey", "fold"))
+
+
 @register("q_v03_stratified", _sql(("fx_clf",), f"select doc_id, y, (row_number() over (partition by y order by "
                                    f"md5(cast(doc_id as varchar)), doc_id) - 1) % {K.N_FOLDS} as fold from fx_clf",
                                    ["doc_id", "y", "fold"], ints=("doc_id", "y", "fold")))

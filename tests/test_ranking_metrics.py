@@ -110,3 +110,12 @@ def test_level_codes_large_dictionary_path_matches_window(spark, monkeypatch):
     monkeypatch.setattr(EN, "SMALL_DICTIONARY", 50)
     large = {r["v"]: r["code"] for r in EN.level_codes(df, "v").collect()}
     assert small == large and sorted(small.values()) == list(range(997))
+
+
+def test_exact_size_holdout_and_kfold(spark, scored):
+    from footfall.operators.folds import holdout_exact, kfold_exact
+    df, rows = scored
+    n = len(rows)
+    assert holdout_exact(df, "k", 0.2).where("is_test = 1").count() == -(-n * 2 // 10)
+    sizes = sorted(r["count"] for r in kfold_exact(df, "k", 3).groupBy("fold").count().collect())
+    assert sizes == [n // 3, n // 3, n // 3] if n % 3 == 0 else max(sizes) - min(sizes) == 1
