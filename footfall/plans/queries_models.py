@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from footfall import constants as K
 from footfall.operators import encode as EN
 from footfall.operators import metrics as M
-from footfall.operators.folds import holdout, stratified_kfold, kfold
+from footfall.operators.folds import holdout, stratified_kfold
 from footfall.operators.models import estimators as ES
 from footfall.operators.models import search as S
 from footfall.operators.models.linear import fit_ols, recursive_feature_elimination
@@ -22,6 +22,7 @@ from footfall.operators.models.knn import knn_classify, knn_neighbours
 from footfall.operators.models.naive_bayes import fit_gaussian_nb
 from footfall.operators.models.stacking import fit_calibrated_svc, fit_stacking, fit_stacking_classifier
 from footfall.plans import forecast as FC
+from footfall.plans import selection as SEL
 from footfall.plans.inputs import fixture_inputs
 from footfall.plans.normalize import normalize
 from footfall.plans.oracle import FIXTURE_SQL, md5_mod_sql, normalize_sql, with_ctes
@@ -134,78 +135,42 @@ def q_v04_grid_search(spark, sf):
 
 
 def _clf_candidates(n_features: int):
-    dt = ES.classifier("DecisionTree")
-    lr = ES.classifier("LogisticRegression")
-    nb = ES.classifier("GaussianNB")
-    svc = ES.classifier("LinearSVC")
-    knn = ES.classifier("KNN", id_col="p_partkey")
-    return {
-        "KNeighbors": S.Candidate(ES.pipeline(CAT_FEATURES, knn), ParamGridBuilder()
-                                  .addGrid(knn.k, [1, 5]).addGrid(knn.p, [1.0, 2.0]).build()),
-        "DecisionTree": S.Candidate(ES.pipeline(CAT_FEATURES, dt), ParamGridBuilder()
-                                    .addGrid(dt.maxDepth, [1, 3, 5]).addGrid(dt.minInstancesPerNode, [1, 5]).build()),
-        "GaussianNB": S.Candidate(ES.pipeline(CAT_FEATURES, nb), ParamGridBuilder()
-                                  .addGrid(nb.varSmoothing, [1.0, 1e-3, 1e-9]).build()),
-        "LinearSVC": S.Candidate(ES.pipeline(CAT_FEATURES, svc), ParamGridBuilder()
-                                 .addGrid(svc.regParam, [0.01, 1.0]).build()),
-        "LogisticRegression": S.Candidate(ES.pipeline(CAT_FEATURES, lr), ParamGridBuilder()
-                                          .addGrid(lr.regParam, [0.01, 1.0]).addGrid(lr.elasticNetParam, [0.0, 1.0])
-                                          .build()),
-    }
+    return SEL.default_classifiers(CAT_FEATURES, "p_partkey")
 
 
 _NESTED_SCORES: dict = {}
 
 
-def _nested_clf(spark, sf):
+def _nested_clf(spark, sf, refit: bool = False):
     """Outer scores are memoised per session and input folder: the refit
     query reuses the selection instead of repeating every search."""
     df = cat_frame(spark, sf)
     key = (id(spark), sf)
-    if key not in _NESTED_SCORES:
-        tr = holdout(df, "p_partkey").where(F.col("is_test") == 0).drop("is_test")
-        scores = S.nested_cv(tr, "p_partkey", "label", _clf_candidates(len(CAT_FEATURES)),
-                             S.F1MacroEvaluator("label"), K.N_FOLDS, True, PARALLELISM)
-        _NESTED_SCORES[key] = [tuple(r) for r in scores.collect()]
-    scores = spark.createDataFrame(_NESTED_SCORES[key], "model string, fold int, score double")
-    return df, S.summarize_nested(scores)
+    sel = SEL.select_model(df, "p_partkey", _clf_candidates(len(CAT_FEATURES)), S.F1MacroEvaluator("label"),
+                           K.N_FOLDS, True, PARALLELISM, refit=refit, scores_rows=_NESTED_SCORES.get(key))
+    _NESTED_SCORES[key] = [tuple(r) for r in sel.scores.collect()]
+    return df, sel
 
 
 @register("q_v05_nested_cv_clf", None)
 def q_v05_nested_cv_clf(spark, sf):
     """Nested CV over 5 classifiers, macro F1, best = highest rounded mean (V-05)."""
-    return _nested_clf(spark, sf)[1]
+    return _nested_clf(spark, sf)[1].summary
 
 
 @register("q_v05_nested_cv_reg", None)
 def q_v05_nested_cv_reg(spark, sf):
     """Nested CV over regressors, negative MSE (V-05)."""
-    df = reg_frame(spark, sf)
-    lin = ES.regressor("LinearRegression")
-    dt = ES.regressor("DecisionTree")
-    cands = {
-        "LinearRegression": S.Candidate(ES.pipeline(REG_FEATURES, lin, scale=False),
-                                        ParamGridBuilder().addGrid(lin.regParam, [0.0, 1.0]).build()),
-        "DecisionTree": S.Candidate(ES.pipeline(REG_FEATURES, dt, scale=False),
-                                    ParamGridBuilder().addGrid(dt.maxDepth, [3, 5]).build()),
-    }
-    scores = S.nested_cv(df, "o_orderkey", "label", cands, S.neg_mse_evaluator("label"), K.N_FOLDS, False, PARALLELISM)
-    return S.summarize_nested(scores)
+    sel = SEL.select_model(reg_frame(spark, sf), "o_orderkey", SEL.default_regressors(REG_FEATURES),
+                           S.neg_mse_evaluator("label"), K.N_FOLDS, False, PARALLELISM, refit=False)
+    return sel.summary
 
 
 @register("q_v06_refit_report", None)
 def q_v06_refit_report(spark, sf):
     """Refit the winning algorithm's search on all training rows; report on
     train + test predictions (V-06, E-04)."""
-    df, summary = _nested_clf(spark, sf)
-    best = S.best_model_name(summary)
-    cand = _clf_candidates(len(CAT_FEATURES))[best]
-    split = holdout(df, "p_partkey")
-    train = stratified_kfold(split.where(F.col("is_test") == 0), "p_partkey", "label", K.N_FOLDS)
-    cvm = S.grid_search(train, cand.estimator, cand.param_maps, S.F1MacroEvaluator("label"), "fold",
-                        K.N_FOLDS, PARALLELISM)
-    pred = cvm.transform(split).select(F.col("label").cast("int").alias("y"), F.col("prediction").cast("int").alias("p"))
-    return M.classification_report(pred, "y", "p").withColumn("model", F.lit(best))
+    return _nested_clf(spark, sf, refit=True)[1].report
 
 
 def _forecast_parts(spark, sf):
