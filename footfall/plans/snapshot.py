@@ -71,7 +71,7 @@ def create_snapshots(inp: ForecastInputs, anchors: list[Anchor], families=ALL_FA
     cal = calendar_dim(inp.calendar)
     base = base_fact(inp.visits, sdim, cal, inp.submission)
     if materialize_base:
-        lo = min(a.end_date for a in anchors) - timedelta(days=max(max(lookbacks), max(diffs.K.DIFF_WINDOWS)))
+        lo = min(a.end_date for a in anchors) - timedelta(days=max(max(lookbacks), max(K.DIFF_WINDOWS)))
         _, hi = horizon_bounds(anchors)
         base = materialize(base.where((F.col("visit_date") > F.lit(lo)) & (F.col("visit_date") < F.lit(hi))))
     labels = label_rows(base, anchors, cal).select(*LABEL_COLUMNS)
@@ -84,9 +84,12 @@ def create_snapshots(inp: ForecastInputs, anchors: list[Anchor], families=ALL_FA
 
     hist = history(base, anchors, max(lookbacks))
     out = labels
+    # ratios read the store and genre means, so those blocks join for them too;
+    # their columns are output only when the family itself was asked for
     if "store" in families or "ratios" in families:
         out = out.join(FE.store_block(hist, lookbacks, median_mode), KEY, "left")
-        out_cols += FE.select_store_features(lookbacks)
+        if "store" in families:
+            out_cols += FE.select_store_features(lookbacks)
     if "store_dow" in families:
         out = out.join(FE.store_dow_pack(hist, lookbacks, median_mode), KEY, "left")
         out_cols += FE.select_store_dow_features(lookbacks)
@@ -110,15 +113,13 @@ def create_snapshots(inp: ForecastInputs, anchors: list[Anchor], families=ALL_FA
         if _genre_small(sdim, len(anchors)):
             gb = F.broadcast(gb)
         out = out.join(gb, ["end_date", "air_genre_name"], "left")
-        out_cols += FE.select_genre_features(lookbacks)
+        if "genre" in families:
+            out_cols += FE.select_genre_features(lookbacks)
 
     if "ratios" in families:
         # the raw means are columns of ``out``; fill and divide in the same projection
         mean = lambda name: FE.fill0(FE.q(name))
-        ratio_cols = [(mean(a) / (mean(b) + F.lit(K.RATIO_EPS))).alias(name) for name, a, b in K.RATIOS]
-        if "store" not in families or "genre" not in families:
-            return out.select(*[F.col(c) for c in LABEL_COLUMNS], *ratio_cols)
-        return out.select(*out_cols, *ratio_cols)
+        out_cols += [(mean(a) / (mean(b) + F.lit(K.RATIO_EPS))).alias(name) for name, a, b in K.RATIOS]
     return out.select(*out_cols)
 
 
