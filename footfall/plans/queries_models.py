@@ -18,7 +18,7 @@ from footfall.operators.folds import holdout, stratified_kfold
 from footfall.operators.models import estimators as ES
 from footfall.operators.models import search as S
 from footfall.operators.models.linear import fit_ols, recursive_feature_elimination
-from footfall.operators.models.knn import knn_classify, knn_neighbours
+from footfall.operators.models.knn import knn_classify, knn_neighbours, knn_regress
 from footfall.operators.models.naive_bayes import fit_gaussian_nb
 from footfall.operators.models.stacking import fit_calibrated_svc, fit_stacking, fit_stacking_classifier
 from footfall.plans import forecast as FC
@@ -316,3 +316,29 @@ def q_m07_knn(spark, sf):
     pred = knn_classify(neigh)
     out = test.select(F.col("vec_id").alias("qid"), F.col("label").alias("y")).join(pred, "qid")
     return normalize(out.select(F.col("qid").alias("vec_id"), "y", "pred"))
+
+
+_KNN_REG_SQL = f"""
+    with r as (select o_orderkey, cast(n_lines as double) as a, qty as b, y,
+                      case when {md5_mod_sql('o_orderkey', K.HOLDOUT_TEST_BUCKETS)} = 0 then 1 else 0 end as is_test
+               from fx_reg),
+    tr as (select * from r where is_test = 0),
+    te as (select * from r where is_test = 1),
+    d as (select te.o_orderkey as qid, tr.o_orderkey as nid, tr.y, abs(te.a - tr.a) + abs(te.b - tr.b) as dist
+          from te, tr),
+    k as (select *, row_number() over (partition by qid order by dist, nid) as rk from d)
+    select qid as o_orderkey, avg(y) as pred from k where rk <= 5 group by qid"""
+
+
+@register("q_m07_knn_regress", with_ctes({"fx_reg": FIXTURE_SQL["fx_reg"]},
+                                         normalize_sql(_KNN_REG_SQL, ["o_orderkey", "pred"], {"o_orderkey"})))
+def q_m07_knn_regress(spark, sf):
+    """Exact 5-nearest-neighbour regression (Manhattan distance on line
+    count and quantity) for the held-out orders (M-07)."""
+    df = holdout(FX.regression_rows(spark, sf), "o_orderkey", K.HOLDOUT_TEST_BUCKETS)
+    df = df.withColumn("x", F.array(F.col("n_lines").cast("double"), F.col("qty").cast("double")))
+    train, test = df.where(F.col("is_test") == 0), df.where(F.col("is_test") == 1)
+    neigh = knn_neighbours(train, test, k=5, p=1.0, train_id="o_orderkey", test_id="o_orderkey",
+                           features="x", label="y")
+    pred = knn_regress(neigh)
+    return normalize(pred.select(F.col("qid").alias("o_orderkey"), "pred"))
