@@ -161,7 +161,7 @@ def q_v05_nested_cv_clf(spark, sf):
 @register("q_v05_nested_cv_reg", None)
 def q_v05_nested_cv_reg(spark, sf):
     """Nested CV over regressors, negative MSE (V-05)."""
-    sel = SEL.select_model(reg_frame(spark, sf), "o_orderkey", SEL.default_regressors(REG_FEATURES),
+    sel = SEL.select_model(reg_frame(spark, sf), "o_orderkey", SEL.default_regressors(REG_FEATURES, "o_orderkey"),
                            S.neg_mse_evaluator("label"), K.N_FOLDS, False, PARALLELISM, refit=False)
     return sel.summary
 
