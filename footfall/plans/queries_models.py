@@ -342,3 +342,14 @@ def q_m07_knn_regress(spark, sf):
                            features="x", label="y")
     pred = knn_regress(neigh)
     return normalize(pred.select(F.col("qid").alias("o_orderkey"), "pred"))
+
+
+@register("q_m10_rff_regression", None)
+def q_m10_rff_regression(spark, sf):
+    """Approximate RBF-kernel regression: random Fourier features + ridge,
+    held-out MSE (M-10, regression)."""
+    df = reg_frame(spark, sf)
+    split = holdout(df, "o_orderkey")
+    est = ES.pipeline(REG_FEATURES, ES.regressor("RFFRidge"), scale=True)
+    model = est.fit(split.where(F.col("is_test") == 0))
+    return M.mse(model.transform(split.where(F.col("is_test") == 1)), "label", "prediction")
