@@ -247,10 +247,10 @@ def q_m12_mlp(spark, sf):
 @register("q_m06_gbt_weighted", None)
 def q_m06_gbt_weighted(spark, sf):
     """Boosted classifier with class weights {0: 1, 1: 10} via weightCol (M-06)."""
-    df = clf_frame(spark, sf).withColumn("w", F.when(F.col("label") == 1, 10.0).otherwise(1.0))
-    split = holdout(df, "doc_id")
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", weightCol="w", maxIter=20, maxDepth=3, seed=505)
-    model = ES.pipeline(CLF_FEATURES, gbt, scale=False).fit(split.where(F.col("is_test") == 0))
+    split = holdout(clf_frame(spark, sf), "doc_id")
+    gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=20, maxDepth=3, seed=505)
+    model = ES.pipeline(CLF_FEATURES, gbt, scale=False, class_weights={0: 1, 1: 10}) \
+        .fit(split.where(F.col("is_test") == 0))
     from pyspark.ml.functions import vector_to_array
     pred = model.transform(split.where(F.col("is_test") == 1)) \
                 .select(F.col("label").cast("int").alias("y"), F.get(vector_to_array("probability"), 1).alias("s"))
