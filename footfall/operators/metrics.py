@@ -112,11 +112,6 @@ def f1_scores(df: DataFrame, y: str, pred: str, positive=1) -> DataFrame:
         _div(F.sum(f1 * F.col("support")), F.sum("support")).alias("f1_weighted"))
 
 
-def _pos_neg(df: DataFrame, y: str, positive=1) -> DataFrame:
-    return df.select(F.col(y), (F.col(y) == positive).cast("long").alias("pos"),
-                     (F.col(y) != positive).cast("long").alias("neg"))
-
-
 def roc_points(df: DataFrame, y: str, score: str, positive=1, n_buckets: int = 256) -> DataFrame:
     """(threshold, fpr, tpr, tps, fps) at every distinct score (E-06).
 

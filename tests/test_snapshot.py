@@ -139,3 +139,11 @@ def test_incremental_snapshots_resume(spark, tmp_path):
     a = normalize(written.select(*cols), 9)
     b = normalize(one_job.select(*cols), 9)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_anchors_frame_literal_table(spark):
+    from footfall.operators.anchors import anchors_frame
+    df = anchors_frame(spark, fixture_anchors())
+    assert df.schema.simpleString() == "struct<end_date:date,horizon:int>"
+    assert sorted((r["end_date"], r["horizon"]) for r in df.collect()) == \
+        sorted((a.end_date, a.horizon) for a in fixture_anchors())
