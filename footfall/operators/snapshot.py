@@ -25,15 +25,19 @@ from footfall.operators.anchors import (Anchor, explode_anchors, horizon_bounds,
 from footfall.operators.encode import estimate_levels, label_encode
 
 
-def store_dim(stores: DataFrame, genre_col: str = "genre_name", area_col: str = "area_name") -> DataFrame:
-    """store_id, air_genre_name (code), air_area_name (text), air_area_name0 (code).
+def store_dim(stores: DataFrame, genre_col: str = "genre_name", area_col: str = "area_name",
+              extra: list[str] | tuple = ()) -> DataFrame:
+    """store_id, air_genre_name (code), air_area_name (text), air_area_name0
+    (code), plus ``extra`` store attributes passed through (e.g. latitude,
+    longitude).
 
     ``air_area_name0`` is the first space-separated token of the area, coded.
     """
     df = stores.select(F.col("store_id").cast("string").alias("store_id"),
                        F.col(genre_col).alias("air_genre_name"),
                        F.col(area_col).alias("air_area_name"),
-                       F.get(F.split(F.col(area_col), " "), 0).alias("air_area_name0"))
+                       F.get(F.split(F.col(area_col), " "), 0).alias("air_area_name0"),
+                       *[F.col(c) for c in extra])
     sizes = estimate_levels(df, ["air_genre_name", "air_area_name0"])   # one job for both size checks
     df = label_encode(df, "air_genre_name", n_levels=sizes["air_genre_name"])
     df = label_encode(df, "air_area_name0", n_levels=sizes["air_area_name0"])

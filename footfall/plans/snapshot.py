@@ -50,6 +50,7 @@ class ForecastInputs:
     weather: DataFrame | None = None      # store_id, visit_date, measures...
     weather_measures: list[str] = field(default_factory=list)
     submission: DataFrame | None = None   # id = <store>_<date>
+    store_extra: list[str] = field(default_factory=list)   # store attributes kept on label rows
 
 
 def _genre_small(sdim: DataFrame, n_anchors: int) -> bool:
@@ -67,15 +68,16 @@ def create_snapshots(inp: ForecastInputs, anchors: list[Anchor], families=ALL_FA
     branches); it is restricted to the dates any anchor can read and written
     once to the checkpoint folder, so no branch recomputes its inputs."""
     families = set(families)
-    sdim = store_dim(inp.stores)
+    sdim = store_dim(inp.stores, extra=inp.store_extra)
     cal = calendar_dim(inp.calendar)
     base = base_fact(inp.visits, sdim, cal, inp.submission)
     if materialize_base:
         lo = min(a.end_date for a in anchors) - timedelta(days=max(max(lookbacks), max(K.DIFF_WINDOWS)))
         _, hi = horizon_bounds(anchors)
         base = materialize(base.where((F.col("visit_date") > F.lit(lo)) & (F.col("visit_date") < F.lit(hi))))
-    labels = label_rows(base, anchors, cal).select(*LABEL_COLUMNS)
-    out_cols = [F.col(c) for c in LABEL_COLUMNS]
+    label_cols = LABEL_COLUMNS + list(inp.store_extra)
+    labels = label_rows(base, anchors, cal).select(*label_cols)
+    out_cols = [F.col(c) for c in label_cols]
 
     # weather first: it joins on (store_id, visit_date) while labels are narrow
     if "weather" in families and inp.weather_measures:

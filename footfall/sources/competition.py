@@ -57,7 +57,8 @@ def competition_inputs(spark: SparkSession, folder: str, weather_folder: str | N
         visits=t("air_visit").withColumnRenamed("air_store_id", "store_id"),
         stores=t("air_store").select(F.col("air_store_id").alias("store_id"),
                                      F.col("air_genre_name").alias("genre_name"),
-                                     F.col("air_area_name").alias("area_name")),
+                                     F.col("air_area_name").alias("area_name"), "latitude", "longitude"),
+        store_extra=["latitude", "longitude"],
         calendar=t("date_info").select(F.col("calendar_date").alias("visit_date"), "holiday_flg"),
         reserve_a=t("air_reserve").select(F.col("air_store_id").alias("store_id"),
                                           F.col("reserve_datetime").alias("reserve_ts"),

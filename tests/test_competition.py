@@ -22,8 +22,8 @@ def test_cli_on_original_file_layout(spark, tmp_path, capsys):
             .select(F.col("store_id").alias("air_store_id"), "visit_date", "visitors"), data / "air_visit_data.csv")
     st = FX.stores(spark, SF_SMALL)
     _write(st.select(F.col("store_id").alias("air_store_id"), F.col("genre_name").alias("air_genre_name"),
-                     F.col("area_name").alias("air_area_name"), F.lit(None).cast("double").alias("latitude"),
-                     F.lit(None).cast("double").alias("longitude")), data / "air_store_info.csv")
+                     F.col("area_name").alias("air_area_name"), (F.col("store_id").cast("double") / 10).alias("latitude"),
+                     F.lit(135.5).alias("longitude")), data / "air_store_info.csv")
     _write(st.select(F.lit("h0").alias("hpg_store_id"), F.lit("x").alias("hpg_genre_name"),
                      F.lit("y").alias("hpg_area_name"), F.lit(0.0).alias("latitude"),
                      F.lit(0.0).alias("longitude")).limit(1), data / "hpg_store_info.csv")
@@ -55,3 +55,4 @@ def test_cli_on_original_file_layout(spark, tmp_path, capsys):
     assert got.where(F.col("visitors").isNull()).count() == 0
     snaps = spark.read.parquet(str(out / "snapshots"))
     assert snaps.select("end_date").distinct().count() == 64
+    assert {"latitude", "longitude"} <= set(snaps.columns)
