@@ -72,3 +72,25 @@ def competition_inputs(spark: SparkSession, folder: str, weather_folder: str | N
         weather_measures=measures,
         submission=t("submission").select("id"),
     )
+
+
+# --- fixed values: per-station weather files and the store -> station map ----
+STATION_COLUMNS = ["calendar_date"] + list(K.WEATHER_MEASURES)
+STATION_MAP_COLUMNS = ("air_store_id", "station_id")
+# ---------------------------------------------------------------------------
+
+
+def prepare_weather(spark: SparkSession, station_dir: str, station_map_csv: str, out_dir: str) -> DataFrame:
+    """One job: every station file in ``station_dir`` (file name = station
+    id) joined to the stores that use that station, written as the
+    ready-to-use weather table (S-03, J-08, S-04).  Returns the table."""
+    from footfall.sources.files import read_station_files, write_csv
+    schema = "calendar_date date, " + ", ".join(f"{m} double" for m in K.WEATHER_MEASURES)
+    stations = read_station_files(spark, station_dir, schema, key_name="station_id")
+    smap = (spark.read.option("header", True).csv(station_map_csv)
+                 .select(F.col(STATION_MAP_COLUMNS[0]).alias("store_id"),
+                         F.col(STATION_MAP_COLUMNS[1]).alias("station_id")))
+    weather = (smap.join(stations, "station_id")
+                   .select("store_id", F.col("calendar_date").alias("visit_date"), *K.WEATHER_MEASURES))
+    write_csv(weather, out_dir)
+    return weather

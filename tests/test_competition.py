@@ -56,3 +56,25 @@ def test_cli_on_original_file_layout(spark, tmp_path, capsys):
     snaps = spark.read.parquet(str(out / "snapshots"))
     assert snaps.select("end_date").distinct().count() == 64
     assert {"latitude", "longitude"} <= set(snaps.columns)
+
+
+def test_prepare_weather_from_station_files(spark, tmp_path):
+    from footfall import constants as K
+    from footfall.sources.competition import prepare_weather
+    st_dir = tmp_path / "stations"
+    st_dir.mkdir()
+    w = FX.station_weather(spark, SF_SMALL)
+    cols = [F.col("visit_date").alias("calendar_date")] + [
+        (F.col(m) if m in ("precipitation", "high_temperature") else F.lit(None).cast("double")).alias(m)
+        for m in K.WEATHER_MEASURES]
+    for sid in [r[0] for r in w.select("station_id").distinct().collect()]:
+        _write(w.where(F.col("station_id") == sid).select(*cols), st_dir / f"st{sid}.csv")
+    smap = FX.station_map(spark, SF_SMALL).select(F.col("store_id").alias("air_store_id"),
+                                                  F.concat(F.lit("st"), F.col("station_id").cast("string"))
+                                                  .alias("station_id"))
+    _write(smap, tmp_path / "map.csv")
+    out = prepare_weather(spark, str(st_dir), str(tmp_path / "map.csv"), str(tmp_path / "weather_out"))
+    want = FX.station_map(spark, SF_SMALL).join(w, "station_id").count()
+    assert out.count() == want
+    back = spark.read.option("header", True).csv(str(tmp_path / "weather_out"))
+    assert back.count() == want and "visit_date" in back.columns
