@@ -13,7 +13,7 @@ def _write(df, path):
     df.toPandas().to_csv(path, index=False)
 
 
-def test_cli_on_original_file_layout(spark, tmp_path, capsys):
+def _layout(spark, tmp_path):
     data = tmp_path / "data"
     data.mkdir()
     test_anchor = dt.date(2001, 6, 17)
@@ -44,6 +44,11 @@ def test_cli_on_original_file_layout(spark, tmp_path, capsys):
                     .alias("d"))
     _write(sub.select(F.concat("store_id", F.lit("_"), F.date_format("d", "yyyy-MM-dd")).alias("id"),
                       F.lit(0.0).alias("visitors")), data / "sample_submission.csv")
+    return data, test_anchor, sub
+
+
+def test_cli_on_original_file_layout(spark, tmp_path, capsys):
+    data, test_anchor, sub = _layout(spark, tmp_path)
     from footfall.__main__ import main
     out = tmp_path / "out"
     main(["--data", str(data), "--start", str(test_anchor - dt.timedelta(days=42)), "--out", str(out),
@@ -78,3 +83,15 @@ def test_prepare_weather_from_station_files(spark, tmp_path):
     assert out.count() == want
     back = spark.read.option("header", True).csv(str(tmp_path / "weather_out"))
     assert back.count() == want and "visit_date" in back.columns
+
+
+def test_profile_tables_on_original_layout(spark, tmp_path):
+    from footfall.plans.profiling import profile_tables
+    data, _, _ = _layout(spark, tmp_path)
+    prof = profile_tables(spark, str(data))
+    counts = {name: df.count() for name, df in prof.items()}      # every frame runs
+    # single-token areas have no ward/area parts: those tables are empty, the rest are not
+    assert all(n >= 1 for name, n in counts.items() if not name.startswith("hpg_area_")), counts
+    nulls = {r["column_name"]: r["null_count"] for r in prof["nulls_air_store"].collect()}
+    assert nulls["air_store_id"] == 0
+    assert prof["hpg_reservations_per_store_histogram"].count() == 100
