@@ -54,3 +54,14 @@ def test_snapshot_parquet_prunes_by_anchor(spark, tmp_path):
     assert {"end_date=2017-01-01", "end_date=2017-01-08"} <= set(os.listdir(path))
     back = read_snapshots(spark, path, [dt.date(2017, 1, 8)])
     assert [r["x"] for r in back.collect()] == [2]
+
+
+def test_snapshot_reload_prunes_partitions_at_the_scan(spark, tmp_path):
+    df = spark.createDataFrame([(dt.date(2017, 1, 1) + dt.timedelta(days=7 * i), i) for i in range(6)],
+                               "end_date date, x int")
+    path = str(tmp_path / "snaps")
+    write_snapshots(df, path)
+    back = read_snapshots(spark, path, [dt.date(2017, 1, 8), dt.date(2017, 1, 15)])
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "end_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert sorted(r["x"] for r in back.collect()) == [1, 2]
