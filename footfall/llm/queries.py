@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from footfall.llm import pii, quality_rules
+from footfall.llm import bpe_chunks, packing, pii, quality_rules, token_store
 
 SPARK = {
     "op1_quality_rules": quality_rules.query,
     "op2_pii": pii.query,
+    "op8_bpe_chunks": bpe_chunks.query,
+    "op9_token_store": token_store.query,
+    "op10_packing": packing.query,
 }
 
 SQL = {
