@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from footfall.llm import bpe_chunks, packing, pii, quality_rules, token_store
+from footfall.llm import bpe_chunks, packing, pii, quality_rules, token_store, top_k
 
 SPARK = {
     "op1_quality_rules": quality_rules.query,
     "op2_pii": pii.query,
+    "op6_top_k": top_k.query,
     "op8_bpe_chunks": bpe_chunks.query,
     "op9_token_store": token_store.query,
     "op10_packing": packing.query,
@@ -14,4 +15,5 @@ SPARK = {
 
 SQL = {
     "op1_quality_rules": quality_rules.ORACLE,
+    "op6_top_k": top_k.ORACLE,
 }
