@@ -4,9 +4,10 @@ distinct piece of text.
 A piece starts at a blank that follows or precedes a non-blank.  The
 pre-tokenizer of a byte-level vocabulary always starts a token there: a token
 ends before a blank unless it is white space itself, and of a white-space run
-before a non-blank it leaves exactly the last blank to the next token.  So the
-ids of a text are the ids of its pieces, one after another.  A tokenizer of
-another kind gets whole texts.
+before a non-blank it leaves exactly the last blank to the next token.  A
+single line end between non-blanks is a token of its own and starts a piece,
+too.  So the ids of a text are the ids of its pieces, one after another.  A
+tokenizer of another kind gets whole texts.
 """
 
 from __future__ import annotations
@@ -14,11 +15,17 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
+from functools import lru_cache
 
 import numpy as np
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
-MAX_PIECES = 300_000          # distinct pieces remembered by one worker
+MAX_PIECES = 700_000          # distinct pieces remembered by one worker
+MAX_TOKENS = 10_000           # distinct runs of punctuation remembered, too
+_PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_TWO_BLANKS = re.compile(r"\s\s")
+_pack = struct.Struct("<I").pack
 _UNSAFE = re.compile(r"\s (?:\s|\Z)")
 _CUT = re.compile(r"(?<=\S) | (?=\S)")
 
@@ -50,6 +57,7 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
@@ -59,36 +67,69 @@ class PieceEncoder:
                          and not any(a["lstrip"] or a["rstrip"] or a["single_word"] for a in added))
         self.special = {a["content"]: a["id"] for a in added}
         self.special_cut = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
+        self.to_chars = {b: c for c, b in byte_of_char().items()}
         self.pieces: dict[str, bytes] = {}
+        self._tokens: dict[str, bytes] = {}
         self._bytes: list[bytes] | None = None
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, wanted: set[str]) -> None:
+    def _token(self, text: str) -> bytes:
+        """Merges of one pre-token."""
+        got = self.model.tokenize(text.encode().decode("latin-1").translate(self.to_chars))
+        return b"".join([_pack(t.id) for t in got])
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a blank and ``piece``, or of a ``piece`` that starts with a
+        line end.  Latin letters and then punctuation without apostrophes are
+        two pre-tokens, which the model's merges get as they are; anything
+        else goes through the library's own pre-tokenizer."""
+        core = piece.rstrip(_PUNCTUATION)
+        lead = core[:1] == "\n"
+        word = core[1:] if lead else core
+        if not word.isalpha() or max(word) > "\u024f":
+            return self._whole(piece if lead else " " + piece)
+        out = self._known("\n") + self._token(word) if lead else self._token(" " + word)
+        return out + self._known(piece[len(core):]) if len(core) < len(piece) else out
+
+    def _known(self, token: str) -> bytes:
+        ids = self._tokens.get(token)
+        if ids is None:
+            if len(self._tokens) >= MAX_TOKENS:
+                self._tokens.clear()
+            ids = self._tokens[token] = self._token(token)
+        return ids
+
+    def _lookup(self, parts: list[str]) -> bytes:
         known = self.pieces
-        if len(known) + len(wanted) > MAX_PIECES:
-            known.clear()
-        names = list(wanted)
-        for w, e in zip(names, self.tokenizer.encode_batch_fast([" " + w for w in names], add_special_tokens=False),
-                        strict=True):
-            known[w] = np.array(e.ids, "<u4").tobytes()
+        try:
+            return b"".join(map(known.__getitem__, parts))
+        except KeyError:
+            if len(known) + len(parts) > MAX_PIECES:
+                known.clear()
+            out = []
+            for p in parts:
+                ids = known.get(p)
+                if ids is None:
+                    ids = self._piece(p)
+                    if len(known) < MAX_PIECES:
+                        known[p] = ids
+                out.append(ids)
+            return b"".join(out)
 
     def _plain(self, text: str) -> bytes:
         """Ids of a text without special tokens, as little-endian bytes."""
         if not text:
             return b""
-        parts = _CUT.split(text) if _UNSAFE.search(text) else text.split(" ")
-        known = self.pieces
-        head = self._whole(parts[0]) if parts[0] else b""
-        rest = parts[1:]
-        try:
-            return head + b"".join([known[p] for p in rest])
-        except KeyError:
-            self._learn({p for p in rest if p not in known})
-            if all(p in known for p in rest):
-                return head + b"".join([known[p] for p in rest])
-            return self._whole(text)      # more distinct pieces than are remembered
+        if _TWO_BLANKS.search(text):
+            parts = _CUT.split(text) if _UNSAFE.search(text) else text.split(" ")
+            parts[1:] = [p if p[:1] != "\n" else None for p in parts[1:]]
+            if None in parts:                 # a blank, then a line end: left to the library
+                return self._whole(text)
+        else:                                 # single blanks and line ends: both start a piece
+            parts = text.replace("\n", " \n").split(" ")
+        return (self._whole(parts[0]) if parts[0] else b"") + self._lookup(parts[1:])
 
     def encode_bytes(self, text: str) -> bytes:
         """Ids as consecutive little-endian unsigned 32-bit integers."""
@@ -121,3 +162,9 @@ class PieceEncoder:
         if not self.by_piece:
             return self.tokenizer.decode(ids.tolist(), skip_special_tokens=False)
         return b"".join(map(self.token_bytes().__getitem__, ids.tolist())).decode("utf-8", "replace")
+
+
+@lru_cache(maxsize=2)
+def encoder_for(vocabulary: str = DEFAULT_VOCABULARY) -> PieceEncoder:
+    """One encoder a Python worker: what it remembers serves later tasks."""
+    return PieceEncoder(vocabulary)

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from footfall.llm.bpe import DEFAULT_VOCABULARY, PieceEncoder
+from footfall.llm.bpe import DEFAULT_VOCABULARY, PieceEncoder, encoder_for
 from footfall.llm.common import id_text, table
 
 WINDOW = 16                  # characters under the rolling hash, a power of two
@@ -58,7 +58,7 @@ class ChunkEncoder:
     """``encode`` equals the tokenizer's ids of the whole text."""
 
     def __init__(self, vocabulary: str = DEFAULT_VOCABULARY, mean_chunk: int = MEAN_CHUNK):
-        self.pieces = PieceEncoder(vocabulary)
+        self.pieces: PieceEncoder = encoder_for(vocabulary)
         self.mean = mean_chunk
         self.chunks: dict[str, tuple[str, bytes, str] | None] = {}
         self.reused = 0

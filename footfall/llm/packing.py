@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.llm.bpe import DEFAULT_VOCABULARY, PieceEncoder
+from footfall.llm.bpe import DEFAULT_VOCABULARY, encoder_for
 from footfall.llm.common import id_text, stored, table, tasks_for
 
 CAPACITY = 2048
@@ -155,7 +155,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0, voc
     src = id_text(docs, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, tail = PieceEncoder(vocabulary), np.array([end_id], "<u4").tobytes()
+        encoder, tail = encoder_for(vocabulary), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows, piece, start, length, crc, ids = [], [], [], [], [], []
             for row, text in enumerate(batch.column(1)):

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footfall.llm.bpe import DEFAULT_VOCABULARY, PieceEncoder
+from footfall.llm.bpe import DEFAULT_VOCABULARY, encoder_for
 from footfall.llm.common import id_text, scratch_path, table, tasks_for
 
 BLOCK_TOKENS = 1 << 18
@@ -154,7 +154,7 @@ def write(docs: DataFrame, path: str, end_id: int = 2, vocabulary: str = DEFAULT
     arrow_id = dealt.limit(0).toArrow().schema.field("doc_id").type
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, tail = PieceEncoder(vocabulary), np.array([end_id], "<u4").tobytes()
+        encoder, tail = encoder_for(vocabulary), np.array([end_id], "<u4").tobytes()
         terminals = max(len(encoder.token_bytes()), end_id + 1)
         doc_ids, texts, size, number = [], [], 0, 0
 
