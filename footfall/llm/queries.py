@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from footfall.llm import bpe_chunks, html_text, ngram_lm, packing, pii, quality_rules, token_store, top_k
+from footfall.llm import bpe_chunks, html_text, ngram_lm, packing, pii, quality_rules, suffix_dedup, token_store, top_k
 
 SPARK = {
     "op1_quality_rules": quality_rules.query,
@@ -10,6 +10,7 @@ SPARK = {
     "op4_ngram_lm": ngram_lm.query,
     "op5_html_text": html_text.query,
     "op6_top_k": top_k.query,
+    "op7_suffix_dedup": suffix_dedup.query,
     "op8_bpe_chunks": bpe_chunks.query,
     "op9_token_store": token_store.query,
     "op10_packing": packing.query,
