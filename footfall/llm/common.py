@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +40,35 @@ def tasks_for(spark: SparkSession, n_rows: int, rows_per_task: int) -> int:
     """Partition count that grows with the rows."""
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return max(least, -(-n_rows // rows_per_task))
+
+
+FILTER_BITS = 24              # size of the document filter: 2 MB whatever the input
+
+
+def keyed(texts: DataFrame) -> DataFrame:
+    """``texts`` with th, a hash that tells rows of one doc_id apart."""
+    return texts.withColumn("th", F.hash("text"))
+
+
+def probable_owners(texts: DataFrame, owners: DataFrame) -> DataFrame:
+    """(doc_id, text, th) of ``texts`` for all documents in ``owners``
+    (doc_id, th) and, by chance, some others; a join on both then drops these.
+    It keeps texts out of that join's shuffle with a bitmap of fixed size;
+    when very many documents are wanted, it lets most through."""
+    spark = texts.sparkSession
+    bit = F.pmod(F.xxhash64("doc_id", "th"), F.lit(1 << FILTER_BITS))
+    words = (owners.select(bit.alias("bit")).groupBy(F.expr("cast(bit div 32 as int)").alias("word"))
+             .agg(F.expr("bit_or(shiftleft(1, cast(bit % 32 as int)))").alias("bits")).collect())
+    bitmap = np.zeros(1 << (FILTER_BITS - 5), np.int64)
+    for w in words:
+        bitmap[w["word"]] = w["bits"]
+    held = spark.sparkContext.broadcast(bitmap)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            b = batch.column(3).to_numpy()
+            hit = (held.value[b >> 5] >> (b & 31)) & 1 == 1
+            yield batch.filter(pa.array(hit)).select(["doc_id", "text", "th"])
+
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    return texts.select("doc_id", "text", "th", bit.alias("bit")).mapInArrow(run, f"doc_id {kind}, text string, th int")

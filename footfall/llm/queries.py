@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from footfall.llm import bpe_chunks, html_text, ngram_lm, packing, pii, quality_rules, suffix_dedup, token_store, top_k
+from footfall.llm import bpe_chunks, html_text, ngram_join, ngram_lm, packing, pii, quality_rules, suffix_dedup, token_store, top_k
 
 SPARK = {
     "op1_quality_rules": quality_rules.query,
     "op2_pii": pii.query,
+    "op3_ngram_join": ngram_join.query,
     "op4_ngram_lm": ngram_lm.query,
     "op5_html_text": html_text.query,
     "op6_top_k": top_k.query,
