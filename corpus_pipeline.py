@@ -1,31 +1,61 @@
-"""Corpus pipeline: documents to packed training sequences, stage by stage."""
+"""Corpus pipeline: documents to packed training sequences, stage by stage.
+
+Each stage takes (spark, docs, sf_dir); ``docs`` has the columns of documents
+and is what the stage before kept.  All but the last return those columns."""
 
 from __future__ import annotations
 
-from footfall.llm import pii, quality_rules
+from pyspark.sql import functions as F
+
+from footfall.llm import ngram_join, packing, pii, quality_rules, suffix_dedup
 from footfall.llm.common import stored, table
 
 
+def _counted(docs):
+    """n_chars follows a changed text."""
+    return docs.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def quality(spark, docs, sf_dir):
     """Drop the documents that the threshold table rejects."""
     return quality_rules.keep_documents(docs)
 
 
+def near_duplicates(spark, docs, sf_dir):
+    """Keep one document of each class of near copies."""
+    return ngram_join.keep_one(docs)
+
+
+def repeated_passages(spark, docs, sf_dir):
+    """Cut every passage that stands in two places; a document of which
+    nothing is left goes."""
+    cut = _counted(suffix_dedup.remove_repeats(docs))
+    return cut.where(F.coalesce(F.trim("text"), F.lit("")) != "")
+
+
 def personal_data(spark, docs, sf_dir):
     """Replace personal data by the name of its kind."""
-    docs = pii.redact_documents(docs)
-    return docs
+    return _counted(pii.redact_documents(docs))
+
+
+def packed(spark, docs, sf_dir):
+    """Pieces of all documents with their place in a sequence."""
+    return packing.pack(packing.token_pieces(docs))
 
 
 STAGES = [
     ("quality_rules", quality),
+    ("ngram_join", near_duplicates),
+    ("suffix_dedup", repeated_passages),
     ("pii", personal_data),
+    ("packing", packed),
 ]
 
-ORACLE_SQL = None
+ORACLE_SQL = None          # the later stages are beyond SQL; tested against plain Python
 
 
 def run(spark, sf_dir):
+    """All stages over documents; each stage's result is written and read."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)

@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import id_text, stored, table
+from footfall.llm.common import id_text, keyed, probable_owners, stored, table
 
 LENGTH = 400
 GRAM = 32                     # bytes under a key's hash, a power of two
@@ -52,7 +52,6 @@ ANCHOR_GRAM, ANCHOR_EVERY = 8, 32
 SHARED = LENGTH // 2          # bytes that sorted neighbours must share to be candidates
 SHARD_BYTES = 4_000_000
 HOT_REGIONS = 20_000          # regions of one key beyond which its strings are spread
-FILTER_BITS = 24              # size of the document filter, 2 MB whatever the input
 
 _U64 = np.uint64
 
@@ -337,23 +336,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, hot_regions: int = HO
     owned = mixed.groupBy("doc_id", "th").agg(F.collect_list(F.struct("m", "n", "s", "e", "hot")).alias("own"))
     size = mixed.agg(F.coalesce(F.sum(F.col("e") - F.col("s") + length), F.lit(0))).first()[0]
     shards = max(16, -(-size // SHARD_BYTES))
-    # which documents own a region: a bitmap of fixed size; what it lets through by chance, the join drops
-    bit = F.pmod(F.xxhash64("doc_id", "th"), F.lit(1 << FILTER_BITS))
-    words = (owned.select(bit.alias("bit")).groupBy(F.expr("cast(bit div 32 as int)").alias("word"))
-             .agg(F.expr("bit_or(shiftleft(1, cast(bit % 32 as int)))").alias("bits")).collect())
-    bitmap = np.zeros(1 << (FILTER_BITS - 5), np.int64)
-    for w in words:
-        bitmap[w["word"]] = w["bits"]
-    bitmap = texts.sparkSession.sparkContext.broadcast(bitmap)
-
-    def maybe_owner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            b = batch.column(3).to_numpy()
-            hit = (bitmap.value[b >> 5] >> (b & 31)) & 1 == 1
-            yield batch.filter(pa.array(hit)).select(["doc_id", "text", "th"])
-
-    owners = texts.select("doc_id", "text", "th", bit.alias("bit")).mapInArrow(
-        maybe_owner, f"doc_id {kind}, text string, th int")
+    owners = probable_owners(texts, owned)
     fetched = owners.alias("t").join(owned.alias("o"), F.col("t.doc_id").eqNullSafe(F.col("o.doc_id"))
                                      & (F.col("t.th") == F.col("o.th"))).select("t.doc_id", "t.th", "t.text", "o.own")
 
@@ -431,14 +414,10 @@ def _with_spans(texts: DataFrame, spans: DataFrame) -> DataFrame:
     return texts.join(s, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left").drop("_id", "_th")
 
 
-def _keyed(texts: DataFrame) -> DataFrame:
-    return texts.withColumn("th", F.hash("text"))
-
-
 def digests(docs: DataFrame, length: int = LENGTH, hot_regions: int = HOT_REGIONS, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    texts = _keyed(id_text(docs, id_col, text_col))
+    texts = keyed(id_text(docs, id_col, text_col))
     kind = texts.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -464,7 +443,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     two goes as a whole, a null text stays null, other columns are untouched."""
     others = [c for c in docs.columns if c != text_col]
     row = F.struct(F.col(text_col).isNull().alias("is_null"), *(F.col(c).alias(f"c{k}") for k, c in enumerate(others)))
-    texts = _keyed(docs.select(row.alias("row"), F.col(id_col).alias("doc_id"),
+    texts = keyed(docs.select(row.alias("row"), F.col(id_col).alias("doc_id"),
                                F.coalesce(F.col(text_col), F.lit("")).alias("text")))
     spans = repeated_spans(texts.select("doc_id", "text", "th"), length)
 
