@@ -12,8 +12,8 @@ score so far.  Candidates of a block stand in order of their norm, so that
 good scores come early.
 
 Queries are a stated set (ids divisible by ``every``), held in blocks; each
-block reads all candidates, cut in ranges that go to tasks of their own, whose
-k best per query are merged.  The work is queries x candidates in the worst
+block reads all candidates, cut in ranges that go to tasks of their own; the k
+best per query and range are merged.  The work is queries x candidates in the worst
 case, in memory of one block by one batch.
 
 Defined results: vectors that are null, empty, or hold a null or non-finite
@@ -34,11 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.llm.common import stored, table, tasks_for
+from footfall.llm.common import stored, table
 
 LEVELS = (1, 4, 16)           # segments at each resolution
 QUERY_BLOCK = 1024
-CANDIDATES_PER_TASK = 4_096
+SLICE_ROWS = 4_096            # candidates in a row of the join
+RANGE_ROWS = 65_536           # candidates that a query block meets in one task
+LEAST_RANGES = 64             # ranges of a smaller table, for parallel work
 SLICE = 512                   # candidates that meet a query block at once
 
 
@@ -135,40 +137,50 @@ class Scorer:
 def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id",
            vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score) of the k best of every query."""
-    spark = vectors.sparkSession
     rows = stored(usable(vectors, id_col, vector_col).withColumn("uid", F.monotonically_increasing_id()), "vectors")
     is_query = F.col("id") % every == 0
     n, q = rows.agg(F.count("*"), F.count(F.when(is_query, 1))).first()
-    ranges, blocks = tasks_for(spark, n, CANDIDATES_PER_TASK), max(1, -(-q // QUERY_BLOCK))
+    slices, blocks = max(1, -(-n // SLICE_ROWS)), max(1, -(-q // QUERY_BLOCK))
+    ranges = max(-(-n // RANGE_ROWS), min(slices, LEAST_RANGES))
 
     # one row a query block, QUERY_BLOCK vectors or so; each goes to every range of candidates
     queries = (rows.where(is_query).groupBy("dim", F.pmod(F.xxhash64("uid"), F.lit(blocks)).alias("block"))
                .agg(F.collect_list(F.struct("uid", "id", "v")).alias("q"))
-               .select("dim", F.col("q.uid").alias("q_uid"), F.col("q.id").alias("q_id"), F.flatten("q.v").alias("q_v"),
-                       F.explode(F.sequence(F.lit(0), F.lit(ranges - 1))).alias("range")))
-    # one row a range, CANDIDATES_PER_TASK vectors or so, the longest first
+               .select("dim", "block", F.col("q.uid").alias("q_uid"), F.col("q.id").alias("q_id"),
+                       F.flatten("q.v").alias("q_v"), F.explode(F.sequence(F.lit(0), F.lit(ranges - 1))).alias("range")))
+    # one row a slice, SLICE_ROWS vectors or so, the longest first; a range is some slices
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    candidates = (rows.groupBy("dim", F.pmod(F.xxhash64("uid", F.lit(1)), F.lit(ranges)).cast("int").alias("range"))
+    candidates = (rows.groupBy("dim", F.pmod(F.xxhash64("uid", F.lit(1)), F.lit(slices)).alias("slice"))
                   .agg(F.sort_array(F.collect_list(F.struct((-norm).alias("o"), "uid", "id", "v"))).alias("c"))
-                  .select("dim", "range", F.col("c.uid").alias("c_uid"), F.col("c.id").alias("c_id"),
-                          F.flatten("c.v").alias("c_v")))
+                  .select("dim", (F.col("slice") % ranges).cast("int").alias("range"), F.col("c.uid").alias("c_uid"),
+                          F.col("c.id").alias("c_id"), F.flatten("c.v").alias("c_v")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, scorer, ids = None, None, None
+
+        def best():
+            at = np.nonzero(scorer.valid)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(scorer.uid[at[0]]), pa.array(ids[at[0]]), pa.array(scorer.best_id[at]),
+                 pa.array(scorer.best_score[at])], names=["uid", "query_id", "vec_id", "score"])
+
         for batch in batches:
             for r in range(batch.num_rows):
-                q_uid, q_id, q_v, c_uid, c_id, c_v = (
-                    batch.column(batch.schema.get_field_index(name))[r].values.to_numpy()
-                    for name in ("q_uid", "q_id", "q_v", "c_uid", "c_id", "c_v"))
-                q_x, c_x = q_v.reshape(len(q_id), -1), c_v.reshape(len(c_id), -1)
-                scorer = Scorer(q_uid, q_x, k)
+                own = tuple(batch.column(k)[r].as_py() for k in range(3))
+                q_uid, q_id, q_v, c_uid, c_id, c_v = (batch.column(k)[r].values.to_numpy() for k in range(3, 9))
+                if own != key:              # slices that meet one block in one range come in a row
+                    if scorer is not None:
+                        yield best()
+                    key, ids, scorer = own, q_id, Scorer(q_uid, q_v.reshape(len(q_id), -1), k_best)
+                c_x = c_v.reshape(len(c_id), -1)
                 for a in range(0, len(c_id), SLICE):
                     scorer.meet(c_uid[a:a + SLICE], c_id[a:a + SLICE], c_x[a:a + SLICE])
-                at = np.nonzero(scorer.valid)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(q_uid[at[0]]), pa.array(q_id[at[0]]), pa.array(scorer.best_id[at]),
-                     pa.array(scorer.best_score[at])], names=["uid", "query_id", "vec_id", "score"])
+        if scorer is not None:
+            yield best()
 
-    found = queries.join(candidates, ["dim", "range"]).mapInArrow(
+    k_best = k
+    found = queries.join(candidates, ["dim", "range"]).select(
+        "dim", "range", "block", "q_uid", "q_id", "q_v", "c_uid", "c_id", "c_v").mapInArrow(
         run, "uid bigint, query_id bigint, vec_id bigint, score bigint")
     place = F.row_number().over(Window.partitionBy("uid").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
