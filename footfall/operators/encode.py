@@ -6,46 +6,38 @@ they are as large as a column's cardinality, never as large as the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from footfall.operators.ranking import exact_row_number
 
-# dictionaries up to this many levels are ranked in one task
-SMALL_DICTIONARY = 100_000
+def order_bucket(df: DataFrame, col: str) -> Column:
+    """A coarse value of ``col`` that never decreases along its order: a
+    prefix for text, sign and magnitude for numbers and dates."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, T.StringType):
+        return F.substring(col, 1, 3)
+    x = F.unix_date(col) if isinstance(kind, T.DateType) else F.col(col)
+    x = x.cast("double")
+    return F.signum(x) * F.floor(8 * F.log2(F.abs(x) + 1))
 
 
-def estimate_levels(df: DataFrame, cols: list[str]) -> dict[str, int]:
-    """Approximate distinct counts of several columns in one aggregate (the
-    size check that picks the ranking path; ~2 % relative error)."""
-    row = df.agg(*[F.approx_count_distinct(c, 0.02).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    return {c: int(row[f"n{i}"]) for i, c in enumerate(cols)}
-
-
-def level_codes(df: DataFrame, col: str, code_col: str = "code", n_levels: int | None = None) -> DataFrame:
+def level_codes(df: DataFrame, col: str, code_col: str = "code") -> DataFrame:
     """Dictionary ``(col, code)``: code = alphabetical rank from 0 (T-01).
 
-    The number of levels is checked first.  Up to ``SMALL_DICTIONARY`` levels
-    one window ranks them in one task (a bounded set); beyond that, levels are
-    range-partitioned, the partition ids are frozen by a checkpoint (so a
-    recomputation cannot move a level), and ranks are offsets per range plus
-    a row number inside it -- the same codes, no single-task sort.
-    """
-    from footfall.operators.ranking import exact_row_number
-    from footfall.session import materialize
+    Distinct levels are ranked inside buckets that respect their order, plus
+    the number of levels in earlier buckets; lazy, and no task holds more
+    than one bucket."""
     levels = df.select(col).where(F.col(col).isNotNull()).distinct()
-    n = n_levels if n_levels is not None else estimate_levels(df, [col])[col]
-    if n <= SMALL_DICTIONARY:
-        return levels.withColumn(code_col, (F.dense_rank().over(Window.orderBy(col)) - 1).cast("int"))
-    parts = max(2, -(-n // SMALL_DICTIONARY))
-    ranged = materialize(levels.repartitionByRange(parts, col).withColumn("__pid", F.spark_partition_id()))
-    ranked = exact_row_number(ranged, [], [F.col(col)], F.col("__pid"), "__rn")
+    ranked = exact_row_number(levels, [], [F.col(col)], order_bucket(df, col), "__rn")
     return ranked.select(col, F.col("__rn").cast("int").alias(code_col))
 
 
-def label_encode(df: DataFrame, col: str, out_col: str | None = None, n_levels: int | None = None) -> DataFrame:
+def label_encode(df: DataFrame, col: str, out_col: str | None = None, codes: DataFrame | None = None) -> DataFrame:
     """Replace (or add) a column with its alphabetical code (T-01)."""
     out_col = out_col or col
-    codes = level_codes(df, col, "__code", n_levels)
+    codes = level_codes(df, col, "__code") if codes is None else codes.withColumnRenamed("code", "__code")
     res = df.join(codes, on=col, how="left")
     if out_col == col:
         return res.drop(col).withColumnRenamed("__code", col).select(*df.columns)
@@ -53,14 +45,38 @@ def label_encode(df: DataFrame, col: str, out_col: str | None = None, n_levels:
 
 
 def ordinal_encode(df: DataFrame, cols: list[str], suffix: str = "_code") -> DataFrame:
-    """Alphabetical codes for several columns at once (T-02)."""
-    sizes = estimate_levels(df, cols)
+    """Alphabetical codes of ``df``'s own levels for several columns at once;
+    ``OrdinalEncoder`` carries codes from training rows to other rows."""
     out = df
     for c in cols:
-        out = label_encode(out, c, c + suffix, sizes[c])
+        out = label_encode(out, c, c + suffix)
     return out
 
 
+class OrdinalEncoder:
+    """Codes fitted on one frame and applied to others (T-02).  A level that
+    was not seen in fitting is an error when the result is computed; NULL
+    stays NULL."""
+
+    def __init__(self, cols: list[str], suffix: str = "_code"):
+        self.cols, self.suffix = list(cols), suffix
+        self.codes: dict[str, DataFrame] = {}
+
+    def fit(self, df: DataFrame) -> OrdinalEncoder:
+        self.codes = {c: level_codes(df, c) for c in self.cols}
+        return self
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        out = df
+        for c in self.cols:
+            name = c + self.suffix
+            out = label_encode(out, c, name, self.codes[c])
+            unseen = F.raise_error(F.concat(F.lit(f"unseen level of {c}: "), F.col(c).cast("string"))).cast("int")
+            out = out.withColumn(name, F.when(F.col(c).isNotNull() & F.col(name).isNull(), unseen)
+                                 .otherwise(F.col(name)))
+        return out
+
+
 def one_hot(df: DataFrame, col: str, levels: list[str], prefix: str | None = None) -> DataFrame:
     """0/1 indicator column per level, all levels kept (T-03).
 
@@ -88,7 +104,7 @@ def standardize(df: DataFrame, cols: list[str], params: dict[str, tuple[float, f
     def scaled(c):
         m, s = params[c]
         if s is None or s == 0:
-            return F.lit(0.0)
+            return F.when(F.col(c).isNotNull(), F.lit(0.0))     # a constant column; NULL stays NULL
         return (F.col(c) - F.lit(float(m))) / F.lit(float(s))
 
     keep = [c for c in df.columns if not (suffix == "" and c in cols)]

@@ -10,6 +10,8 @@ the global row number / running sum; no task holds more than one bucket.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,94 +70,78 @@ def running_totals_desc(df: DataFrame, score: str, value_cols: list[str], n_buck
                     *[(F.col(f"__o_{c}") + F.sum(c).over(within)).alias(prefix + c) for c in value_cols])
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float], n_buckets: int = 1000,
-                    local_limit: int = 100_000) -> dict[float, float | None]:
+def exact_quantiles(df: DataFrame, col: str, probs: list[float], n_buckets: int = 1000) -> dict[float, float | None]:
     """Exact quantiles of one column (see ``exact_quantiles_multi``)."""
-    return exact_quantiles_multi(df, [col], probs, n_buckets, local_limit)[col]
+    return exact_quantiles_multi(df, [col], probs, n_buckets)[col]
 
 
-def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float], n_buckets: int = 1000,
-                          local_limit: int = 100_000) -> dict[str, dict[float, float | None]]:
+def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float],
+                          n_buckets: int = 1000) -> dict[str, dict[float, float | None]]:
     """Exact quantiles with linear interpolation (as pandas / ``quantile_cont``)
     for several columns at once, by distributed selection -- never a
     single-task sort or a value map of a whole column.
 
-    The columns are read as (column, value) rows.  Each level splits every
-    interval still holding a wanted rank into ``n_buckets`` equal-width
-    buckets (one arithmetic expression per row, monotone in the value), and
-    one aggregate returns count, min and max per bucket.  A rank keeps the
-    bucket that holds it; that bucket's own min and max are the next
-    interval.  An interval whose min equals its max is resolved at once;
-    intervals of at most ``local_limit`` rows are resolved from their value
-    counts, all in one job.  Driver-side state is a few numbers per bucket.
+    The columns are read as (column, value) rows.  Infinite values are counted
+    at either end.  Each level splits every interval still holding a wanted
+    rank into ``n_buckets`` equal-width buckets (one arithmetic expression per
+    row, monotone in the value), and one aggregate returns count, min and max
+    per bucket.  A rank keeps the bucket that holds it; that bucket's own min
+    and max are the next interval, until they are equal.  The two ends of an
+    interval never share a bucket, so it shrinks at every level.  Driver-side
+    state is a few numbers per bucket.
     """
-    import math
-
+    inf = math.inf
     long = (df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"`{c}`").cast("double").alias("x"))
                                           for i, c in enumerate(cols)])).alias("r"))
               .select("r.c", "r.x").where(F.col("x").isNotNull() & ~F.isnan("x")))
-    stats = {r["c"]: (r["n"], r["lo"], r["hi"]) for r in
-             long.groupBy("c").agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()}
-    pos = {(ci, p): p * (stats[ci][0] - 1) for ci in stats for p in probs}
+    finite = F.when((F.col("x") != inf) & (F.col("x") != -inf), F.col("x"))
+    stats = {r["c"]: r for r in long.groupBy("c").agg(
+        F.count("*").alias("n"), F.count(F.when(F.col("x") == -inf, 1)).alias("low"),
+        F.count(finite).alias("finite"), F.min(finite).alias("lo"), F.max(finite).alias("hi")).collect()}
+    pos = {(ci, p): p * (stats[ci]["n"] - 1) for ci in stats for p in probs}
     wanted = sorted({(ci, int(math.floor(h))) for (ci, _), h in pos.items()}
                     | {(ci, int(math.ceil(h))) for (ci, _), h in pos.items()})
-    # per (column, rank): (column, low, high, rows below low, rows in [low, high]); bounds inclusive
-    state = {w: (w[0], stats[w[0]][1], stats[w[0]][2], 0, stats[w[0]][0]) for w in wanted}
     found: dict[tuple, float] = {}
-
-    def member(iv):
-        return (F.col("c") == F.lit(iv[0])) & (F.col("x") >= F.lit(iv[1])) & (F.col("x") <= F.lit(iv[2]))
+    # per (column, rank): (column, low, high, rows below low, rows in [low, high]); bounds inclusive
+    state: dict[tuple, tuple] = {}
+    for ci, rank in wanted:
+        s = stats[ci]
+        if s["low"] <= rank < s["low"] + s["finite"]:
+            state[ci, rank] = (ci, s["lo"], s["hi"], s["low"], s["finite"])
+        else:
+            found[ci, rank] = -inf if rank < s["low"] else inf
 
     def tag_of(ivs):
         tag = F.lit(None).cast("int")
-        for i, iv in reversed(list(enumerate(ivs))):
-            tag = F.when(member(iv), F.lit(i)).otherwise(tag)
+        for i, (c, lo, hi, _, _) in reversed(list(enumerate(ivs))):
+            tag = F.when((F.col("c") == c) & (F.col("x") >= F.lit(lo)) & (F.col("x") <= F.lit(hi)), F.lit(i)).otherwise(tag)
         return tag
 
-    while len(found) < len(wanted):
-        for w in wanted:                       # a single distinct value: done
-            if w not in found and state[w][1] == state[w][2]:
-                found[w] = state[w][1]
-        intervals = sorted({state[w] for w in wanted if w not in found}, key=repr)
+    while True:
+        found.update({w: iv[1] for w, iv in state.items() if iv[1] == iv[2]})     # a single value: done
+        intervals = sorted({iv for w, iv in state.items() if w not in found}, key=repr)
         if not intervals:
             break
-        small = [iv for iv in intervals if iv[4] <= local_limit]
-        big = [iv for iv in intervals if iv[4] > local_limit]
-        if small:
-            rows = (long.withColumn("__t", tag_of(small)).where(F.col("__t").isNotNull())
-                        .groupBy("__t", "x").count().collect())
-            per: dict[int, list] = {}
-            for row in rows:
-                per.setdefault(row["__t"], []).append((row["x"], row["count"]))
-            for t, iv in enumerate(small):
-                cum = iv[3]
-                for x, cnt in sorted(per.get(t, [])):
-                    for w in wanted:
-                        if w not in found and state[w] == iv and cum <= w[1] < cum + cnt:
-                            found[w] = x
-                    cum += cnt
-        if not big:
-            continue
-        tagged = long.withColumn("__iv", tag_of(big)).where(F.col("__iv").isNotNull())
         bucket = F.lit(0)
-        for i, (_, lo, hi, _, _) in enumerate(big):
-            b = F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(hi - lo) * F.lit(n_buckets)),
-                        F.lit(n_buckets - 1)).cast("int")
+        for i, (_, lo, hi, _, _) in enumerate(intervals):
+            # halves, so that the width of any two finite ends is finite, too
+            share = (F.col("x") / 2 - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2) if hi / 2 > lo / 2 else F.lit(0.0)
+            b = F.when(F.col("x") == F.lit(hi), F.lit(n_buckets - 1)).otherwise(
+                F.least(F.floor(share * n_buckets), F.lit(n_buckets - 2)).cast("int"))
             bucket = F.when(F.col("__iv") == i, b).otherwise(bucket)
-        rows = (tagged.groupBy("__iv", bucket.alias("__b"))
-                      .agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect())
-        per_b: dict[int, list] = {}
-        for row in rows:
-            per_b.setdefault(row["__iv"], []).append((row["__b"], row["n"], row["lo"], row["hi"]))
-        for i, iv in enumerate(big):
-            cum = iv[3]
-            for _, n, lo, hi in sorted(per_b.get(i, [])):
-                for w in wanted:
-                    if w not in found and state[w] == iv and cum <= w[1] < cum + n:
-                        state[w] = (iv[0], lo, hi, cum, n)
-                cum += n
+        tagged = long.withColumn("__iv", tag_of(intervals)).where(F.col("__iv").isNotNull())
+        per: dict[int, list] = {}
+        for r in (tagged.groupBy("__iv", bucket.alias("__b"))
+                  .agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()):
+            per.setdefault(r["__iv"], []).append((r["__b"], r["n"], r["lo"], r["hi"]))
+        for i, iv in enumerate(intervals):
+            below = iv[3]
+            for _, n, lo, hi in sorted(per.get(i, [])):
+                for w in [w for w, mine in state.items() if mine == iv and below <= w[1] < below + n]:
+                    state[w] = (iv[0], lo, hi, below, n)
+                below += n
     out: dict[str, dict[float, float | None]] = {c: {p: None for p in probs} for c in cols}
     for (ci, p), h in pos.items():
-        lo_v, hi_v = found[(ci, int(math.floor(h)))], found[(ci, int(math.ceil(h)))]
-        out[cols[ci]][p] = lo_v + (hi_v - lo_v) * (h - math.floor(h))
+        a, b = found[(ci, int(math.floor(h)))], found[(ci, int(math.ceil(h)))]
+        out[cols[ci]][p] = a if a == b else a + (b - a) * (h - math.floor(h))
     return out

@@ -22,7 +22,7 @@ from footfall import constants as K
 from footfall.functions import calendar_flag_columns, make_id, weekday, id_date, id_store
 from footfall.operators.anchors import (Anchor, explode_anchors, horizon_bounds, in_horizon,
                                         in_lookback, lookback_bounds)
-from footfall.operators.encode import estimate_levels, label_encode
+from footfall.operators.encode import label_encode
 
 
 def store_dim(stores: DataFrame, genre_col: str = "genre_name", area_col: str = "area_name",
@@ -38,10 +38,7 @@ def store_dim(stores: DataFrame, genre_col: str = "genre_name", area_col: str =
                        F.col(area_col).alias("air_area_name"),
                        F.get(F.split(F.col(area_col), " "), 0).alias("air_area_name0"),
                        *[F.col(c) for c in extra])
-    sizes = estimate_levels(df, ["air_genre_name", "air_area_name0"])   # one job for both size checks
-    df = label_encode(df, "air_genre_name", n_levels=sizes["air_genre_name"])
-    df = label_encode(df, "air_area_name0", n_levels=sizes["air_area_name0"])
-    return df
+    return label_encode(label_encode(df, "air_genre_name"), "air_area_name0")
 
 
 def calendar_dim(calendar: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # columns that are keys, targets or raw text, never predictors (P-11)
-NOT_PREDICTORS = ["id", "store_id", "visit_date", "end_date", "air_area_name", "visitors", "month"]
+NOT_PREDICTORS = ["id", "store_id", "visit_date", "end_date", "horizon", "air_area_name", "visitors", "month"]
 
 
 class SafeAssembler:

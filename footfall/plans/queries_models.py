@@ -117,9 +117,9 @@ def q_t07_rfe(spark, sf):
     return spark.createDataFrame(ranks, "feature string, rank int")
 
 
-def _lr_grid(lr):
-    # C in {100, 10, 1, 0.1, 0.01} -> regParam = 1 / C (per-row scaling absorbed); l2 and l1
-    return (ParamGridBuilder().addGrid(lr.regParam, [0.01, 0.1, 1.0, 10.0, 100.0][:3])
+def _lr_grid(lr, n):
+    # C in {100, 10, 1, 0.1, 0.01} -> regParam = 1 / (C n) over n rows; l2 and l1
+    return (ParamGridBuilder().addGrid(lr.regParam, [1 / (c * n) for c in (100, 10, 1, 0.1, 0.01)])
             .addGrid(lr.elasticNetParam, [0.0, 1.0]).build())
 
 
@@ -129,26 +129,22 @@ def q_v04_grid_search(spark, sf):
     df = stratified_kfold(clf_frame(spark, sf), "doc_id", "label", K.N_FOLDS)
     lr = LogisticRegression(featuresCol="features", labelCol="label", standardization=False)
     pipe = ES.pipeline(CLF_FEATURES, lr, scale=True)
-    maps = _lr_grid(lr)
+    maps = _lr_grid(lr, df.count())
     cvm = S.grid_search(df, pipe, maps, S.AUCEvaluator("label"), "fold", K.N_FOLDS, PARALLELISM)
     return S.grid_table(spark, cvm, maps)
 
 
-def _clf_candidates(n_features: int):
-    return SEL.default_classifiers(CAT_FEATURES, "p_partkey")
-
-
-_NESTED_SCORES: dict = {}
+# grids of the registered searches; the original's full grids are the default of the functions
+CLF_GRIDS = {"DecisionTree": {"maxDepth": (1, 5)}, "GaussianNB": {"varSmoothing": (1.0, 1e-9)},
+             "KNeighbors": {"k": (5,), "p": (2.0,)}, "LogisticRegression": {"C": (1.0,)}, "RBF": {"gamma": (1e-3,), "C": (1,)}}
+REG_GRIDS = {"LinearRegression": {"regParam": (0.0, 1.0)}, "DecisionTree": {"maxDepth": (3, 5)},
+             "KNeighbors": {"k": (5,), "p": (2.0,)}}
 
 
 def _nested_clf(spark, sf, refit: bool = False):
-    """Outer scores are memoised per session and input folder: the refit
-    query reuses the selection instead of repeating every search."""
     df = cat_frame(spark, sf)
-    key = (id(spark), sf)
-    sel = SEL.select_model(df, "p_partkey", _clf_candidates(len(CAT_FEATURES)), S.F1MacroEvaluator("label"),
-                           K.N_FOLDS, True, PARALLELISM, refit=refit, scores_rows=_NESTED_SCORES.get(key))
-    _NESTED_SCORES[key] = [tuple(r) for r in sel.scores.collect()]
+    sel = SEL.select_model(df, "p_partkey", SEL.default_classifiers(CAT_FEATURES, "p_partkey", df.count(), CLF_GRIDS),
+                           S.F1MacroEvaluator("label"), K.N_FOLDS, True, 4, refit=refit)
     return df, sel
 
 
@@ -161,7 +157,7 @@ def q_v05_nested_cv_clf(spark, sf):
 @register("q_v05_nested_cv_reg", None)
 def q_v05_nested_cv_reg(spark, sf):
     """Nested CV over regressors, negative MSE (V-05)."""
-    sel = SEL.select_model(reg_frame(spark, sf), "o_orderkey", SEL.default_regressors(REG_FEATURES, "o_orderkey"),
+    sel = SEL.select_model(reg_frame(spark, sf), "o_orderkey", SEL.default_regressors(REG_FEATURES, "o_orderkey", REG_GRIDS),
                            S.neg_mse_evaluator("label"), K.N_FOLDS, False, PARALLELISM, refit=False)
     return sel.summary
 

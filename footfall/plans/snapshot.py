@@ -15,6 +15,7 @@ small blocks with a checked or proven size and are broadcast.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass, field
 from datetime import timedelta
 
@@ -29,8 +30,6 @@ from footfall.operators.snapshot import base_fact, calendar_dim, history, label_
 
 ALL_FAMILIES = ("store", "store_dow", "diff", "genre", "reserve", "weather", "ratios")
 KEY = ["end_date", "store_id"]
-# genre blocks up to this many rows (anchors x genres) are broadcast
-GENRE_BROADCAST_MAX_ROWS = 200_000
 
 LABEL_COLUMNS = [
     "end_date", "store_id", "visit_date", "id", "visitors", "dow", "diff_of_day", "month", "year",
@@ -53,12 +52,6 @@ class ForecastInputs:
     store_extra: list[str] = field(default_factory=list)   # store attributes kept on label rows
 
 
-def _genre_small(sdim: DataFrame, n_anchors: int) -> bool:
-    """Size check before broadcasting the genre block: genres x anchors rows."""
-    n_genres = sdim.select("air_genre_name").distinct().count()
-    return n_genres * n_anchors <= GENRE_BROADCAST_MAX_ROWS
-
-
 def create_snapshots(inp: ForecastInputs, anchors: list[Anchor], families=ALL_FAMILIES,
                      weather_mode: str = "as_reference", median_mode: str = "exact",
                      lookbacks=K.LOOKBACKS, materialize_base: bool = True) -> DataFrame:
@@ -67,6 +60,10 @@ def create_snapshots(inp: ForecastInputs, anchors: list[Anchor], families=ALL_FA
     The base fact feeds labels, history and differences (about eight
     branches); it is restricted to the dates any anchor can read and written
     once to the checkpoint folder, so no branch recomputes its inputs."""
+    per_date = Counter(a.end_date for a in set(anchors))
+    if max(per_date.values(), default=0) > 1:
+        raise ValueError("two horizons of one end date in a call: rows are keyed by end date; "
+                         "make one call a horizon (write_snapshots_incremental does)")
     families = set(families)
     sdim = store_dim(inp.stores, extra=inp.store_extra)
     cal = calendar_dim(inp.calendar)
@@ -111,10 +108,7 @@ def create_snapshots(inp: ForecastInputs, anchors: list[Anchor], families=ALL_FA
         for ch in ("air", "hpg"):
             out_cols += [FE.fill0(FE.q(c)).alias(c) for c in RS.feature_columns(ch, "date")]
     if "genre" in families or "ratios" in families:
-        gb = FE.genre_block(hist, lookbacks, median_mode)
-        if _genre_small(sdim, len(anchors)):
-            gb = F.broadcast(gb)
-        out = out.join(gb, ["end_date", "air_genre_name"], "left")
+        out = out.join(FE.genre_block(hist, lookbacks, median_mode), ["end_date", "air_genre_name"], "left")
         if "genre" in families:
             out_cols += FE.select_genre_features(lookbacks)
 
@@ -150,21 +144,24 @@ def feature_columns(families=ALL_FAMILIES, weather_measures=(), lookbacks=K.LOOK
 def write_snapshots_incremental(inputs: ForecastInputs, anchors: list[Anchor], path: str,
                                 batch_anchors: int = 8, **kwargs) -> list[Anchor]:
     """Write snapshots in batches of anchors to Parquet partitioned by
-    ``end_date``; anchors already present under ``path`` are skipped.
+    ``horizon`` and ``end_date``; anchors (both) already present under
+    ``path`` are skipped.
 
     Each batch is one job whose exploded history covers only its anchors, and
     a finished batch is durable: a run interrupted by a lost driver or
     executors resumes with the missing anchors only.  Returns the anchors
     written by this call."""
-    from footfall.sources.files import write_snapshots
+    from footfall.sources.files import path_exists, write_snapshots
     spark = inputs.visits.sparkSession
     done: set = set()
-    try:
-        done = {r[0] for r in spark.read.parquet(path).select("end_date").distinct().collect()}
-    except Exception:  # noqa: BLE001  (nothing written yet)
-        done = set()
-    todo = sorted(a for a in anchors if a.end_date not in done)
-    for i in range(0, len(todo), batch_anchors):
-        batch = todo[i:i + batch_anchors]
-        write_snapshots(create_snapshots(inputs, batch, **kwargs), path, mode="overwrite")
+    if path_exists(spark, path):
+        done = {Anchor(r["end_date"], int(r["horizon"])) for r in
+                spark.read.parquet(path).select("end_date", "horizon").distinct().collect()}
+    todo = sorted(set(anchors) - done)
+    for horizon in sorted({a.horizon for a in todo}):
+        same = [a for a in todo if a.horizon == horizon]
+        for i in range(0, len(same), batch_anchors):
+            rows = create_snapshots(inputs, same[i:i + batch_anchors], **kwargs)
+            write_snapshots(rows.withColumn("horizon", F.lit(horizon)), path, mode="overwrite",
+                            partition_cols=("horizon", "end_date"))
     return todo

@@ -14,25 +14,33 @@ from pyspark.sql import DataFrame, SparkSession
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "footfall", extra: dict[str, str] | None = None) -> SparkSession:
-    master = master or os.environ.get("FOOTFALL_MASTER", "local[8]")
-    parts = shuffle_partitions or int(os.environ.get("FOOTFALL_SHUFFLE_PARTITIONS", "8"))
+    """Session with the library's settings.  The master and the number of
+    shuffle partitions stay as spark-submit or Spark's defaults have them,
+    unless an argument or the environment names them."""
     builder = (
-        SparkSession.builder.master(master)
+        SparkSession.builder
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("FOOTFALL_DRIVER_MEMORY", "16g"))
         # wide snapshot plans (hundreds of aggregate columns)
         .config("spark.sql.codegen.maxFields", "1000")
         # remove checkpoint files once their DataFrame is no longer referenced
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
+    master = master or os.environ.get("FOOTFALL_MASTER")
+    parts = shuffle_partitions or os.environ.get("FOOTFALL_SHUFFLE_PARTITIONS")
+    memory = os.environ.get("FOOTFALL_DRIVER_MEMORY")
+    if master:
+        builder = builder.master(master)
+    if parts:
+        builder = builder.config("spark.sql.shuffle.partitions", str(parts))
+    if memory:
+        builder = builder.config("spark.driver.memory", memory)
     event_dir = os.environ.get("FOOTFALL_EVENT_LOG_DIR")
     if event_dir:   # stage/task timings for profiling, written to a scratch folder
         builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)

@@ -49,7 +49,7 @@ def competition_inputs(spark: SparkSession, folder: str, weather_folder: str | N
     t = lambda name: read_table(spark, folder, name)
     weather = None
     measures: list[str] = []
-    if weather_folder and os.path.exists(os.path.join(weather_folder, WEATHER_FILE)):
+    if weather_folder is not None:      # a named folder without the file is an error, raised by the reader
         schema = "store_id string, visit_date date, " + ", ".join(f"{m} double" for m in K.WEATHER_MEASURES)
         weather = read_csv_headered(spark, os.path.join(weather_folder, WEATHER_FILE), schema)
         measures = list(K.WEATHER_MEASURES)

@@ -53,14 +53,20 @@ def write_submission_csv(df: DataFrame, folder: str, float_cols: list[str],
     return path
 
 
-def write_snapshots(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, in whatever file system it names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def write_snapshots(df: DataFrame, path: str, mode: str = "overwrite", partition_cols=("end_date",)) -> None:
     """Persist feature snapshots as Parquet partitioned by anchor (S-06).
 
     Dynamic partition overwrite replaces only the anchors being written.
     """
     (df.write.mode(mode)
        .option("partitionOverwriteMode", "dynamic")
-       .partitionBy("end_date").parquet(path))
+       .partitionBy(*partition_cols).parquet(path))
 
 
 def read_snapshots(spark: SparkSession, path: str, end_dates=None) -> DataFrame:

@@ -14,6 +14,7 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     os.environ.setdefault("FOOTFALL_MASTER", "local[4]")
     os.environ.setdefault("FOOTFALL_SHUFFLE_PARTITIONS", "4")
+    os.environ.setdefault("FOOTFALL_DRIVER_MEMORY", "8g")
     from footfall.session import get_session
     s = get_session()
     yield s

@@ -3,6 +3,8 @@
 import datetime as dt
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from footfall.sources import fixtures as FX
@@ -95,3 +97,17 @@ def test_profile_tables_on_original_layout(spark, tmp_path):
     nulls = {r["column_name"]: r["null_count"] for r in prof["nulls_air_store"].collect()}
     assert nulls["air_store_id"] == 0
     assert prof["hpg_reservations_per_store_histogram"].count() == 100
+
+
+def test_weather_is_read_by_spark_or_missed_loudly(spark, tmp_path):
+    from footfall import constants as K
+    from footfall.sources.competition import WEATHER_FILE, competition_inputs
+    header = ",".join(["store_id", "visit_date", *K.WEATHER_MEASURES])
+    (tmp_path / WEATHER_FILE).write_text(header + "\n" + ",".join(["s1", "2017-01-01"] + ["1.5"] * len(K.WEATHER_MEASURES)) + "\n")
+    data = str(_layout(spark, tmp_path)[0])
+    for folder in (str(tmp_path), tmp_path.as_uri()):
+        inp = competition_inputs(spark, data, folder)
+        assert inp.weather_measures == list(K.WEATHER_MEASURES) and inp.weather.count() == 1
+    assert competition_inputs(spark, data).weather is None
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        competition_inputs(spark, data, str(tmp_path / "nowhere")).weather.count()

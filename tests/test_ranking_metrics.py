@@ -1,5 +1,6 @@
 """Distributed ranking and evaluation tables against brute force."""
 
+import math
 import random
 
 import numpy as np
@@ -96,20 +97,49 @@ def test_exact_quantiles_match_numpy_with_ties(spark):
     vals = np.concatenate([rng.normal(size=1500), np.full(1000, 1.5), rng.integers(0, 5, 500).astype(float)])
     df = spark.createDataFrame([(float(v),) for v in vals], "v double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
-    # tiny buckets and local limit force several refinement levels
-    got = exact_quantiles(df, "v", probs, n_buckets=10, local_limit=50)
+    # few buckets force several refinement levels
+    got = exact_quantiles(df, "v", probs, n_buckets=10)
     for p in probs:
         assert got[p] == pytest.approx(float(np.quantile(vals, p)), abs=1e-12)
 
 
-def test_level_codes_large_dictionary_path_matches_window(spark, monkeypatch):
+def test_exact_quantiles_with_infinities_and_extremes(spark):
+    from footfall.operators.ranking import exact_quantiles
+    vals = [-math.inf, -1.7e308, -2.0, 0.0, 5e-324, 1.0, 3.0, 1.7e308, math.inf, math.inf]
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,), (math.nan,)], "v double")
+    got = exact_quantiles(df, "v", [k / 9 for k in range(10)], n_buckets=4)
+    assert [got[k / 9] for k in range(10)] == vals
+    only = spark.createDataFrame([(math.inf,)] * 21, "v double")
+    assert exact_quantiles(only, "v", [0.0, 0.3, 1.0]) == {0.0: math.inf, 0.3: math.inf, 1.0: math.inf}
+
+
+def test_level_codes_are_ranks_for_text_numbers_and_dates(spark):
+    from datetime import date, timedelta
+
+    from footfall.operators import encode as EN
+    rows = [(f"lvl{(i * 7919) % 997:04d}", ((i * 31) % 500 - 250) / 3, date(1999, 1, 1) + timedelta(days=i * 37 % 3000 - 900))
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "s string, x double, d date")
+    for k, col in enumerate("sxd"):
+        want = {v: n for n, v in enumerate(sorted({r[k] for r in rows}))}
+        assert {r[col]: r["code"] for r in EN.level_codes(df, col).collect()} == want
+
+
+def test_ordinal_encoder_is_fitted_and_unseen_is_an_error(spark):
+    from pyspark.errors import PySparkException
+
+    from footfall.operators import encode as EN
+    enc = EN.OrdinalEncoder(["v"]).fit(spark.createDataFrame([("b",), ("c",)], "v string"))
+    out = enc.transform(spark.createDataFrame([("c",), (None,)], "v string")).collect()
+    assert {r["v"]: r["v_code"] for r in out} == {"c": 1, None: None}
+    with pytest.raises(PySparkException, match="unseen level of v: d"):
+        enc.transform(spark.createDataFrame([("c",), ("d",)], "v string")).collect()
+
+
+def test_standardize_keeps_null_of_a_constant_column(spark):
     from footfall.operators import encode as EN
-    rows = [(f"lvl{(i * 7919) % 997:04d}",) for i in range(3000)]
-    df = spark.createDataFrame(rows, "v string")
-    small = {r["v"]: r["code"] for r in EN.level_codes(df, "v").collect()}
-    monkeypatch.setattr(EN, "SMALL_DICTIONARY", 50)
-    large = {r["v"]: r["code"] for r in EN.level_codes(df, "v").collect()}
-    assert small == large and sorted(small.values()) == list(range(997))
+    df = spark.createDataFrame([(5.0,), (5.0,), (None,)], "x double")
+    assert [r["x"] for r in EN.standardize(df, ["x"]).collect()] == [0.0, 0.0, None]
 
 
 def test_exact_size_holdout_and_kfold(spark, scored):

@@ -141,6 +141,22 @@ def test_incremental_snapshots_resume(spark, tmp_path):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_two_horizons_of_one_date_are_written_apart(spark, tmp_path):
+    from footfall.plans.snapshot import write_snapshots_incremental
+    inp, end = fixture_inputs(spark, SF_SMALL), fixture_anchors()[0].end_date
+    both, path = [Anchor(end, 39), Anchor(end, 14)], str(tmp_path / "snaps")
+    with pytest.raises(ValueError, match="two horizons"):
+        create_snapshots(inp, both)
+    assert write_snapshots_incremental(inp, both[:1], path) == both[:1]
+    assert write_snapshots_incremental(inp, both, path) == both[1:]
+    rows = spark.read.parquet(path)
+    short, long = (rows.where(F.col("horizon") == h).drop("horizon") for h in (14, 39))
+    assert 0 < short.count() < long.count()
+    keys = ["store_id", "visit_date", "air_date_sum"]
+    near = long.where(F.col("visit_date") < F.lit(end + dt.timedelta(days=14)))
+    assert near.select(*keys).exceptAll(short.select(*keys)).count() == 0
+
+
 def test_anchors_frame_literal_table(spark):
     from footfall.operators.anchors import anchors_frame
     df = anchors_frame(spark, fixture_anchors())
