@@ -9,6 +9,7 @@ def _load():
     from footfall.plans import queries_eval  # noqa: F401
     from footfall.plans import queries_models  # noqa: F401
     from footfall.plans import queries_misc  # noqa: F401
+    from footfall.plans import queries_closed  # noqa: F401
     return queries
 
 

@@ -45,9 +45,9 @@ def _key(r):
     return tuple((x is not None, x or 0) for x in r)
 
 
-def _check(spark, rows, **more):
+def _check(spark, rows):
     df = spark.createDataFrame([(i, t, "x", 7) for i, t in rows], "doc_id long, text string, node string, th int")
-    got = J.join(df, **more).collect()
+    got = J.join(df).collect()
     assert sorted(((r.doc_id, r.class_id, r.class_size) for r in got), key=_key) == sorted(brute(rows), key=_key)
     assert all((r.n_links > 0) == (r.class_size > 1) for r in got)
 
@@ -75,8 +75,9 @@ def test_whole_table_equals_brute_force(spark):
         assert (got[doc_id].class_id, got[doc_id].class_size) == (name, size)
 
 
-@pytest.mark.parametrize("portion", [J.PORTION, 4])
-def test_drifting_copies_and_edges(spark, portion):
+@pytest.mark.parametrize("cell", [J.CELL, 5])
+def test_drifting_copies_and_edges(spark, cell, monkeypatch):
+    monkeypatch.setattr(J, "CELL", cell)
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
     rows, n = [], 0
@@ -93,7 +94,18 @@ def test_drifting_copies_and_edges(spark, portion):
     rows += [(200, None), (201, ""), (202, " \n"), (203, "two words"), (204, "two  words"), (205, "a b c d"),
              (None, "a b c d"), (None, rows[0][1]), (7, rows[7][1]), (None, "only null id"), (300, "x y " * 30_000),
              (301, "x y " * 20_000)]
-    _check(spark, rows, portion=portion)
+    _check(spark, rows)
+
+
+def test_copies_around_the_least_similarity(spark):
+    rng = random.Random(6)
+    base, rows = [f"w{k}" for k in range(150)], []
+    for n in range(120):                          # one to twenty changed words: similar to some, not to others
+        t = list(base)
+        for _ in range(rng.randrange(1, 20)):
+            t[rng.randrange(150)] = f"x{rng.randrange(10 ** 6)}"
+        rows.append((n, " ".join(t)))
+    _check(spark, rows)
 
 
 def test_keep_one(spark):
