@@ -51,16 +51,18 @@ def calendar_dim(calendar: DataFrame) -> DataFrame:
 def shifted_calendar(cal: DataFrame, offsets: Iterable[int] = K.CALENDAR_OFFSETS) -> DataFrame:
     """Wide calendar: for label date d and offset i the flags of day d - i,
     as ``ahead_holiday_{i}``, ``ahead_holiday2_{i}``, ``ahead_friday_{i}``,
-    ``ahead_weekend_{i}`` (J-06).  Built once on the calendar (a few thousand
-    rows at most), then joined once onto the labels."""
+    ``ahead_weekend_{i}`` (J-06).  Every calendar day is dealt to the days it
+    is ``i`` before, and one aggregate puts them side by side: no join per
+    offset, and no assumption that the calendar has no gaps."""
     names = {"holiday_flg": "ahead_holiday_{}", "holiday_flg2": "ahead_holiday2_{}",
              "friday_flg": "ahead_friday_{}", "weekend_flg": "ahead_weekend_{}"}
-    wide = cal.select("visit_date")
-    for i in offsets:
-        shifted = cal.select(F.date_add("visit_date", i).alias("visit_date"),
-                             *[F.col(src).alias(dst.format(i)) for src, dst in names.items()])
-        wide = wide.join(shifted, "visit_date", "left")
-    return wide
+    offsets = list(offsets)
+    dealt = cal.withColumn("__i", F.explode(F.array(F.lit(None).cast("int"), *[F.lit(i) for i in offsets])))
+    side = [F.max(F.when(F.col("__i") == i, F.col(src))).alias(dst.format(i))
+            for i in offsets for src, dst in names.items()]
+    wide = dealt.groupBy(F.date_add("visit_date", F.coalesce("__i", F.lit(0))).alias("visit_date")).agg(
+        F.max(F.col("__i").isNull()).alias("__own"), *side)
+    return wide.where("__own").drop("__own")
 
 
 def base_fact(visits: DataFrame, stores: DataFrame, cal: DataFrame,

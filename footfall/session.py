@@ -29,6 +29,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # wide snapshot plans (hundreds of aggregate columns)
         .config("spark.sql.codegen.maxFields", "1000")
+        # exact medians keep a value map a group: stay with hashing beyond 128 groups a task
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "100000")
         # remove checkpoint files once their DataFrame is no longer referenced
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
