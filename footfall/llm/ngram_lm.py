@@ -40,7 +40,8 @@ from pyspark.sql import functions as F
 from footfall.llm.common import id_text, scratch_path, stored, table
 
 BYTES_PER_SHARD = 24_000_000     # text behind one shard
-CHUNK_TOKENS = 4_000_000         # tokens reduced at once by a counting task
+LEAST_SHARDS = 32                # for parallel work on a smaller text
+CHUNK_TOKENS = 2_500_000         # tokens reduced at once by a counting task
 SCORE_TOKENS = 500_000           # tokens looked up at once
 
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
@@ -98,7 +99,7 @@ def _sums(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[first], *(np.add.reduceat(v[order], first) for v in values)
+    return keys[first], *(np.add.reduceat(v[order], first, dtype=np.int64) for v in values)
 
 
 def _pair_blocks(context: np.ndarray, word: np.ndarray, shards: int) -> Iterator[tuple[int, bytes]]:
@@ -183,55 +184,56 @@ def train(texts: DataFrame, shards: int | None = None) -> Model:
     """Count ``text`` of all rows and write the arrays."""
     spark = texts.sparkSession
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
-    shards = shards or max(4, -(-size // BYTES_PER_SHARD))
+    shards = shards or max(LEAST_SHARDS, -(-size // BYTES_PER_SHARD))
     path = local_path(scratch_path(spark, "ngram-lm"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_c, held_w, n = [], [], 0
+        held, n = [], 0
 
         def blocks():
-            rows = list(_pair_blocks(np.concatenate(held_c), np.concatenate(held_w), shards))
+            rows = list(_pair_blocks(np.concatenate([contexts(w) for w in held]), np.concatenate(held), shards))
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
                                                pa.array([r[1] for r in rows], pa.binary())], names=["shard", "block"])
 
         for batch in batches:
             for text in batch.column(0):
                 w = token_hashes(text.as_py())
-                held_c.append(contexts(w)), held_w.append(w)
+                held.append(w)
                 n += len(w)
                 if n >= CHUNK_TOKENS:
                     yield blocks()
-                    held_c, held_w, n = [], [], 0
+                    held, n = [], 0
         if n:
             yield blocks()
 
     def merge_pairs(group: pa.Table) -> pa.Table:
         os.makedirs(path, exist_ok=True)
         shard = group.column("shard")[0].as_py()
-        parts = [_block_pairs(b.as_py()) for b in group.column("block")]
-        context, word, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-        del parts
+        context, word, n = (np.concatenate(x) for x in zip(
+            *(_block_pairs(b.as_py()) for b in group.column("block")), strict=True))
         g = pair_hash(context, word)
         order = np.argsort(g, kind="stable")
         g, n = g[order], n[order]
         first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
         g, n = g[first], np.add.reduceat(n, first)
         context, word = context[order[first]], word[order[first]]
+        n_pairs = len(g)
         _save(f"{path}/pair-{shard}.npy", g)
         _save(f"{path}/pair-count-{shard}.npy", n.astype(np.uint32) if n.max() < 2 ** 32 else n)
-        zero = np.zeros(len(g), np.int64)
-        keys = np.concatenate([word, context])
-        columns = [np.concatenate(x) for x in (
-            (n, zero), (zero + 1, zero), (zero, n == 1), (zero, n == 2), (zero, n >= 3), (zero, n))]
-        words, total, before, a1, a2, a3, as_context = _sums(keys, *(c.astype(np.int64) for c in columns))
+        times = [int((n == k).sum()) for k in (1, 2, 3, 4)]
+        after = _sums(context, n == 1, n == 2, n >= 3, n)
+        as_word = _sums(word, n, np.ones(len(n), bool))
+        del context, word, n
+        words = np.union1d(after[0], as_word[0])
+        data = np.zeros((6, len(words)), np.int64)
+        data[:2, np.searchsorted(words, as_word[0])] = as_word[1:]
+        data[2:, np.searchsorted(words, after[0])] = after[1:]
         where = shard_of(words, shards)
         edges = np.searchsorted(where, np.arange(shards + 1))
-        rows = [(s, _packed(words[a:b], *(c[a:b] for c in (total, before, a1, a2, a3, as_context))))
-                for s, a, b in zip(range(shards), edges, edges[1:]) if a < b]
-        times = [int((n == k).sum()) for k in (1, 2, 3, 4)]
+        rows = [(s, _packed(words[a:b], *data[:, a:b])) for s, a, b in zip(range(shards), edges, edges[1:]) if a < b]
         return pa.table({"shard": pa.array([r[0] for r in rows] + [-1], pa.int32()),
                          "block": pa.array([r[1] for r in rows] + [None], pa.binary()),
-                         "totals": pa.array([None] * len(rows) + [[len(g), *times]], pa.list_(pa.int64()))})
+                         "totals": pa.array([None] * len(rows) + [[n_pairs, *times]], pa.list_(pa.int64()))})
 
     def merge_words(group: pa.Table) -> pa.Table:
         shard = group.column("shard")[0].as_py()
