@@ -13,15 +13,14 @@ shingles is 0.8 or more; a class is a connected component of the links.
    the deepest prefix it shares with an earlier one, shortened until there is
    one.  Pairs are verified exactly; links are joined to components.
 4. Then only candidates in different components are left.  In each prefix
-   group the first nodes of the components are paired with each other's
-   first; after that the nodes outside a group's largest component are paired
-   with all nodes of the other components, in portions, until every candidate
-   pair of different components has been verified.  So no pair that could
-   join two components is left out, and a group of near copies costs about
-   one verified pair a member, never all pairs.
-5. Before texts are fetched, a pair whose whole signatures agree in far too
-   few places is dropped (five standard deviations below the least
-   similarity).
+   group the first nodes of the components are paired with the group's first
+   node.  In groups that still hold several components all nodes of different
+   ones are compared inside tasks, by signature and then exactly; only links
+   are written.  So no candidate pair that could join two components is left
+   out, while copies that are linked already are never compared again.
+5. Before texts are fetched, a pair whose whole signatures agree in too few
+   places is dropped (four standard deviations below the least similarity,
+   one pair in 30,000 at that similarity).
 
 Recall of a pair at the least similarity is the target recall; components
 have further ways to meet.  ``n_links`` counts the links verified for a
@@ -50,7 +49,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 TREES, DEPTH = 20, 8
 RECALL = 0.9995
-PORTION = 8192                # pairs that one prefix group adds in one late round, or one node's
+CELL = 4096                   # nodes of a prefix group that are compared in one piece
+DEVIATIONS = 4                # a pair's signature may fall this far short of the least similarity
 
 _U32 = np.uint32
 
@@ -133,10 +133,15 @@ def _prefix_keys(sig: str, depth: int) -> str:
     return f"transform(sequence(0, {TREES - 1}), t -> xxhash64({depth}, t, substring({sig}, t * {width} + 1, {2 * depth})))"
 
 
+def _agreement(least: float) -> int:
+    """Places of a signature that must agree for a pair to be verified."""
+    n = TREES * DEPTH
+    return int(n * least - DEVIATIONS * (n * least * (1 - least)) ** 0.5)
+
+
 def likely(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
     """Pairs whose signatures agree in enough places for the similarity."""
-    n = TREES * DEPTH
-    need = int(n * least - 5 * (n * least * (1 - least)) ** 0.5)
+    n, need = TREES * DEPTH, _agreement(least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,11 +206,116 @@ def _relabelled(comp: DataFrame, links: DataFrame) -> DataFrame:
         "node", F.coalesce("top", "comp").alias("comp"))
 
 
-def join(docs: DataFrame, least: float = SIMILARITY, portion: int = PORTION, id_col: str = "doc_id",
+def _by_cell(batches: Iterator[pa.RecordBatch], work) -> Iterator[pa.RecordBatch]:
+    """``work`` over the rows of each cell; a partition is sorted by cell, the
+    first three columns."""
+    cell, name = [], None
+    for batch in batches:
+        key = np.column_stack([batch.column(k).to_numpy() for k in range(3)])
+        edges = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), len(key)]
+        for a, b in zip(edges, edges[1:]):
+            if a < b:
+                if name is not None and name != tuple(key[a].tolist()):
+                    yield from work(pa.Table.from_batches(cell))
+                    cell = []
+                name = tuple(key[a].tolist())
+                cell.append(batch.slice(a, b - a))
+    if cell:
+        yield from work(pa.Table.from_batches(cell))
+
+
+def _sides(cell: pa.Table) -> tuple[np.ndarray, np.ndarray, bool, np.ndarray]:
+    """(left rows, right rows, whether they are the same, component numbers)."""
+    i, j, block = cell.column("i")[0].as_py(), cell.column("j")[0].as_py(), cell.column("block").to_numpy()
+    comp = np.unique(np.array([x.hex() for x in cell.column("comp").to_pylist()]), return_inverse=True)[1]
+    left = np.flatnonzero(block == i)
+    return left, left if i == j else np.flatnonzero(block == j), i == j, comp
+
+
+def _rest(placed: DataFrame, near: DataFrame, texts: DataFrame, depth: int, least: float) -> DataFrame:
+    """Links (u, v) between all candidates in different components.
+
+    Groups of one component are done.  Another group is compared in cells: a
+    group of up to CELL nodes is one cell, a larger one is dealt into blocks,
+    and each pair of blocks is a cell.  First signatures are compared; a node
+    that looks similar enough to one of another component, which it has not
+    met in an earlier tree, stays in its cell.  Then the shingle sets of those
+    that stayed are fetched and compared exactly.  Rows are nodes in cells and
+    links, never pairs."""
+    n, need = TREES * DEPTH, _agreement(least)
+    cells = ["key", "i", "j"]
+    groups = placed.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("a"), F.max("comp").alias("b"))
+    blocks = F.ceil(F.col("n") / CELL).cast("int")
+    rows = (placed.join(groups.where("a != b").select("key", blocks.alias("blocks")), "key").join(
+        near.select("node", "sig"), "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("key", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"),
+                "block", "node", "comp", "tree", "sig"))
+
+    def similar(cell: pa.Table) -> Iterator[pa.RecordBatch]:
+        left, right, same, comp = _sides(cell)
+        sig = np.frombuffer(b"".join(cell.column("sig").to_pylist()), "<u2").reshape(-1, n)
+        tree, stays = cell.column("tree")[0].as_py(), np.zeros(len(sig), bool)
+        for at, x in enumerate(left):
+            other = right[at + 1:] if same else right
+            other = other[comp[other] != comp[x]]
+            agree = sig[other] == sig[x]
+            likely_ = agree.sum(axis=1) >= need
+            other, agree = other[likely_], agree[likely_]
+            if len(other):
+                meet = agree.reshape(-1, TREES, DEPTH)[:, :, :depth].all(axis=2)
+                other = other[meet.argmax(axis=1) == tree]
+                stays[other] = True
+                stays[x] |= len(other) > 0
+        if stays.any():
+            yield from cell.select([*cells, "block", "node", "comp"]).filter(pa.array(stays)).to_batches()
+
+    def linked(cell: pa.Table) -> Iterator[pa.RecordBatch]:
+        left, right, same, comp = _sides(cell)
+        sets = [np.frombuffer(x, np.uint64) for x in cell.column("shingles").to_pylist()]
+        size = np.array([len(x) for x in sets])
+        place = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        start = np.cumsum(size) - size
+        mark, us, vs = np.zeros(int(place.max()) + 1, bool), [], []
+        for at, x in enumerate(left):
+            other = right[at + 1:] if same else right
+            other = other[(comp[other] != comp[x]) & (np.minimum(size[other], size[x]) >= least * np.maximum(size[other], size[x]))]
+            if not len(other):
+                continue
+            own = place[start[x]:start[x] + size[x]]
+            mark[own] = True
+            ends = np.cumsum(size[other])
+            flat = np.repeat(start[other] - (ends - size[other]), size[other]) + np.arange(int(ends[-1]))
+            both = np.add.reduceat(mark[place[flat]], ends - size[other], dtype=np.int64)
+            mark[own] = False
+            hit = other[both >= least * (size[other] + size[x] - both) - 1e-9]
+            us.append(np.full(len(hit), x)), vs.append(hit)
+        if us:
+            node = cell.column("node")
+            yield pa.RecordBatch.from_arrays(
+                [node.take(pa.array(np.concatenate(c))).combine_chunks() for c in (us, vs)], names=["u", "v"])
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([shingles(t.as_py()).tobytes() for t in batch.column(1)], pa.binary())],
+                names=["node", "shingles"])
+
+    dealt = rows.repartition(*cells).sortWithinPartitions(*cells)
+    stay = stored(dealt.mapInArrow(lambda b: _by_cell(b, similar),
+                                   "key bigint, i int, j int, block int, node binary, comp binary"), "cells")
+    wanted = texts.join(stay.select("node").distinct(), "node").select("node", "text")
+    sets = wanted.mapInArrow(shingled, "node binary, shingles binary")
+    fetched = stay.join(sets, "node").select(*cells, "block", "node", "comp", "shingles")
+    return fetched.repartition(*cells).sortWithinPartitions(*cells).mapInArrow(
+        lambda b: _by_cell(b, linked), "u binary, v binary").distinct()
+
+
+def join(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, class_id, n_links, class_size."""
     texts = keyed(id_text(docs, id_col, text_col))
-    rows, classes = _classes(texts, least, portion)
+    rows, classes = _classes(texts, least)
     alone = F.col("node").isNull()
     out = rows.join(classes, "node", "left")
     return out.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class.doc_id")).alias("class_id"),
@@ -213,7 +323,7 @@ def join(docs: DataFrame, least: float = SIMILARITY, portion: int = PORTION, id_
                       F.when(alone, F.lit(1)).otherwise(F.col("class_size")).cast("long").alias("class_size"))
 
 
-def _classes(texts: DataFrame, least: float, portion: int) -> tuple[DataFrame, DataFrame]:
+def _classes(texts: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, th, node) and nodes (node, class, n_links, class_size);
     class is the smallest (doc_id is null, doc_id, th) of the class."""
     rows = stored(sketches(texts), "sketches")
@@ -222,7 +332,7 @@ def _classes(texts: DataFrame, least: float, portion: int) -> tuple[DataFrame, D
         F.count("*").alias("copies"), F.min(own).alias("own"), F.min("sig").alias("sig")), "nodes")
     depth = least_depth(least)
 
-    keys = nodes.select("node", F.explode(F.expr(_prefix_keys("sig", depth))).alias("key"))
+    keys = nodes.select("node", F.posexplode(F.expr(_prefix_keys("sig", depth))).alias("tree", "key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     members = stored(keys.join(shared, "key"), "prefixes")
 
@@ -257,29 +367,10 @@ def _classes(texts: DataFrame, least: float, portion: int) -> tuple[DataFrame, D
     links = links.unionByName(more)
     comp = stored(_relabelled(comp, more), "components")
 
-    # what is left: nodes outside a group's largest component against all of other components
-    while True:
-        placed = members.join(comp, "node")
-        sizes = placed.groupBy("key", "comp").agg(F.count("*").alias("n"))
-        groups = sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all"),
-                                          F.count("*").alias("comps")).where("comps > 1")
-        active = stored(placed.join(groups, "key").select(
-            "key", "node", "comp", "all", (F.col("comp") != F.col("top.comp")).alias("minor")), "active")
-        if active.isEmpty():
-            break
-        # minors are taken by a hash of the node and key, so many that a group adds about a portion of pairs
-        share = F.pmod(F.xxhash64("node", "key"), F.greatest(F.lit(1), F.floor(F.col("all") * F.col("all") / portion)))
-        minors = active.where("minor").select("key", F.col("node").alias("u"), F.col("comp").alias("cu"), share.alias("turn"))
-        turn = minors.groupBy("key").agg(F.min("turn").alias("turn"))
-        now = stored(minors.join(turn, ["key", "turn"]).select("key", "u", "cu"), "minors")
-        others = active.select("key", F.col("node").alias("v"), F.col("comp").alias("cv"))
-        pairs = now.join(others, "key").where("cu != cv").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-        more = check(pairs)
-        links = links.unionByName(more)
-        comp = stored(_relabelled(comp, more), "components")
-        # a minor has now met every node of its group in another component: it leaves the group
-        members = stored(active.select("key", "node").join(now.select("key", F.col("u").alias("node")),
-                                                           ["key", "node"], "left_anti"), "prefixes")
+    # every pair of candidates in different components that is left
+    more = stored(_rest(members.join(comp, "node"), near, near_texts, depth, least), "links")
+    links = links.unionByName(more)
+    comp = stored(_relabelled(comp, more), "components")
 
     ends = links.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     degree = ends.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
@@ -298,11 +389,12 @@ def keep_one(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id",
     packed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"),
                          F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     texts = keyed(packed)
-    rows, classes = _classes(texts.select("doc_id", "text", "th"), least, PORTION)
+    rows, classes = _classes(texts.select("doc_id", "text", "th"), least)
     keep = classes.select("class.doc_id", "class.th").distinct().withColumn("keep", F.lit(True))
     wordless = rows.where("node is null").select("doc_id", "th").distinct().withColumn("keep", F.lit(False))
     chosen = keep.unionByName(wordless).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "keep")
-    joined = texts.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
+    joined = texts.select("row", "doc_id", "th").join(
+        chosen, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
     # rows with one id and text: the first of them (they are alike to the join)
     nth = F.row_number().over(Window.partitionBy("doc_id", "th").orderBy("doc_id"))
     return joined.withColumn("_n", nth).where("_n = 1 or not keep").select("row.*")
