@@ -16,15 +16,20 @@ import json
 import os
 import re
 import struct
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
-MAX_PIECES = 700_000          # distinct pieces remembered by one worker
+MAX_PIECES = 400_000          # distinct pieces remembered by one worker, and as many older ones
+SLICE_BYTES = 16_000_000      # text that is split together
 MAX_TOKENS = 10_000           # distinct runs of punctuation remembered, too
 _PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _TWO_BLANKS = re.compile(r"\s\s")
+_TWO_BLANKS_RE2 = r"[\t\n\x0b\x0c\r\x1c-\x1f \x{85}\p{Z}]{2}"      # the same in Arrow's syntax
 _pack = struct.Struct("<I").pack
 _UNSAFE = re.compile(r"\s (?:\s|\Z)")
 _CUT = re.compile(r"(?<=\S) | (?=\S)")
@@ -67,8 +72,12 @@ class PieceEncoder:
                          and not any(a["lstrip"] or a["rstrip"] or a["single_word"] for a in added))
         self.special = {a["content"]: a["id"] for a in added}
         self.special_cut = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
+        # two blanks in a row of any kind, or a special token; everything for another kind of tokenizer
+        self.not_simple = "|".join([_TWO_BLANKS_RE2, *map(re.escape, self.special)]) if self.by_piece else ""
         self.to_chars = {b: c for c, b in byte_of_char().items()}
+        self.blank = self.to_chars[32]
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}      # the pieces before these, dropped when these are full
         self._tokens: dict[str, bytes] = {}
         self._bytes: list[bytes] | None = None
 
@@ -80,17 +89,22 @@ class PieceEncoder:
         got = self.model.tokenize(text.encode().decode("latin-1").translate(self.to_chars))
         return b"".join([_pack(t.id) for t in got])
 
-    def _piece(self, piece: str) -> bytes:
-        """Ids of a blank and ``piece``, or of a ``piece`` that starts with a
-        line end.  Latin letters and then punctuation without apostrophes are
+    def _piece(self, piece: str, before: str = " ") -> bytes:
+        """Ids of a blank (or nothing, at a text's start) and ``piece``, or of
+        a ``piece`` that starts with a line end.  Latin letters and then punctuation without apostrophes are
         two pre-tokens, which the model's merges get as they are; anything
         else goes through the library's own pre-tokenizer."""
         core = piece.rstrip(_PUNCTUATION)
         lead = core[:1] == "\n"
         word = core[1:] if lead else core
-        if not word.isalpha() or max(word) > "\u024f":
-            return self._whole(piece if lead else " " + piece)
-        out = self._known("\n") + self._token(word) if lead else self._token(" " + word)
+        if not word.isalpha() or not word.isascii() and max(word) > "\u024f":
+            return self._whole(piece if lead else before + piece)
+        if word.isascii():                       # visible ASCII stands for itself
+            out = b"".join([_pack(t.id) for t in self.model.tokenize(
+                word if lead or not before else self.blank + word)])
+            out = self._known("\n") + out if lead else out
+        else:
+            out = self._known("\n") + self._token(word) if lead else self._token(before + word)
         return out + self._known(piece[len(core):]) if len(core) < len(piece) else out
 
     def _known(self, token: str) -> bytes:
@@ -106,17 +120,18 @@ class PieceEncoder:
         try:
             return b"".join(map(known.__getitem__, parts))
         except KeyError:
-            if len(known) + len(parts) > MAX_PIECES:
-                known.clear()
-            out = []
-            for p in parts:
-                ids = known.get(p)
-                if ids is None:
-                    ids = self._piece(p)
-                    if len(known) < MAX_PIECES:
-                        known[p] = ids
-                out.append(ids)
-            return b"".join(out)
+            return b"".join(self._learned(parts))
+
+    def _learned(self, parts: list[str]) -> list[bytes]:
+        if len(self.pieces) > MAX_PIECES:
+            self.older, self.pieces = self.pieces, {}
+        known, older, out = self.pieces, self.older, []
+        for p in parts:
+            ids = known.get(p)
+            if ids is None:
+                ids = known[p] = older.get(p) or self._piece(p)
+            out.append(ids)
+        return out
 
     def _plain(self, text: str) -> bytes:
         """Ids of a text without special tokens, as little-endian bytes."""
@@ -146,6 +161,52 @@ class PieceEncoder:
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(self.encode_bytes(text), "<u4")
 
+    def encode_column(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For slices of a text column in order: (all ids, end of each text).
+
+        Texts whose blanks are all single are split together in Arrow, their
+        distinct pieces looked up once a slice, and the ids gathered."""
+        size = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+        part = (np.cumsum(size) - size) // SLICE_BYTES
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
+        for a, b in zip(edges, edges[1:]):
+            if a < b:
+                yield self._slice(texts.slice(a, b - a))
+
+    def each_bytes(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text, as little-endian bytes."""
+        for ids, ends in self.encode_column(texts):
+            raw, at = memoryview(ids.astype("<u4", copy=False)).cast("B"), 0
+            for end in ends.tolist():
+                yield raw[4 * at:4 * end].tobytes()
+                at = end
+
+    def _slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        first, plain = [], []
+        alone = pc.match_substring_regex(texts, self.not_simple).to_pylist()
+        for text, whole in zip(texts.to_pylist(), alone, strict=True):
+            if whole:
+                first.append(self.encode_bytes(text))          # as one piece
+                plain.append("")
+            else:
+                head = text.split(" ", 1)[0].split("\n", 1)[0]
+                first.append(self._piece(head, "") if head else b"")
+                plain.append(text[len(head):])
+        lists = pc.split_pattern(pc.replace_substring(pa.array(plain, pa.string()), "\n", " \n"), " ")
+        words = lists.flatten().dictionary_encode()
+        ids = self._learned(words.dictionary.to_pylist())
+        # what a list starts with (the empty text before the first blank) stands for the text's first piece
+        index = words.indices.to_numpy().astype(np.int64)
+        starts = lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
+        index[starts] = len(ids) + np.arange(len(first))
+        ids += first
+        length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, begin = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(length) - length
+        n = length[index]
+        ends = np.cumsum(n)
+        out = flat[np.repeat(begin[index] - (ends - n), n) + np.arange(int(ends[-1]))]
+        return out, np.append(ends[starts[1:] - 1], ends[-1])
+
     def token_bytes(self) -> list[bytes]:
         """The bytes that each id stands for."""
         if self._bytes is None:

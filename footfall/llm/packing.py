@@ -158,8 +158,8 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0, voc
         encoder, tail = encoder_for(vocabulary), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows, piece, start, length, crc, ids = [], [], [], [], [], []
-            for row, text in enumerate(batch.column(1)):
-                raw = encoder.encode_bytes(text.as_py()) + tail
+            for row, raw in enumerate(encoder.each_bytes(batch.column(1))):
+                raw += tail
                 n = len(raw) // 4
                 a, k = 0, 0
                 while a < n:

@@ -33,13 +33,14 @@ from footfall.llm.bpe import DEFAULT_VOCABULARY, encoder_for
 from footfall.llm.common import id_text, scratch_path, table, tasks_for
 
 BLOCK_TOKENS = 1 << 18
-ROUNDS = 4
+ROUNDS = 3
 MIN_COUNT = 24               # a pair rarer than this in a block gets no rule
 DOCS_PER_TASK = 4_000
-_BITS = 18                   # width of the table that counts pairs
+_BITS = 16                   # width of the table that counts pairs
 
 _RAW = [("block", "bigint"), ("doc_ids", "array<{}>"), ("lengths", "array<bigint>"), ("terminals", "bigint"),
-        ("rules", "array<int>"), ("rounds", "array<int>"), ("expansion", "array<int>"), ("symbols", "array<int>")]
+        ("rules", "binary"), ("rounds", "binary"), ("expansion", "binary"), ("symbols", "binary")]
+_PACKED = [n for n, t in _RAW if t == "binary"]       # little-endian unsigned 32-bit integers
 
 
 def _slot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -166,20 +167,18 @@ def write(docs: DataFrame, path: str, end_id: int = 2, vocabulary: str = DEFAULT
                 [pa.array([(part << 32) + number], pa.int64()), pa.array([doc_ids], pa.list_(arrow_id)),
                  pa.array([np.array([len(t) // 4 for t in texts], np.int64)], pa.list_(pa.int64())),
                  pa.array([terminals], pa.int64()),
-                 pa.array([rules.astype(np.int32).ravel()], pa.list_(pa.int32())),
-                 pa.array([starts], pa.list_(pa.int32())),
-                 pa.array([lengths.astype(np.int32)], pa.list_(pa.int32())),
-                 pa.array([seq.astype(np.int32)], pa.list_(pa.int32()))], names=[n for n, _ in fields])
+                 *(pa.array([x.astype("<u4").tobytes()], pa.binary()) for x in (rules, starts, lengths, seq))],
+                names=[n for n, _ in fields])
 
         part = 0
         for batch in batches:
             part = batch.column(2)[0].as_py() if batch.num_rows else part
-            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                raw = encoder.encode_bytes(text.as_py()) + tail
+            for doc_id, raw in zip(batch.column(0).to_pylist(), encoder.each_bytes(batch.column(1)), strict=True):
+                raw += tail
                 if texts and size + len(raw) // 4 > BLOCK_TOKENS:
                     yield block()
                     doc_ids, texts, size, number = [], [], 0, number + 1
-                doc_ids.append(doc_id.as_py()), texts.append(raw)
+                doc_ids.append(doc_id), texts.append(raw)
                 size += len(raw) // 4
         if texts:
             yield block()
@@ -205,16 +204,14 @@ def read(spark: SparkSession, path: str, id_type: T.DataType | None = None) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                column = lambda name: batch.column(batch.schema.get_field_index(name))[k].values  # noqa: B023, E731
-                block = Block(batch.column(batch.schema.get_field_index("terminals"))[k].as_py(),
-                              *(column(n).to_numpy() for n in ("rules", "rounds", "expansion", "symbols")))
-                lengths = column("lengths").to_numpy()
+                column = lambda name: batch.column(batch.schema.get_field_index(name))[k]  # noqa: B023, E731
+                block = Block(column("terminals").as_py(), *(np.frombuffer(column(n).as_buffer(), "<u4") for n in _PACKED))
+                lengths = column("lengths").values.to_numpy()
                 ids = block.ids().astype("<u4")
                 ends = np.cumsum(lengths)
                 crc = [zlib.crc32(ids[e - n:e].tobytes()) for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
-                block_no = batch.column(batch.schema.get_field_index("block"))[k].as_py()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([block_no] * len(crc), pa.int64()), column("doc_ids"),
+                    [pa.array([column("block").as_py()] * len(crc), pa.int64()), column("doc_ids").values,
                      pa.array(ends - lengths), pa.array(lengths), pa.array(crc, pa.int64())],
                     names=["block", "doc_id", "at", "n_tokens", "ids_crc32"])
 
