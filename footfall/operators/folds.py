@@ -7,7 +7,7 @@ no ``rand`` and no engine-specific hash.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.operators.ranking import exact_row_number, md5_prefix
@@ -56,6 +56,20 @@ def time_series_folds(df: DataFrame, date_col: str, key: str, n_splits: int = 5,
     return ranked.withColumn(out, fold).drop("__rn")
 
 
+def time_series_date_folds(df: DataFrame, date_col: str, n_splits: int = 5, out: str = "test_fold") -> DataFrame:
+    """Expanding-window split on whole dates: dates in order are dealt to
+    ``n_splits + 1`` blocks of about equal rows, so rows of one date (the
+    same store and day of overlapping anchors, too) never stand in training
+    and validation at once.  The first block gets NULL (always training).
+    One row a date is ranked, whatever the number of rows."""
+    days = df.groupBy(date_col).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy(date_col).rowsBetween(Window.unboundedPreceding, -1)
+    share = F.coalesce(F.sum("__n").over(before), F.lit(0)) / F.sum("__n").over(Window.partitionBy())
+    block = F.least(F.floor(share * (n_splits + 1)), F.lit(n_splits)).cast("int") - 1
+    folds = days.select(date_col, F.when(block >= 0, block).alias(out))
+    return df.join(F.broadcast(folds), date_col, "left").select(*df.columns, out)
+
+
 def _md5_rank(df: DataFrame, key: str, out: str = "__rn", hex_chars: int = 4) -> DataFrame:
     order = [F.md5(F.col(key).cast("string")), F.col(key)]
     return exact_row_number(df, [], order, md5_prefix(F.col(key), hex_chars), out)

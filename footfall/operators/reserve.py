@@ -26,6 +26,7 @@ from footfall.functions import floor_day_diff
 from footfall.functions.stats import stat_aggs
 from footfall.operators.anchors import Anchor, explode_anchors, horizon_bounds
 
+# --- fixed values: output names of the reservation features ----------------
 # (channel, level) -> {statistic: feature name} for reserved visitors
 VISITOR_NAMES = {
     ("air", "store"): {"sum": "air_reserve_visitors_sum", "count": "air_reserve_visitors_count",
@@ -53,6 +54,7 @@ LEAD_NAMES = {
     ("hpg", "date"): {"mean": "hpg_diff_time_mean", "median": "hpg_diff_time_median", "sum": "hpg_diff_time_sum",
                       "min": "hpg_diff_time_min", "max": "hpg_diff_time_max", "skew": "hpg_diff_time_skew"},
 }
+# ---------------------------------------------------------------------------
 
 
 def feature_columns(channel: str, level: str) -> list[str]:

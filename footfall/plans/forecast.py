@@ -68,18 +68,17 @@ def importance_table(spark: SparkSession, model, features: list[str], k: int = 5
     return df.orderBy(F.desc("varimp"), "feature_name").limit(k)
 
 
-def fit_forecaster_ts_cv(snaps: DataFrame, features: list[str], key: str = "id", n_splits: int = 5,
-                         max_iter: int = 100, step: float = 0.1, max_depth: int = 6, min_rows: int = 100,
-                         seed: int = 505):
-    """Expanding-window CV (V-07): rows ordered by visit date are cut into
-    ``n_splits + 1`` blocks; fold i trains on everything before block i+1
+def fit_forecaster_ts_cv(snaps: DataFrame, features: list[str], n_splits: int = 5, max_iter: int = 100,
+                         step: float = 0.1, max_depth: int = 6, min_rows: int = 100, seed: int = 505):
+    """Expanding-window CV (V-07): visit dates in order are dealt to
+    ``n_splits + 1`` blocks of whole dates; fold i trains on everything before block i+1
     and early-stops on that block (``validationIndicatorCol``).
 
     Returns the fold models; predictions are averaged over folds and
     importances are the mean over folds, as the original's commented CV cell."""
-    from footfall.operators.folds import time_series_folds
+    from footfall.operators.folds import time_series_date_folds
     va = SafeAssembler(features)
-    folded = time_series_folds(snaps, "visit_date", key, n_splits, "__tf")
+    folded = time_series_date_folds(snaps, "visit_date", n_splits, "__tf")
     data = va.transform(folded).select("__x", "visitors", "__tf").cache()
     models = []
     for i in range(n_splits):

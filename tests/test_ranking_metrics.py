@@ -149,3 +149,17 @@ def test_exact_size_holdout_and_kfold(spark, scored):
     assert holdout_exact(df, "k", 0.2).where("is_test = 1").count() == -(-n * 2 // 10)
     sizes = sorted(r["count"] for r in kfold_exact(df, "k", 3).groupBy("fold").count().collect())
     assert sizes == [n // 3, n // 3, n // 3] if n % 3 == 0 else max(sizes) - min(sizes) == 1
+
+
+def test_time_series_date_folds_keep_dates_whole(spark):
+    from footfall.operators.folds import time_series_date_folds
+    rng = random.Random(1)
+    df = spark.createDataFrame([(rng.randrange(40), k) for k in range(1200)], "d int, k int")
+    rows = time_series_date_folds(df, "d", 5).collect()
+    fold = {}
+    for r in rows:
+        assert fold.setdefault(r["d"], r["test_fold"]) == r["test_fold"]
+    order = [fold[d] for d in sorted(fold)]
+    assert len(rows) == 1200 and order[0] is None and [f for f in order if f is not None] == sorted(f for f in order if f is not None)
+    sizes = [sum(r["test_fold"] == f for r in rows) for f in range(5)]
+    assert min(sizes) > 120 and max(sizes) < 280
