@@ -12,10 +12,12 @@ tokenizer of another kind gets whole texts.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
 import struct
+import threading
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,7 +26,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
-MAX_PIECES = 400_000          # distinct pieces remembered by one worker, and as many older ones
+MAX_PIECES = 300_000          # distinct pieces remembered by one worker, and as many older ones
+IDLE_SECONDS = 5              # after so long without a task a worker forgets them
 SLICE_BYTES = 16_000_000      # text that is split together
 MAX_TOKENS = 10_000           # distinct runs of punctuation remembered, too
 _PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -79,8 +82,25 @@ class PieceEncoder:
         self.pieces: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}      # the pieces before these, dropped when these are full
         self._tokens: dict[str, bytes] = {}
+        self._timer: threading.Timer | None = None
         self._bytes: list[bytes] | None = None
 
+    def __enter__(self) -> PieceEncoder:
+        """For the time of a task; pieces are kept for a task that follows soon."""
+        if self._timer is not None:
+            self._timer.cancel()
+        return self
+
+    def __exit__(self, *_) -> None:
+        self._timer = threading.Timer(IDLE_SECONDS, self._forget)
+        self._timer.daemon = True
+        self._timer.start()
+
+    def _forget(self) -> None:
+        self.pieces, self.older = {}, {}
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -125,12 +145,11 @@ class PieceEncoder:
     def _learned(self, parts: list[str]) -> list[bytes]:
         if len(self.pieces) > MAX_PIECES:
             self.older, self.pieces = self.pieces, {}
-        known, older, out = self.pieces, self.older, []
-        for p in parts:
-            ids = known.get(p)
-            if ids is None:
-                ids = known[p] = older.get(p) or self._piece(p)
-            out.append(ids)
+        known, older = self.pieces, self.older
+        out = list(map(known.get, parts))
+        for k in [k for k, ids in enumerate(out) if ids is None]:
+            p = parts[k]
+            out[k] = known[p] = older.get(p) or self._piece(p)
         return out
 
     def _plain(self, text: str) -> bytes:

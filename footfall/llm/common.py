@@ -58,10 +58,9 @@ def probable_owners(texts: DataFrame, owners: DataFrame) -> DataFrame:
     spark = texts.sparkSession
     bit = F.pmod(F.xxhash64("doc_id", "th"), F.lit(1 << FILTER_BITS))
     words = (owners.select(bit.alias("bit")).groupBy(F.expr("cast(bit div 32 as int)").alias("word"))
-             .agg(F.expr("bit_or(shiftleft(1, cast(bit % 32 as int)))").alias("bits")).collect())
+             .agg(F.expr("bit_or(shiftleft(1, cast(bit % 32 as int)))").alias("bits")).toArrow())
     bitmap = np.zeros(1 << (FILTER_BITS - 5), np.int64)
-    for w in words:
-        bitmap[w["word"]] = w["bits"]
+    bitmap[words["word"].to_numpy()] = words["bits"].to_numpy()
     held = spark.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -155,28 +155,29 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0, voc
     src = id_text(docs, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, tail = encoder_for(vocabulary), np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            rows, piece, start, length, crc, ids = [], [], [], [], [], []
-            for row, raw in enumerate(encoder.each_bytes(batch.column(1))):
-                raw += tail
-                n = len(raw) // 4
-                a, k = 0, 0
-                while a < n:
-                    b = a + ((n - a) % capacity or capacity)
-                    part = raw[4 * a:4 * b]
-                    rows.append(row), piece.append(k), start.append(a), length.append(b - a)
-                    crc.append(zlib.crc32(part))
-                    if with_ids:
-                        ids.append(np.frombuffer(part, "<u4").astype(np.int32))
-                    a, k = b, k + 1
-            columns = [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()),
-                       pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-            if with_ids:
-                columns.append(pa.array(ids, pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+        tail = np.array([end_id], "<u4").tobytes()
+        with encoder_for(vocabulary) as encoder:
+            for batch in batches:
+                rows, piece, start, length, crc, ids = [], [], [], [], [], []
+                for row, raw in enumerate(encoder.each_bytes(batch.column(1))):
+                    raw += tail
+                    n = len(raw) // 4
+                    a, k = 0, 0
+                    while a < n:
+                        b = a + ((n - a) % capacity or capacity)
+                        part = raw[4 * a:4 * b]
+                        rows.append(row), piece.append(k), start.append(a), length.append(b - a)
+                        crc.append(zlib.crc32(part))
+                        if with_ids:
+                            ids.append(np.frombuffer(part, "<u4").astype(np.int32))
+                        a, k = b, k + 1
+                columns = [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()),
+                           pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
+                names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+                if with_ids:
+                    columns.append(pa.array(ids, pa.list_(pa.int32())))
+                    names.append("ids")
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = src.schema["doc_id"].dataType.simpleString()
     return src.mapInArrow(run, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"

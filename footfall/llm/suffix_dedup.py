@@ -50,7 +50,7 @@ LENGTH = 400
 GRAM = 32                     # bytes under a key's hash, a power of two
 ANCHOR_GRAM, ANCHOR_EVERY = 8, 32
 SHARED = LENGTH // 2          # bytes that sorted neighbours must share to be candidates
-SHARD_BYTES = 4_000_000
+SHARD_BYTES = 2_000_000
 HOT_REGIONS = 20_000          # regions of one key beyond which its strings are spread
 
 _U64 = np.uint64
@@ -442,7 +442,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     """``docs`` without the repeated bytes of ``text_col``; a character cut in
     two goes as a whole, a null text stays null, other columns are untouched."""
     others = [c for c in docs.columns if c != text_col]
-    row = F.struct(F.col(text_col).isNull().alias("is_null"), *(F.col(c).alias(f"c{k}") for k, c in enumerate(others)))
+    row = F.struct(F.col(text_col).isNull().alias("is_null"), *(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(others)))
     texts = keyed(docs.select(row.alias("row"), F.col(id_col).alias("doc_id"),
                                F.coalesce(F.col(text_col), F.lit("")).alias("text")))
     spans = repeated_spans(texts.select("doc_id", "text", "th"), length)
