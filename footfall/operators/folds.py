@@ -67,7 +67,7 @@ def time_series_date_folds(df: DataFrame, date_col: str, n_splits: int = 5, out:
     share = F.coalesce(F.sum("__n").over(before), F.lit(0)) / F.sum("__n").over(Window.partitionBy())
     block = F.least(F.floor(share * (n_splits + 1)), F.lit(n_splits)).cast("int") - 1
     folds = days.select(date_col, F.when(block >= 0, block).alias(out))
-    return df.join(F.broadcast(folds), date_col, "left").select(*df.columns, out)
+    return df.join(F.broadcast(folds), date_col, "left")
 
 
 def _md5_rank(df: DataFrame, key: str, out: str = "__rn", hex_chars: int = 4) -> DataFrame:
