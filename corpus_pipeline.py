@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from footfall.llm import ngram_join, packing, pii, quality_rules, suffix_dedup
 from footfall.llm.common import stored, table
 
+PASSAGE = 51                  # words: passages of over 50 that repeat are cut
+
 
 def _counted(docs):
     """n_chars follows a changed text."""
@@ -27,9 +29,9 @@ def near_duplicates(spark, docs, sf_dir):
 
 
 def repeated_passages(spark, docs, sf_dir):
-    """Cut every passage that stands in two places; a document of which
-    nothing is left goes."""
-    cut = _counted(suffix_dedup.remove_repeats(docs))
+    """Cut every passage of PASSAGE words, or of op7's length in bytes, that
+    stands in two places; a document of which nothing is left goes."""
+    cut = _counted(suffix_dedup.remove_repeats(docs, words=PASSAGE))
     return cut.where(F.coalesce(F.trim("text"), F.lit("")) != "")
 
 

@@ -23,6 +23,10 @@ strings are bound to meet:
    strings go to as many shards as they need, and are compared there.
 5. The spans of a document are merged and cut.
 
+Repeated runs of ``words`` words, whatever their bytes, are found the same way:
+a text is then the 64-bit hashes of its words in a row, a string is ``words``
+hashes, and the spans of words are turned into spans of bytes.
+
 Equality is that of 128-bit hashes (key and region hash, or two string
 hashes).  Text is shuffled twice, once only for documents that own a region
 to be sorted (a filter of fixed size keeps most others back).
@@ -36,7 +40,8 @@ they are; very long texts take memory in proportion to one text.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,9 +58,18 @@ SHARED = LENGTH // 2          # bytes that sorted neighbours must share to be ca
 SHARD_BYTES = 2_000_000
 HOT_REGIONS = 20_000          # regions of one key beyond which its strings are spread
 
+WORD_BYTES = 8                # bytes that stand for a word
+_WORD = re.compile(rb"\S+")
+
 _U64 = np.uint64
 
 
+def word_bytes(text: str) -> bytes:
+    """The hashes of a text's words, WORD_BYTES each."""
+    words = text.encode().split()
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), _U64, len(words)).tobytes()
+
+
 def _finish(h: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         h = (h ^ (h >> _U64(32))) * _U64(0x94D049BB133111EB)
@@ -298,9 +312,11 @@ def _span_table(kind: pa.DataType, ids, keys, begin, end) -> pa.Table:
                      "a": pa.array(begin, pa.int64()), "b": pa.array(end, pa.int64())})
 
 
-def repeated_spans(texts: DataFrame, length: int = LENGTH, hot_regions: int = HOT_REGIONS) -> DataFrame:
+def repeated_spans(texts: DataFrame, length: int = LENGTH, hot_regions: int = HOT_REGIONS,
+                   encode: Callable[[str], bytes] = str.encode) -> DataFrame:
     """(doc_id, th, spans) of ``texts`` (doc_id, text, th), for documents with
-    repeats; th tells rows of one doc_id apart."""
+    repeats; th tells rows of one doc_id apart.  Spans are places in what
+    ``encode`` makes of a text."""
     kind = texts.schema["doc_id"].dataType.simpleString()
     arrow_kind = texts.select("doc_id").limit(0).toArrow().schema.field("doc_id").type
 
@@ -308,7 +324,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, hot_regions: int = HO
         for batch in batches:
             rows, keys, regions, begins, ends = [], [], [], [], []
             for row, text in enumerate(batch.column(1)):
-                data = text.as_py().encode()
+                data = encode(text.as_py())
                 key, a, b = runs_of(data, length)
                 view = memoryview(data)
                 regions += [xxhash.xxh3_64_intdigest(view[i:j + length - 1])
@@ -346,7 +362,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, hot_regions: int = HO
         for batch in batches:
             out: list[tuple] = []
             for doc, th, text, own in zip(*batch.columns, strict=True):
-                data = text.as_py().encode()
+                data = encode(text.as_py())
                 for o in own.as_py():
                     region = data[o["s"]:o["e"] + length - 1]
                     if not o["hot"]:
@@ -401,6 +417,16 @@ def _merge(spans: list[dict] | None) -> list[tuple[int, int]]:
     return out
 
 
+def _word_spans(text: str, spans: list[dict] | None) -> list[dict]:
+    """Spans of bytes of ``text`` for spans of ``word_bytes(text)``."""
+    if not spans:
+        return []
+    at = [m.span() for m in _WORD.finditer(text.encode())]
+    # a span that begins or ends inside a word's hash loses that word
+    whole = ((-(-x["a"] // WORD_BYTES), x["b"] // WORD_BYTES) for x in spans)
+    return [{"a": at[a][0], "b": at[b - 1][1]} for a, b in whole if a < b]
+
+
 def _kept(text: str, spans: list[tuple[int, int]]) -> bytes:
     data, at, out = text.encode(), 0, []
     for a, b in spans:
@@ -438,18 +464,31 @@ def digests(docs: DataFrame, length: int = LENGTH, hot_regions: int = HOT_REGION
     return joined.mapInArrow(run, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
+                   words: int | None = None) -> DataFrame:
     """``docs`` without the repeated bytes of ``text_col``; a character cut in
-    two goes as a whole, a null text stays null, other columns are untouched."""
+    two goes as a whole, a null text stays null, other columns are untouched.
+    With ``words``, runs of that many words that repeat are cut as well."""
     others = [c for c in docs.columns if c != text_col]
     row = F.struct(F.col(text_col).isNull().alias("is_null"), *(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(others)))
     texts = keyed(docs.select(row.alias("row"), F.col(id_col).alias("doc_id"),
                                F.coalesce(F.col(text_col), F.lit("")).alias("text")))
-    spans = repeated_spans(texts.select("doc_id", "text", "th"), length)
+    spans = repeated_spans(texts.select("doc_id", "text", "th"), length).withColumn("in_words", F.lit(False))
+    if words:
+        runs = repeated_spans(texts.select("doc_id", "text", "th"), WORD_BYTES * words, encode=word_bytes)
+        spans = spans.unionByName(runs.withColumn("in_words", F.lit(True)))
+    spans = spans.groupBy("doc_id", "th").agg(*(
+        F.first(F.when(F.col("in_words") == w, F.col("spans")), ignorenulls=True).alias(n)
+        for w, n in ((False, "of_bytes"), (True, "of_words"))))
+    spans = spans.select("doc_id", "th", F.struct("of_bytes", "of_words").alias("spans"))
+
+    def cut_text(text: str, spans: dict) -> str:
+        found = (spans["of_bytes"] or []) + _word_spans(text, spans["of_words"])
+        return _kept(text, _merge(sorted(found, key=lambda x: x["a"]))).decode("utf-8", "ignore")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [t.as_py() if not s.is_valid else _kept(t.as_py(), _merge(s.as_py())).decode("utf-8", "ignore")
+            kept = [t.as_py() if not s.is_valid else cut_text(t.as_py(), s.as_py())
                     for t, s in zip(batch.column(1), batch.column(2), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.string())], names=["row", "kept"])
 

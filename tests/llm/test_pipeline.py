@@ -92,3 +92,47 @@ def test_edges(spark):
             d = stored(stage(spark, d, SF_SMALL), "t")
         ids = sorted({r.doc_id for r in d.collect()})
         assert ids == ([] if empty is not docs else [1, 4])
+
+
+def test_passage_of_52_words_under_400_bytes_is_cut(spark):
+    passage = " ".join(f"p{k:03d}" for k in range(52))
+    assert len(passage.encode()) < 400
+    own = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    rows = [(1, f"{own('a', 60)} {passage} {own('b', 40)}", "en", "s", 1), (2, f"{own('c', 50)} \n{passage}", "en", "s", 1),
+            (3, f"{own('d', 30)} {' '.join(passage.split()[:50])} {own('e', 30)}", "en", "s", 1),
+            (4, own("f", 55).replace(" ", "  ") + own(" g", 9), "en", "s", 1), (5, own("h", 9) + " " + own("f", 55), "en", "s", 1)]
+    docs = spark.createDataFrame(rows, table(spark, SF_SMALL, "documents").schema)
+    cut = {r.doc_id: r.text.split() for r in dict(corpus_pipeline.STAGES)["suffix_dedup"](spark, docs, SF_SMALL).collect()}
+    assert cut[1] == f"{own('a', 60)} {own('b', 40)}".split() and cut[2] == own("c", 50).split()
+    assert cut[3] == rows[2][1].split()          # 50 words are no passage
+    assert cut[4][-8:] == [f"g{k}" for k in range(1, 9)] and len(cut[4]) <= 9 and cut[5] == own("h", 9).split()
+
+
+def test_suffix_dedup_stage_cuts_repeated_bytes_and_words(spark):
+    """The stage on the whole table against dictionaries of all strings."""
+    rows = table(spark, SF_SMALL, "documents").collect()
+    seen, gone = [defaultdict(int), defaultdict(int)], {}
+    words = [[m.span() for m in re.finditer(rb"\S+", r.text.encode())] for r in rows]
+    bytes_, runs = [], []
+    for r, at in zip(rows, words):
+        d = r.text.encode()
+        bytes_.append([d[i:i + 400] for i in range(len(d) - 399)])
+        w = [d[a:b] for a, b in at]
+        runs.append([b" ".join(w[i:i + 51]) for i in range(len(w) - 50)])
+        for k, found in enumerate((bytes_[-1], runs[-1])):
+            for x in found:
+                seen[k][x] += 1
+    want = {}
+    for r, at, b, w in zip(rows, words, bytes_, runs):
+        d = r.text.encode()
+        spans = [(i, i + 400) for i, x in enumerate(b) if seen[0][x] > 1]
+        spans += [(at[i][0], at[i + 50][1]) for i, x in enumerate(w) if seen[1][x] > 1]
+        gone = np.zeros(len(d) + 1, np.int64)
+        for i, j in spans:
+            gone[i] += 1
+            gone[j] -= 1
+        text = bytes(np.frombuffer(d, np.uint8)[np.cumsum(gone)[:len(d)] == 0]).decode("utf-8", "ignore")
+        if text.strip(" "):
+            want[r.doc_id] = text
+    got = dict(corpus_pipeline.STAGES)["suffix_dedup"](spark, table(spark, SF_SMALL, "documents"), SF_SMALL)
+    assert {r.doc_id: r.text for r in got.collect()} == want
