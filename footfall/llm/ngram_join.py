@@ -18,13 +18,16 @@ shingles is 0.8 or more; a class is a connected component of the links.
    ones are compared inside tasks, by signature and then exactly; only links
    are written.  So no candidate pair that could join two components is left
    out, while copies that are linked already are never compared again.
-5. Before texts are fetched, a pair whose whole signatures agree in too few
+5. Links are counted once the components are known: a link never leaves its
+   component, so all pairs of each are compared in cells like those above, each
+   pair in one cell, and only counts leave a cell.
+6. Before texts are fetched, a pair whose whole signatures agree in too few
    places is dropped (four standard deviations below the least similarity,
    one pair in 30,000 at that similarity).
 
 Recall of a pair at the least similarity is the target recall; components
-have further ways to meet.  ``n_links`` counts the links verified for a
-document's text, and its copies.
+have further ways to meet.  ``n_links`` counts the different texts of the class
+that a document's text is linked to, and its own copies.
 
 Defined results: a text of one to four words is one shingle; a null, empty or
 blank text has no shingles, links to nothing and is a class of its own;
@@ -50,6 +53,8 @@ SIMILARITY = 0.8
 TREES, DEPTH = 20, 8
 RECALL = 0.9995
 CELL = 4096                   # nodes of a prefix group that are compared in one piece
+COUNT_CELL = 1024             # nodes of a component whose links are counted in one piece
+COUNT_DEVIATIONS = 6          # like DEVIATIONS, where links are counted
 DEVIATIONS = 4                # a pair's signature may fall this far short of the least similarity
 
 _U32 = np.uint32
@@ -133,10 +138,10 @@ def _prefix_keys(sig: str, depth: int) -> str:
     return f"transform(sequence(0, {TREES - 1}), t -> xxhash64({depth}, t, substring({sig}, t * {width} + 1, {2 * depth})))"
 
 
-def _agreement(least: float) -> int:
+def _agreement(least: float, deviations: float = DEVIATIONS) -> int:
     """Places of a signature that must agree for a pair to be verified."""
     n = TREES * DEPTH
-    return int(n * least - DEVIATIONS * (n * least * (1 - least)) ** 0.5)
+    return int(n * least - deviations * (n * least * (1 - least)) ** 0.5)
 
 
 def likely(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
@@ -232,6 +237,14 @@ def _sides(cell: pa.Table) -> tuple[np.ndarray, np.ndarray, bool, np.ndarray]:
     return left, left if i == j else np.flatnonzero(block == j), i == j, comp
 
 
+def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, shingles) of (node, text)."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([shingles(t.as_py()).tobytes() for t in batch.column(1)], pa.binary())],
+            names=["node", "shingles"])
+
+
 def _rest(placed: DataFrame, near: DataFrame, texts: DataFrame, depth: int, least: float) -> DataFrame:
     """Links (u, v) between all candidates in different components.
 
@@ -295,22 +308,64 @@ def _rest(placed: DataFrame, near: DataFrame, texts: DataFrame, depth: int, leas
             yield pa.RecordBatch.from_arrays(
                 [node.take(pa.array(np.concatenate(c))).combine_chunks() for c in (us, vs)], names=["u", "v"])
 
-    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([shingles(t.as_py()).tobytes() for t in batch.column(1)], pa.binary())],
-                names=["node", "shingles"])
-
     dealt = rows.repartition(*cells).sortWithinPartitions(*cells)
     stay = stored(dealt.mapInArrow(lambda b: _by_cell(b, similar),
                                    "key bigint, i int, j int, block int, node binary, comp binary"), "cells")
     wanted = texts.join(stay.select("node").distinct(), "node").select("node", "text")
-    sets = wanted.mapInArrow(shingled, "node binary, shingles binary")
+    sets = wanted.mapInArrow(_shingled, "node binary, shingles binary")
     fetched = stay.join(sets, "node").select(*cells, "block", "node", "comp", "shingles")
     return fetched.repartition(*cells).sortWithinPartitions(*cells).mapInArrow(
         lambda b: _by_cell(b, linked), "u binary, v binary").distinct()
 
 
+def _degrees(comp: DataFrame, near: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """(node, degree): links of each node to the others of its component.
+
+    A component of up to COUNT_CELL nodes is one cell, a larger one is dealt
+    into blocks whose pairs are cells, so each pair of nodes is in one cell.
+    Signatures are compared, then shingle sets; rows are nodes in cells."""
+    n, need = TREES * DEPTH, _agreement(least, COUNT_DEVIATIONS)
+    cells = ["key", "i", "j"]
+    sizes = comp.groupBy("comp").agg(F.count("*").alias("n")).where("n > 1")
+    blocks = F.ceil(F.col("n") / COUNT_CELL).cast("int")
+    sets = texts.select("node", "text").mapInArrow(_shingled, "node binary, shingles binary")
+    rows = (comp.join(sizes.select("comp", blocks.alias("blocks")), "comp").join(near.select("node", "sig"), "node")
+            .join(sets, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+            .withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select(F.xxhash64("comp").alias("key"), F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"),
+                    "block", "node", "comp", "sig", "shingles"))
+
+    def count(cell: pa.Table) -> Iterator[pa.RecordBatch]:
+        left, right, same, comp = _sides(cell)
+        sig = np.frombuffer(b"".join(cell.column("sig").to_pylist()), "<u2").reshape(-1, n)
+        sets = [np.frombuffer(x, np.uint64) for x in cell.column("shingles").to_pylist()]
+        size = np.array([len(x) for x in sets])
+        place = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        start = np.cumsum(size) - size
+        mark, degree = np.zeros(int(place.max()) + 1, bool), np.zeros(len(sets), np.int64)
+        for at, x in enumerate(left):
+            other = right[at + 1:] if same else right
+            # components whose names have one hash share a cell
+            other = other[(comp[other] == comp[x]) & (np.minimum(size[other], size[x]) >= least * np.maximum(size[other], size[x]))]
+            other = other[(sig[other] == sig[x]).sum(axis=1) >= need]
+            if not len(other):
+                continue
+            own = place[start[x]:start[x] + size[x]]
+            mark[own] = True
+            ends = np.cumsum(size[other])
+            flat = np.repeat(start[other] - (ends - size[other]), size[other]) + np.arange(int(ends[-1]))
+            both = np.add.reduceat(mark[place[flat]], ends - size[other], dtype=np.int64)
+            mark[own] = False
+            hit = other[both >= least * (size[other] + size[x] - both) - 1e-9]
+            degree[hit] += 1
+            degree[x] += len(hit)
+        yield pa.RecordBatch.from_arrays([cell.column("node").combine_chunks(), pa.array(degree)], names=["node", "degree"])
+
+    counted = rows.repartition(*cells).sortWithinPartitions(*cells).mapInArrow(
+        lambda b: _by_cell(b, count), "node binary, degree bigint")
+    return counted.groupBy("node").agg(F.sum("degree").alias("degree"))
+
+
 def join(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, class_id, n_links, class_size."""
@@ -323,9 +378,10 @@ def join(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id",
                       F.when(alone, F.lit(1)).otherwise(F.col("class_size")).cast("long").alias("class_size"))
 
 
-def _classes(texts: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+def _classes(texts: DataFrame, least: float, count_links: bool = True) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, th, node) and nodes (node, class, n_links, class_size);
-    class is the smallest (doc_id is null, doc_id, th) of the class."""
+    class is the smallest (doc_id is null, doc_id, th) of the class.  Without
+    ``count_links`` n_links is null."""
     rows = stored(sketches(texts), "sketches")
     own = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")
     nodes = stored(rows.where("node is not null").groupBy("node").agg(
@@ -354,8 +410,7 @@ def _classes(texts: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     first = deep.groupBy("key").agg(F.min("node").alias("v"), F.count("*").alias("n")).where("n > 1").select("key", "v")
     partner = deep.join(first, "key").where("v < node").groupBy("node").agg(
         F.max(F.struct("d", "v")).alias("best")).select(F.col("node").alias("u"), F.col("best.v").alias("v"))
-    links = check(partner)
-    comp = components(links)
+    comp = components(check(partner))
     comp = stored(near.select("node").join(comp, "node", "left").select(
         "node", F.coalesce("comp", "node").alias("comp")), "components")
 
@@ -364,19 +419,19 @@ def _classes(texts: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     heads = placed.groupBy("key", "comp").agg(F.min("node").alias("u"))
     lead = heads.groupBy("key").agg(F.min("u").alias("v"), F.count("*").alias("n")).where("n > 1").select("key", "v")
     more = check(heads.join(lead, "key").where("u != v").select("u", "v"))
-    links = links.unionByName(more)
     comp = stored(_relabelled(comp, more), "components")
 
     # every pair of candidates in different components that is left
     more = stored(_rest(members.join(comp, "node"), near, near_texts, depth, least), "links")
-    links = links.unionByName(more)
     comp = stored(_relabelled(comp, more), "components")
 
-    ends = links.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    degree = ends.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
+    if count_links:
+        degree = _degrees(comp, near, near_texts, least)
+        n_links = F.coalesce("degree", F.lit(0)) + F.col("copies") - 1
+    else:
+        degree, n_links = nodes.limit(0).select("node"), F.lit(None).cast("long")
     labelled = nodes.select("node", "copies", "own").join(comp, "node", "left").join(degree, "node", "left").select(
-        "node", "copies", "own", F.coalesce("comp", "node").alias("comp"),
-        (F.coalesce("degree", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+        "node", "copies", "own", F.coalesce("comp", "node").alias("comp"), n_links.alias("n_links"))
     labelled = stored(labelled, "labelled")
     named = labelled.groupBy("comp").agg(F.min("own").alias("class"), F.sum("copies").alias("class_size"))
     return rows.select("doc_id", "th", "node"), labelled.join(named, "comp").select(
@@ -389,7 +444,7 @@ def keep_one(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id",
     packed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"),
                          F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     texts = keyed(packed)
-    rows, classes = _classes(texts.select("doc_id", "text", "th"), least)
+    rows, classes = _classes(texts.select("doc_id", "text", "th"), least, count_links=False)
     keep = classes.select("class.doc_id", "class.th").distinct().withColumn("keep", F.lit(True))
     wordless = rows.where("node is null").select("doc_id", "th").distinct().withColumn("keep", F.lit(False))
     chosen = keep.unionByName(wordless).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "keep")

@@ -116,3 +116,24 @@ def test_keep_one(spark):
     assert out.columns == df.columns
     assert sorted((r.doc_id, r.row or "") for r in out.collect()) == [(1, "z"), (2, "z"), (3, "m"), (9, "")]
     assert J.keep_one(df.limit(0)).count() == 0 and J.join(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("cell", [J.COUNT_CELL, 7])
+def test_n_links_equals_all_pairs(spark, cell, monkeypatch):
+    monkeypatch.setattr(J, "COUNT_CELL", cell)
+    rng, rows = random.Random(8), []
+    for base, changes in ((0, 1), (1, 16)):       # all pairs are links; some are
+        text = [f"b{base}w{k}" for k in range(150)]
+        for n in range(40):
+            t = list(text)
+            for _ in range(rng.randrange(changes) + 1):
+                t[rng.randrange(150)] = f"x{rng.randrange(10 ** 6)}"
+            rows.append((100 * base + n, " ".join(t)))
+    rows += [(300, rows[0][1]), (301, rows[0][1]), (302, "alone here"), (303, None)]
+    sets = [_set(t) for _, t in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.n_links for r in J.join(df).collect()}
+    for (doc_id, _), a in zip(rows, sets):
+        texts = {b for b in sets if a and b and b != a and 5 * len(a & b) >= 4 * len(a | b)}
+        assert got[doc_id] == len(texts) + (sets.count(a) - 1 if a else 0)
+    assert got[1] == 39 and got[300] == 41
