@@ -3,8 +3,8 @@
 Documents are range-partitioned by doc_id, encoded, and their ids, each
 document's end id included, written as blocks of whole documents.  In a block
 frequent pairs of neighbouring ids are replaced by new symbols, round after
-round: a round counts all pairs, gives every frequent one a rule, and replaces
-its occurrences from left to right.  A block keeps the rules, the length that
+round until no pair is frequent: a round counts all pairs, gives every frequent
+one a rule, and replaces its occurrences from left to right.  A block keeps the rules, the length that
 each symbol expands to, and the remaining sequence, so a document is decoded
 from the symbols that cover it, found by the running sum of lengths.
 
@@ -33,10 +33,9 @@ from footfall.llm.bpe import DEFAULT_VOCABULARY, encoder_for
 from footfall.llm.common import id_text, scratch_path, table, tasks_for
 
 BLOCK_TOKENS = 1 << 18
-ROUNDS = 2                   # further rounds shortened the sequence by less than 1 %
 MIN_COUNT = 24               # a pair rarer than this in a block gets no rule
 DOCS_PER_TASK = 4_000
-_BITS = 16                   # width of the table that counts pairs
+_BITS = 18                   # width of the table that counts pairs
 
 _RAW = [("block", "bigint"), ("doc_ids", "array<{}>"), ("lengths", "array<bigint>"), ("terminals", "bigint"),
         ("rules", "binary"), ("rounds", "binary"), ("expansion", "binary"), ("symbols", "binary")]
@@ -48,46 +47,50 @@ def _slot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return ((a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA6B))) * np.uint32(0xC2B2AE35) >> np.uint32(32 - _BITS)
 
 
-def _frequent(seq: np.ndarray, slot: np.ndarray, min_count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent pairs and their slots, one pair for each slot: slots that
-    hold enough occurrences are looked into, and the pair found most there."""
-    heavy = np.bincount(slot, minlength=1 << _BITS) >= min_count
-    at = np.flatnonzero(heavy[slot])
-    if not len(at):
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    key = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
-    pairs, n = np.unique(key, return_counts=True)
-    pairs, n = pairs[n >= min_count], n[n >= min_count]
-    where = _slot((pairs >> np.uint64(32)).astype(np.uint32), pairs.astype(np.uint32)).astype(np.int64)
-    order = np.lexsort((pairs, -n, where))
-    first = order[np.diff(where[order], prepend=-1) != 0]
-    return pairs[first], where[first]
-
+def _frequent(seq: np.ndarray, min_count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(frequent pairs, places of their occurrences, pair of each place).
 
-def compress(ids: np.ndarray, terminals: int, rounds: int = ROUNDS, min_count: int = MIN_COUNT):
+    In a slot that holds enough occurrences one pair is counted directly; the
+    others there are sorted."""
+    slot = _slot(seq[:-1], seq[1:])
+    at = np.flatnonzero((np.bincount(slot, minlength=1 << _BITS) >= min_count)[slot])
+    slot = slot[at]
+    key = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
+    one = np.zeros(1 << _BITS, np.uint64)
+    one[slot] = key
+    direct = one[slot] == key
+    n = np.bincount(slot[direct], minlength=1 << _BITS)
+    slots = np.flatnonzero(n >= min_count)
+    others, which, count = np.unique(key[~direct], return_inverse=True, return_counts=True)
+    rule = np.full(1 << _BITS, -1, np.int64)
+    rule[slots] = np.arange(len(slots))
+    later = np.full(len(others), -1, np.int64)
+    later[count >= min_count] = len(slots) + np.arange(int((count >= min_count).sum()))
+    r = np.where(direct, rule[slot], -1)
+    r[~direct] = later[which]
+    pairs = np.concatenate([one[slots], others[count >= min_count]])
+    return pairs, at[r >= 0], r[r >= 0]
+
+
+def compress(ids: np.ndarray, terminals: int, rounds: int | None = None, min_count: int = MIN_COUNT):
     """(rules as pairs, first rule of each round, expansion length of each
-    rule, remaining symbols); symbol ``terminals + k`` is rule k."""
+    rule, remaining symbols); symbol ``terminals + k`` is rule k.  Without
+    ``rounds`` they go on until no pair is frequent."""
     seq = ids.astype(np.uint32)
     rules, starts, lengths = np.empty((0, 2), np.uint32), [0], np.empty(0, np.int64)
-    for _ in range(rounds):
-        if len(seq) < 2 * min_count:
-            break
-        slot = _slot(seq[:-1], seq[1:])
-        pairs, where = _frequent(seq, slot, min_count)
+    while len(seq) > min_count and (rounds is None or len(starts) <= rounds):
+        pairs, at, r = _frequent(seq, min_count)
         if not len(pairs):
             break
-        new = np.column_stack([(pairs >> np.uint64(32)).astype(np.uint32), pairs.astype(np.uint32)])
-        rule = np.full(1 << _BITS, -1, np.int32)
-        rule[where] = np.arange(len(pairs), dtype=np.int32)
-        at = np.flatnonzero(rule[slot] >= 0)
-        r = rule[slot[at]]
-        same = (seq[at] == new[r, 0]) & (seq[at + 1] == new[r, 1])
-        at, r = at[same], r[same]
         # of neighbouring occurrences that overlap, every other one from the left
         begins = np.diff(at, prepend=-2) != 1
         run_start = np.maximum.accumulate(np.where(begins, np.arange(len(at)), 0))
         use = (np.arange(len(at)) - run_start) % 2 == 0
         at, r = at[use], r[use]
+        # a pair whose occurrences all overlap others gets no rule now
+        used = np.bincount(r, minlength=len(pairs)) > 0
+        pairs, r = pairs[used], (np.cumsum(used) - 1)[r]
+        new = np.column_stack([(pairs >> np.uint64(32)).astype(np.uint32), pairs.astype(np.uint32)])
         length = lambda s, known=lengths: np.where(
             s < terminals, 1, known[np.maximum(s.astype(np.int64) - terminals, 0)] if len(known) else 1)
         added = length(new[:, 0]) + length(new[:, 1])

@@ -84,6 +84,20 @@ def test_grammar_round_trip_and_random_access():
                 assert (b.ids(i, j) == x[i:j]).all()
 
 
+def test_grammar_has_no_frequent_pair_left():
+    rng = np.random.default_rng(5)
+    passage = rng.integers(0, 5000, 2000)
+    copies = np.concatenate([np.append(passage, 5000 + k) for k in range(100)])
+    skewed = np.minimum(rng.zipf(1.3, 60_000), 30_000)
+    for x in (copies, skewed, np.zeros(40, int)):
+        rules, starts, lengths, seq = token_store.compress(x, 40_000)
+        _, n = np.unique((seq[:-1].astype(np.int64) << 32) | seq[1:], return_counts=True)
+        assert not (n >= token_store.MIN_COUNT).any()
+        assert (token_store.Block(40_000, rules.ravel(), starts, lengths, seq).ids() == x).all()
+    rules, starts, lengths, seq = token_store.compress(copies, 40_000)
+    assert len(seq) <= 300 and lengths.max() >= 1000     # a copy is folded to a few symbols
+
+
 def _crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
