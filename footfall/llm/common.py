@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from footfall.session import ensure_checkpoint_dir
@@ -71,3 +71,47 @@ def probable_owners(texts: DataFrame, owners: DataFrame) -> DataFrame:
 
     kind = texts.schema["doc_id"].dataType.simpleString()
     return texts.select("doc_id", "text", "th", bit.alias("bit")).mapInArrow(run, f"doc_id {kind}, text string, th int")
+
+
+WEIGHT_MOST = 1024            # rows that one counted row stands for when rows are numbered
+NUMBERED_PER_TASK = 100_000
+
+
+def field_text(column: str) -> Column:
+    """One field of a record as text that no other record shares: `-` for
+    null, else the value's UTF-8 byte count, a colon and the value."""
+    value = F.col(column).cast("string")
+    return F.when(value.isNull(), F.lit("-")).otherwise(
+        F.concat(F.octet_length(value).cast("string"), F.lit(":"), value))
+
+
+def ascii_lower(column: Column) -> Column:
+    """Lower-cases A-Z and nothing else."""
+    return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def numbered(rows: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """``rows`` (with ``n``, the number of equal rows each one stands for, and
+    ``group`` columns without nulls) with ``start``, the rows before it in its
+    group by ``order``, and ``total``, the rows of the group.
+
+    A row that stands for more than WEIGHT_MOST rows is cut into several, and
+    the order is dealt by range, so neither a group nor a repeated row is ever
+    one task.  Sums of the ranges give each range its first number."""
+    spark = rows.sparkSession
+    cut = F.explode(F.expr(f"sequence(0L, n - 1, {WEIGHT_MOST}L)"))
+    rows = stored(rows.where("n > 0").withColumn("_from", cut)
+                  .withColumn("n", F.least(F.lit(WEIGHT_MOST).cast("bigint"), F.col("n") - F.col("_from"))), name)
+    parts = tasks_for(spark, rows.count(), NUMBERED_PER_TASK)
+    order = [*order, "_from"]
+    dealt = stored(rows.repartitionByRange(parts, *group, *order).withColumn("_part", F.spark_partition_id()), name)
+    sums = dealt.groupBy(*group, "_part").agg(F.sum("n").alias("_n"))
+    of_group = Window.partitionBy(*group)
+    sums = sums.select(*group, "_part", F.sum("_n").over(of_group).alias("total"),
+                       F.coalesce(F.sum("_n").over(of_group.orderBy("_part").rowsBetween(
+                           Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*group, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = dealt.withColumn("_inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    return (placed.join(sums, [*group, "_part"]).withColumn("start", F.col("_before") + F.col("_inside"))
+            .drop("_from", "_part", "_before", "_inside"))
+

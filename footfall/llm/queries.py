@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from footfall.llm import bpe_chunks, html_text, ngram_join, ngram_lm, packing, pii, quality_rules, suffix_dedup, token_store, top_k
+from footfall.llm import (bpe_chunks, html_text, merkle, ngram_join, ngram_lm, packing, pii, quality_rules, sharding,
+                          spelling, suffix_dedup, token_store, top_k)
 
 SPARK = {
     "op1_quality_rules": quality_rules.query,
@@ -15,9 +16,15 @@ SPARK = {
     "op8_bpe_chunks": bpe_chunks.query,
     "op9_token_store": token_store.query,
     "op10_packing": packing.query,
+    "op11_sharding": sharding.query,
+    "op12_merkle": merkle.query,
+    "op13_spelling": spelling.query,
 }
 
 SQL = {
     "op1_quality_rules": quality_rules.ORACLE,
     "op6_top_k": top_k.ORACLE,
+    "op11_sharding": sharding.ORACLE,
+    "op12_merkle": merkle.ORACLE,
+    "op13_spelling": spelling.ORACLE,
 }
