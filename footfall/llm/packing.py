@@ -2,12 +2,16 @@
 
 The lengths of all pieces form a histogram of at most ``capacity`` entries,
 whatever the input's size; only that histogram reaches the driver.  There the
-configuration linear program (how often to use each filling of a sequence) is
-solved by multiplicative weights: lengths that are covered least weigh most,
-and a knapsack dynamic program prices the best filling for the weights.  The
-solution is rounded down to whole sequences that the pieces can fill; what is
-left is packed best-fit decreasing, a whole filling as often as it goes.  The
-fillings number a few thousand at most, again whatever the input's size.
+configuration linear program (how often to use each filling of a sequence, so
+that every length is covered as often as it occurs) is solved by
+multiplicative weights: a length's price falls with the share of it that is
+covered, a knapsack dynamic program prices the best filling, and all fillings
+within TOLERANCE of it are used until a round has covered STEP of a length.
+Rounds go on until every length is covered, so their number grows with the
+lengths that occur.  The solution is rounded to whole sequences: the most used
+filling first, its uses rounded up as far as pieces are left.  The pieces that
+rounding leaves are packed best-fit decreasing.  The fillings number some
+thousands at most, again whatever the input's size.
 
 Pieces are numbered within their length in Spark, in parts so that a common
 length is never one group, and a number is turned into a sequence and an
@@ -33,58 +37,96 @@ from footfall.llm.bpe import DEFAULT_VOCABULARY, encoder_for
 from footfall.llm.common import id_text, stored, table, tasks_for
 
 CAPACITY = 2048
-ROUNDS = 300                  # rounds of multiplicative weights
+STEP = 0.25                   # share of a length that one round covers at most
+SHARPNESS = 4.0               # how fast a covered length loses its price
+TOLERANCE = 0.01              # value that a filling may lack of the best one's
+FULL = 0.98                   # share of a sequence that a rounded filling must use
 PIECES_PER_TASK = 20_000
 
 
 @dataclass(frozen=True)
 class Filling:
     """One way to fill a sequence: lengths in descending order with their
-    counts, used for ``times`` sequences."""
+    counts, used for ``times`` sequences; ``by`` is the part of the plan that
+    it comes from (full, program, fit)."""
     items: tuple[tuple[int, int], ...]
     times: int
+    by: str = "program"
 
 
 def price(values: np.ndarray) -> np.ndarray:
-    """Counts per length (1..capacity) of the filling of greatest value:
-    unbounded knapsack by dynamic programming over the room used."""
+    """Best value for each room 0 ... capacity that lengths 1 ... capacity of
+    these values can give: unbounded knapsack by dynamic programming."""
     capacity = len(values)
-    best, choice = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
+    best, back = np.zeros(capacity + 1), values[::-1].copy()
     for room in range(1, capacity + 1):
-        gains = values[:room] + best[room - 1::-1]
-        k = int(gains.argmax())
-        best[room], choice[room] = gains[k], k + 1
-    counts, room = np.zeros(capacity, np.int64), capacity
-    while room > 0:
-        if values[choice[room] - 1] > 0:         # else room left empty
-            counts[choice[room] - 1] += 1
-        room -= int(choice[room])
-    return counts
-
-
-def solve(counts: np.ndarray, rounds: int = ROUNDS) -> list[tuple[np.ndarray, float]]:
-    """Fractional solution of the covering program: (filling, times).
-
-    ``counts[l - 1]`` is the number of pieces of length l.  A round prices a
-    filling for weights / count, uses it until one of its lengths would be
-    covered by another 1/rounds-th part, and lowers the weights of the
-    lengths covered by their share."""
-    present = counts > 0
-    demand = np.where(present, counts, 1).astype(float)
-    covered, found = np.zeros(len(counts)), {}
-    sharpness = 2.0 * np.log(max(2, int(present.sum())))
-    for _ in range(rounds):
-        if not present.any() or covered[present].min() >= 1:
+        best[room] = (back[capacity - room:] + best[:room]).max()
+    return best
+
+
+def _fill_up(length: int, values: np.ndarray, best: np.ndarray, need: np.ndarray, least: float) -> dict[int, int] | None:
+    """A filling with ``length``, worth ``least`` or more, of lengths that
+    still have need, or None: piece by piece the one that leaves most value."""
+    items, room, worth = {length: 1}, len(values) - length, values[length - 1]
+    while room:
+        gains = np.where(need[:room] > 0, values[:room] + best[room - 1::-1], 0.0)
+        k = room - 1 - int(gains[::-1].argmax())                     # the longest of the best
+        if gains[k] <= 0 or worth + gains[k] < least:
             break
-        weight = np.exp(-sharpness * (covered - covered[present].min()))
-        filling = price(np.where(present & (covered < 1), weight / demand, 0.0))
-        filling = np.minimum(filling, counts)
-        used = filling > 0
-        step = float((demand[used] / filling[used]).min()) / 4
-        covered[used] += step * filling[used] / demand[used]
-        key = filling.tobytes()
-        found[key] = found.get(key, 0.0) + step
-    return [(np.frombuffer(k, np.int64), x) for k, x in found.items()]
+        items[k + 1] = items.get(k + 1, 0) + 1
+        worth += values[k]
+        room -= k + 1
+    return items if worth >= least else None
+
+
+def solve(counts: np.ndarray, step: float = STEP, sharpness: float = SHARPNESS,
+          tolerance: float = TOLERANCE) -> dict[tuple[tuple[int, int], ...], float]:
+    """Fractional solution of the covering program: filling -> times.
+
+    ``counts[l - 1]`` is the number of pieces of length l.  A length is worth
+    its tokens times exp(-sharpness * covered share).  A round prices rooms,
+    then gives every length, longest first, fillings of nearly the best value
+    until ``step`` of the lengths in them is covered."""
+    capacity = len(counts)
+    lengths, demand = np.arange(1, capacity + 1), np.maximum(counts, 1).astype(float)
+    covered, found = np.where(counts > 0, 0.0, 1.0), {}
+    while (covered < 1).any():
+        open_ = covered < 1
+        values = np.where(open_, lengths * np.exp(-sharpness * (covered - covered[open_].min())), 0.0)
+        best = price(values)
+        need = np.where(open_, np.minimum(step, 1 - covered), 0.0) * demand
+        least = (1 - tolerance) * best[capacity]
+        for length in lengths[open_ & (values + best[capacity - lengths] >= least)][::-1]:
+            while need[length - 1] > 0:
+                items = _fill_up(int(length), values, best, need, least)
+                if items is None:
+                    break
+                times = min(need[k - 1] / n for k, n in items.items())
+                for k, n in items.items():
+                    need[k - 1] -= n * times
+                    covered[k - 1] += n * times / demand[k - 1]
+                    if need[k - 1] <= 1e-9 * demand[k - 1]:
+                        need[k - 1] = 0.0
+                    if covered[k - 1] > 1 - 1e-9:
+                        covered[k - 1] = 1.0
+                key = tuple(sorted(items.items(), reverse=True))
+                found[key] = found.get(key, 0.0) + times
+    return found
+
+
+def rounded(counts: np.ndarray, solution: dict[tuple[tuple[int, int], ...], float],
+            full: float = FULL) -> tuple[list[Filling], np.ndarray]:
+    """Whole sequences from a fractional solution and the pieces left over."""
+    left, chosen = counts.astype(np.int64).copy(), []
+    for items, x in sorted(solution.items(), key=lambda c: (-c[1], c[0])):
+        if sum(k * n for k, n in items) < full * len(counts):
+            continue
+        times = min(int(np.ceil(x - 1e-9)), min(int(left[k - 1]) // n for k, n in items))
+        if times > 0:
+            for k, n in items:
+                left[k - 1] -= n * times
+            chosen.append(Filling(items, times))
+    return chosen, left
 
 
 def best_fit(left: np.ndarray) -> list[tuple[np.ndarray, int]]:
@@ -109,26 +151,25 @@ def best_fit(left: np.ndarray) -> list[tuple[np.ndarray, int]]:
     return out
 
 
-def plan(counts: np.ndarray, rounds: int = ROUNDS) -> list[Filling]:
+def plan(counts: np.ndarray, step: float = STEP) -> list[Filling]:
     """Fillings that pack exactly the pieces counted."""
-    left, chosen = counts.astype(np.int64).copy(), []
-    capacity = len(left)
-    if left[capacity - 1]:                       # full pieces are sequences of their own
-        full = np.zeros(capacity, np.int64)
-        full[-1] = 1
-        chosen.append((full, int(left[-1])))
+    left, out = counts.astype(np.int64).copy(), []
+    if left[-1]:                                 # full pieces are sequences of their own
+        out.append(Filling(((len(left), 1),), int(left[-1]), "full"))
         left[-1] = 0
-    by_use = sorted(solve(left, rounds), key=lambda c: (-c[1] * float(c[0] @ np.arange(1, capacity + 1)),
-                                                        c[0].tobytes()))
-    for filling, x in by_use:
-        used = filling > 0
-        if used.any() and int(filling @ np.arange(1, capacity + 1)) >= 0.98 * capacity:
-            times = min(int(x), int((left[used] // filling[used]).min()))
-            if times > 0:
-                left -= times * filling
-                chosen.append((filling, times))
-    chosen += best_fit(left)
-    return [Filling(tuple((int(i) + 1, int(f[i])) for i in np.flatnonzero(f)[::-1]), t) for f, t in chosen]
+    chosen, left = rounded(left, solve(left, step))
+    for filling, times in best_fit(left):
+        chosen.append(Filling(tuple((int(i) + 1, int(filling[i])) for i in np.flatnonzero(filling)[::-1]), times, "fit"))
+    return out + chosen
+
+
+def shares(fillings: list[Filling]) -> dict[str, tuple[int, int]]:
+    """(sequences, pieces) of each part of a plan."""
+    out = {}
+    for f in fillings:
+        a, b = out.get(f.by, (0, 0))
+        out[f.by] = a + f.times, b + f.times * sum(n for _, n in f.items)
+    return out
 
 
 def slots(fillings: list[Filling]) -> dict[int, np.ndarray]:
@@ -184,7 +225,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0, voc
                                + (", ids array<int>" if with_ids else ""))
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, step: float = STEP) -> DataFrame:
     """``pieces`` (from ``token_pieces``) with ``sequence_id`` and ``offset``."""
     spark = pieces.sparkSession
     pieces = stored(pieces, "pieces")
@@ -192,7 +233,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> D
     counts = np.zeros(capacity, np.int64)
     for length, n in histogram.items():
         counts[length - 1] = n
-    places = spark.sparkContext.broadcast(slots(plan(counts, rounds)))     # a few thousand fillings at most
+    places = spark.sparkContext.broadcast(slots(plan(counts, step)))     # a few thousand fillings at most
 
     parts = tasks_for(spark, int(counts.sum()), PIECES_PER_TASK)
     own = ["doc_id", "piece", "start", "ids_crc32"]

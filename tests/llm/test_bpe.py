@@ -190,6 +190,35 @@ def test_price_is_the_best_filling():
     rng = np.random.default_rng(4)
     for _ in range(20):
         v = rng.random(6)
-        best = max(sum(v[k] * c for k, c in enumerate(cs)) for cs in product(range(7), repeat=6)
-                   if sum((k + 1) * c for k, c in enumerate(cs)) <= 6)
-        assert packing.price(v) @ v == pytest.approx(best)
+        best = [max(sum(v[k] * c for k, c in enumerate(cs)) for cs in product(range(7), repeat=6)
+                    if sum((k + 1) * c for k, c in enumerate(cs)) <= room) for room in range(7)]
+        assert packing.price(v) == pytest.approx(best)
+
+
+def _histograms():
+    rng = np.random.default_rng(5)
+    dense = np.full(2048, 100)
+    dense[-1] = 0
+    few = np.zeros(2048, int)
+    few[[6, 300, 1200, 2046]] = 5, 1, 9, 2
+    skewed = np.bincount(np.minimum(2047, np.exp(rng.normal(6, 1, 50_000)).astype(int) + 1), minlength=2049)[1:]
+    return {"dense": dense, "few": few, "skewed": skewed, "none": np.zeros(2048, int)}
+
+
+@pytest.mark.parametrize("name", ["dense", "few", "skewed", "none"])
+def test_the_program_is_solved_and_its_rounding_places_the_pieces(name):
+    counts = _histograms()[name]
+    solution = packing.solve(counts)
+    covered = np.zeros(2048)
+    for items, x in solution.items():
+        assert x > 0 and sum(k * n for k, n in items) <= 2048
+        for k, n in items:
+            covered[k - 1] += n * x
+    assert np.allclose(covered, counts, rtol=1e-6)                 # every length, and none more than it occurs
+    bound = counts @ np.arange(1, 2049) / 2048
+    if name in ("dense", "skewed"):
+        assert sum(solution.values()) <= 1.002 * bound
+        part = packing.shares(packing.plan(counts))
+        pieces = {k: n for k, (_, n) in part.items()}
+        assert pieces["program"] >= 0.9 * counts.sum() and sum(pieces.values()) == counts.sum()
+        assert sum(n for n, _ in part.values()) <= 1.002 * bound + 1
