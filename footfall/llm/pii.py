@@ -136,25 +136,30 @@ def _phone(text: str, plus: int) -> tuple[int, int, bool] | None:
 
 
 def _iban(text: str, i: int) -> tuple[int, int] | None:
-    """Country letters before the digit at ``i``, groups of four after."""
+    """Country letters before the digit at ``i``, groups of four after.  The
+    longest valid number that ends a word is taken: after a blank the next
+    word may go on in letters that could be a group."""
     start = i - 2
     if start < 0 or text[start] not in _UPPER or text[start + 1] not in _UPPER or (
             start > 0 and text[start - 1] in _ALNUM):
         return None
-    code, end, k = [], start, start
+    code, ends, k = [], [], start
     while k < len(text) and len(code) < 34:
         c = text[k]
         if c in _UPPER or c in _DIGITS:
             code.append(c)
-            end = k + 1
-        elif not (c == " " and len(code) % 4 == 0):
+            if len(code) >= 15 and (k + 1 == len(text) or text[k + 1] not in _ALNUM):
+                ends.append((len(code), k + 1))
+        elif not (c == " " and len(code) % 4 == 0 and text[k - 1] != " "):
             break
         k += 1
-    if len(code) < 15 or not (code[2] in _DIGITS and code[3] in _DIGITS) or (
-            end < len(text) and text[end] in _ALNUM):
+    if len(code) < 15 or not (code[2] in _DIGITS and code[3] in _DIGITS):
         return None
-    turned = "".join(str(int(c, 36)) for c in code[4:] + code[:4])
-    return (start, end) if int(turned) % 97 == 1 else None
+    for size, end in reversed(ends):
+        turned = "".join(str(int(c, 36)) for c in code[4:size] + code[:4])
+        if int(turned) % 97 == 1:
+            return start, end
+    return None
 
 
 def _after_cue(text: str, i: int) -> int:
@@ -197,8 +202,8 @@ def find_spans(text: str, automaton: ahocorasick.Automaton) -> dict[str, list[tu
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     free = dict.fromkeys(KINDS, 0)        # where the next match of a kind may start
     run_end = 0                           # digits before this place belong to a run already seen
-    lowered = text.lower()
-    for last, (what, size) in automaton.iter(lowered if len(lowered) == len(text) else text):
+    lowered = text.encode().lower().decode()      # A-Z alone: every place stays
+    for last, (what, size) in automaton.iter(lowered):
         i = last - size + 1
         if what == "digit":
             if i < run_end:

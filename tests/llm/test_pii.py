@@ -79,3 +79,14 @@ def test_nulls_empty_long_repeats_and_extra_columns(spark):
     red = pii.redact_documents(df).collect()
     assert {r.text if r.text is None else r.text[-8:] for r in red} == {None, "", " <EMAIL>"}
     assert red[0].spans == "s"
+
+
+def test_accounts_before_capitals_and_cues_beside_other_letters():
+    automaton = pii.build_automaton()
+    iban = "ES91 2100 0418 4502 0005 1332"
+    for after in (" Please", " PLEASE", " AB12", ", x", "", " 1234"):
+        assert pii.find_spans(iban + after, automaton)["account"] == [(0, len(iban))], after
+    assert pii.find_spans("GB82 WEST 1234 5698 7654 32", automaton)["account"] == [(0, 27)]
+    assert not pii.find_spans("ES91 2100 0418 4502 0005 1333 Please", automaton)["account"]
+    text = "\u0130 Password: abcdefgh12345678X"
+    assert pii.find_spans(text, automaton)["secret"] == [(12, len(text))]
