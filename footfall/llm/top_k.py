@@ -17,8 +17,9 @@ best per query and range are merged.  The work is queries x candidates in the wo
 case, in memory of one block by one batch.
 
 Defined results: vectors that are null, empty, or hold a null or non-finite
-component take no part; only vectors of one length are compared; components
-must keep the inner product inside a long (else the job fails).  A query with
+component take no part, nor do vectors whose inner product with themselves
+exceeds a long (no product of the others can); only vectors of one length are
+compared.  A query with
 fewer than k other vectors gets them all.  Equal scores go to the smaller id.
 A candidate is every row but the query's own, so rows that share an id are
 candidates of each other and each has its own result; a null id takes no
@@ -37,6 +38,7 @@ from pyspark.sql import functions as F
 from footfall.llm.common import stored, table
 
 LEVELS = (1, 4, 16)           # segments at each resolution
+MOST_NORM = 2.0 ** 62         # of a vector's whole numbers, squared and summed
 QUERY_BLOCK = 1024
 SLICE_ROWS = 4_096            # candidates in a row of the join
 RANGE_ROWS = 65_536           # candidates that a query block meets in one task
@@ -49,7 +51,8 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     v = F.col(vector_col)
     good = F.col(id_col).isNotNull() & v.isNotNull() & (F.size(v) > 0) & F.forall(
         v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    return vectors.where(good).select(
+    size = F.aggregate(v, F.lit(0.0), lambda a, x: a + F.pow(F.lit(64.0) * F.abs(x.cast("double")) + 1, 2))
+    return vectors.where(good).where(size < MOST_NORM).select(
         F.col(id_col).alias("id"), F.size(v).alias("dim"),
         F.transform(v, lambda x: F.floor(F.lit(64) * x.cast("double")).cast("double")).alias("v"))
 

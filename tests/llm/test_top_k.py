@@ -44,6 +44,12 @@ def test_edges(spark):
     assert top_k.search(df.limit(0)).count() == 0
 
 
+def test_huge_components_take_no_part(spark):
+    rows = [(0, [1.0, 2.0]), (20, [3e7, 1.0]), (21, [2e7, -2e7]), (22, [4e7, 1.0]), (40, [1e300, 0.0]), (23, [-9e17, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, top_k.search(df, 5).collect())) == brute(rows[:3], 5, 20)
+
+
 def test_bounds_hold_and_prune():
     rng = np.random.default_rng(2)
     centre = rng.normal(size=(8, 64)) * 20
