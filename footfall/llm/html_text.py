@@ -5,11 +5,19 @@ builder turns these into balanced opens and closes, with the start and end
 tags that HTML implies and the unmatched ones dropped; a renderer walks the
 tree and lays out all visible text: blocks on lines of their own, a blank line
 around paragraphs, headings, lists and tables, list markers with indentation,
-table cells in columns of equal width, preformatted text as it is.
-
-Not visible: head, script, style and other machine content, comments,
-elements with ``hidden``, ``display:none`` or ``visibility:hidden`` in their
-style, a dialog or details body that is not open, hidden inputs.
+table cells in columns of equal width, preformatted text as it is.  A cell of
+several lines (a list, a table in it) keeps them, side by side with its row's
+other cells; one that spans columns widens them all; lines over ALIGN
+characters move what follows on their line and do not widen their column.
+
+Visible are also the text of svg and math, the fallback of an object and the
+selected option of a select (the first one if none is, all of a multiple one).
+Not visible: head, title, script, style, template, noscript and noframes;
+iframe, canvas, audio and video, whose content stands for them; datalist;
+desc, defs, symbol and metadata of svg, annotations of math; comments;
+elements with ``hidden`` or ``display:none``, with ``visibility:hidden`` but
+for children made visible again; a dialog or details body that is not open;
+hidden inputs.
 
 Depth is kept on explicit stacks, so nesting of any depth is read; time and
 memory are in proportion to the page.  Defined results: a null or empty page
@@ -31,8 +39,9 @@ from footfall.llm.common import table
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template noscript title iframe noembed noframes object svg math canvas audio "
-                   "video datalist select".split())
+UNSEEN = frozenset("head script style template noscript title iframe noembed noframes canvas audio video datalist "
+                   "desc defs symbol metadata annotation annotation-xml".split())
+ALIGN = 100                   # characters of a cell's line that widen its column
 SPACED = {t: 1 for t in "p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure hr fieldset".split()}
 BLOCK = frozenset("html body address article aside center dd details dialog dir div dt fieldset figcaption figure "
                   "footer form header hgroup legend li main menu nav section summary caption".split()) | SPACED.keys()
@@ -62,7 +71,8 @@ _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:"[^"]*"|'[^']*')|[^>])*+
 _PLAIN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")       # a quote that never ends
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _BLANKS = re.compile(r"[ \t\n\f\r]+")
-_HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+_HIDING = re.compile(r"display\s*:\s*none", re.I)
+_VEIL = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
 
 
 def scan(html: str) -> Iterator[tuple[str, str, str]]:
@@ -226,7 +236,7 @@ class Grid:
     """Cells of one table, laid out when it ends."""
 
     def __init__(self):
-        self.rows: list[dict[int, str]] = []
+        self.rows: list[dict[int, tuple[int, list[str]]]] = []       # column -> (columns it spans, lines)
         self.held: dict[int, int] = {}      # column -> rows still covered from above
         self.column = 0
 
@@ -235,12 +245,12 @@ class Grid:
         self.held = {c: n - 1 for c, n in self.held.items() if n > 1}
         self.column = 0
 
-    def cell(self, text: str, across: int, down: int) -> None:
+    def cell(self, lines: list[str], across: int, down: int) -> None:
         if not self.rows:
             self.row()
         while self.held.get(self.column):
             self.column += 1
-        self.rows[-1][self.column] = _BLANKS.sub(" ", text).strip()
+        self.rows[-1][self.column] = across, [x for x in lines if x.strip()]
         if down > 1:
             for c in range(self.column, self.column + across):
                 self.held[c] = down
@@ -248,11 +258,32 @@ class Grid:
 
     def lines(self) -> list[str]:
         width: dict[int, int] = {}
+        wide = []
+        for r in self.rows:
+            for c, (across, text) in r.items():
+                size = max((len(x) for x in text if len(x) <= ALIGN), default=1 if text else 0)
+                if size and across > 1:
+                    wide.append((c, across, size))
+                elif size:
+                    width[c] = max(width.get(c, 0), size)
+        for c, across, size in wide:                                 # a span widens its columns alike
+            own = [k for k in range(c, c + across) if k in width] or [c]
+            lack = size - sum(width.get(k, 0) for k in own) - 2 * (len(own) - 1)
+            for n, k in enumerate(own):
+                width[k] = width.get(k, 0) + max(0, lack + len(own) - 1 - n) // len(own)
+        used = sorted(width)
+        out = []
         for r in self.rows:
-            for c, t in r.items():
-                width[c] = max(width.get(c, 0), len(t))
-        used = [c for c in sorted(width) if width[c]]
-        out = ["  ".join(r.get(c, "").ljust(width[c]) for c in used).rstrip() for r in self.rows]
+            for k in range(max((len(text) for _, text in r.values()), default=0)):
+                line, at, end = "", 0, -1                            # at: where the next column begins
+                for c in used:
+                    across, text = r.get(c, (1, []))
+                    if c > end:
+                        end = c + across - 1
+                        if k < len(text):
+                            line = line.ljust(at) + text[k] if len(line) <= at else f"{line}  {text[k]}"
+                    at += width[c] + 2
+                out.append(line.rstrip())
         return [x for x in out if x]
 
 
@@ -269,10 +300,12 @@ def render(html: str) -> str:
     lists: list[list] = []                      # [is ordered, next number]
     hidden = 0                                  # opens inside a hidden element
     shut: list[int] = []                        # depths of details that are not open
+    veils = [False]                             # visibility of the open elements, hidden ones apart
+    selects: list[tuple[bool, list[tuple[bool, str]]]] = []
     depth = 0
     for kind, name, raw in build(html):
         if kind == "text":
-            if not hidden and not (shut and depth == shut[-1]):
+            if not hidden and not veils[-1] and not (shut and depth == shut[-1]):
                 flow.text(unescape(name) if "&" in name else name)
             continue
         if kind == "open":
@@ -283,9 +316,19 @@ def render(html: str) -> str:
                     shut and depth == shut[-1] + 1 and name != "summary"):
                 hidden += 1
                 continue
+            veil = _VEIL.search(attrs.get("style", ""))
+            veils.append(veil[1].lower() != "visible" if veil else veils[-1])
             if name == "details" and "open" not in attrs:
                 shut.append(depth)
-            if name == "br":
+            if name == "select":                # its options are boxes, one of which is shown
+                flows.append(flow)
+                flow = Flow()
+                selects.append(("multiple" in attrs, []))
+            elif name == "option" and selects:
+                flows.append(flow)
+                flow = Flow()
+                selects[-1][1].append(("selected" in attrs, ""))
+            elif name == "br":
                 flow.end_line(keep=True)
             elif name in ("td", "th") and grids:
                 flows.append(flow)
@@ -311,7 +354,7 @@ def render(html: str) -> str:
                     flow.pre += 1
                 elif name == "table":
                     grids.append(Grid())
-            elif name == "input" and attrs.get("type", "text").lower() in ("submit", "button", "reset"):
+            elif name == "input" and not veils[-1] and attrs.get("type", "text").lower() in ("submit", "button", "reset"):
                 flow.text(attrs.get("value", ""))
             continue
         # close
@@ -319,12 +362,21 @@ def render(html: str) -> str:
         if hidden:
             hidden -= 1
             continue
+        veils.pop()
         if shut and shut[-1] == depth + 1:
             shut.pop()
-        if name in ("td", "th") and grids and cells:
+        if name == "option" and selects:
+            selects[-1][1][-1] = selects[-1][1][-1][0], flow.done().replace("\n", " ")
+            flow = flows.pop()
+        elif name == "select" and selects:
+            flow = flows.pop()
+            several, options = selects.pop()
+            shown = [t for _, t in options] if several else [t for s, t in options if s][-1:] or [t for _, t in options][:1]
+            flow.parts.append(" ".join(shown))
+        elif name in ("td", "th") and grids and cells:
             across, down = cells.pop()
             text, flow = flow.done(), flows.pop()
-            grids[-1].cell(text.replace("\n", " "), across, down)
+            grids[-1].cell(text.split("\n"), across, down)
         elif name == "table" and grids:
             flow.block(1)
             for line in grids.pop().lines():

@@ -53,18 +53,26 @@ def test_whole_table_keeps_all_visible_words(spark):
     ("<div>a<div>b</div>c</div>", "a\nb\nc"),
     ("<h1>T</h1>x<ul><li>a<li>b<ol start=9><li>n<li>m</ol></ul>y", "T\n\nx\n\n- a\n- b\n  9. n\n  10. m\n\ny"),
     ("<table><tr><th>Name<th>N<tr><td rowspan=2>ab<td>1<tr><td>22</table>", "Name  N\nab    1\n      22"),
-    ("<table><tr><td colspan=2>wide<td>k</tr><tr><td>a<td>b<td>c</table>", "wide     k\na     b  c"),
+    ("<table><tr><td colspan=2>wide<td>k</tr><tr><td>a<td>b<td>c</table>", "wide  k\na  b  c"),
+    ("<table><tr><td colspan=2>a wide text<td>k</tr><tr><td>a<td>b<td>c</table>", "a wide text  k\na      b     c"),
     ("<td>loose</td> cell", "loose cell"),
     ("<pre>  a\n   b\n\n c</pre>", "  a\n   b\n\n c"),
     ("<head><title>t</title></head>x<script>if (a < b) '</p>'</script><style>p{}</style>y", "xy"),
-    ("a<div hidden>no<p>no</div><span style='display: none'>no</span><p style='visibility:hidden'>no</p>b", "ab"),
+    ("a<div hidden>no<p>no</div><span style='display: none'>no</span><i style='visibility:hidden'>no</i>b", "ab"),
     ("<details><summary>S</summary>body<p>more</details><details open><summary>T</summary>seen</details>", "S\nT\nseen"),
     ("<!-- no --><!doctype html><?php no ?>x<noscript>no</noscript><template>no</template>", "x"),
     ("3 < 4 <unfinished", "3 < 4 <unfinished"), ("<a title='x>y'>link</a></p></b></table>", "link"),
-    ("<select><option>a<option>b</select>c<input type=hidden value=h><input type=submit value=Go>", "cGo"),
+    ("<select><option>a<option>b</select>c<input type=hidden value=h><input type=submit value=Go>", "acGo"),
     ("<textarea> <b>raw</b></textarea>", "<b>raw</b>"), ("<dl><dt>T<dd>D<dt>U</dl>", "T\n    D\nU"),
     ("a&nbsp;b &lt;c&gt; &#233;", "a b <c> é"), ("<p>a\n  b\t<b> c</b>  d", "a b c d"),
-    ("<table><tr><td>x<table><tr><td>in</table></td><td>y</table>", "x in  y"),
+    ("<table><tr><td>x<table><tr><td>in<td>2<tr><td>o<td>3</table></td><td>y</table>", "x      y\nin  2\no   3"),
+    ("<table><tr><td><ul><li>a<li>bb</ul><td>k<br>l<td>z</table>", "- a   k  z\n- bb  l"),
+    ("x<svg><title>no</title><defs><text>no</text></defs><text>hi</text></svg> <math><mi>y</mi><mo>=</mo>"
+     "<annotation>no</annotation><mn>2</mn></math>", "xhi y=2"),
+    ("<object data=x>fallback</object><canvas>no</canvas>", "fallback"),
+    ("<select><option>a<option selected>b</select> <select multiple><option>c</option><option>d</select>", "b c d"),
+    ("a<div style='visibility:hidden'>no<b style='visibility: visible'>yes</b><p>no</div>b", "a\nyes\n\nb"),
+    ("<table><tr><td>" + "w" * 200 + "<td>b<tr><td>c<td>d</table>", "w" * 200 + "  b\nc  d"),
 ])
 def test_layout(html, text):
     assert H.render(html) == text
