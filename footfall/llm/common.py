@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,35 +42,48 @@ def tasks_for(spark: SparkSession, n_rows: int, rows_per_task: int) -> int:
     return max(least, -(-n_rows // rows_per_task))
 
 
-FILTER_BITS = 24              # size of the document filter: 2 MB whatever the input
+LEAST_BITS, MOST_BITS = 20, 26      # size of a filter: 128 kB to 8 MB
 
 
 def keyed(texts: DataFrame) -> DataFrame:
-    """``texts`` with th, a hash that tells rows of one doc_id apart."""
-    return texts.withColumn("th", F.hash("text"))
-
-
-def probable_owners(texts: DataFrame, owners: DataFrame) -> DataFrame:
-    """(doc_id, text, th) of ``texts`` for all documents in ``owners``
-    (doc_id, th) and, by chance, some others; a join on both then drops these.
-    It keeps texts out of that join's shuffle with a bitmap of fixed size;
-    when very many documents are wanted, it lets most through."""
-    spark = texts.sparkSession
-    bit = F.pmod(F.xxhash64("doc_id", "th"), F.lit(1 << FILTER_BITS))
-    words = (owners.select(bit.alias("bit")).groupBy(F.expr("cast(bit div 32 as int)").alias("word"))
+    """``texts`` with th, a 128-bit hash that tells rows of one doc_id apart."""
+    return texts.withColumn("th", F.unhex(F.md5(F.col("text").cast("binary"))))
+
+
+def membership(keys: DataFrame) -> Callable[[Column], Column]:
+    """A test whether a long may be among the distinct longs of ``keys``' first
+    column: never false for one that is, seldom true for another.
+
+    It is a bitmap of 16 bits a key, within fixed bounds; of more keys than
+    MOST_BITS allows, it lets the more others through, so it only ever saves a
+    join's shuffle, and the exact join follows."""
+    spark = keys.sparkSession
+    name = keys.columns[0]
+    bits = min(MOST_BITS, max(LEAST_BITS, (16 * keys.count()).bit_length()))
+    bit = F.pmod(F.xxhash64(name), F.lit(1 << bits))
+    words = (keys.select(bit.alias("bit")).groupBy(F.expr("cast(bit div 32 as int)").alias("word"))
              .agg(F.expr("bit_or(shiftleft(1, cast(bit % 32 as int)))").alias("bits")).toArrow())
-    bitmap = np.zeros(1 << (FILTER_BITS - 5), np.int64)
-    bitmap[words["word"].to_numpy()] = words["bits"].to_numpy()
+    bitmap = np.zeros(1 << (bits - 5), np.uint32)
+    bitmap[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint32)
     held = spark.sparkContext.broadcast(bitmap)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            b = batch.column(3).to_numpy()
-            hit = (held.value[b >> 5] >> (b & 31)) & 1 == 1
-            yield batch.filter(pa.array(hit)).select(["doc_id", "text", "th"])
+    @F.pandas_udf("boolean")
+    def maybe(bit: pd.Series) -> pd.Series:
+        b = bit.to_numpy()
+        return pd.Series((held.value[b >> 5] >> (b & 31).astype(np.uint32)) & 1 == 1)
+
+    return lambda key: maybe(F.pmod(F.xxhash64(key), F.lit(1 << bits)))
 
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.select("doc_id", "text", "th", bit.alias("bit")).mapInArrow(run, f"doc_id {kind}, text string, th int")
+
+def row_hash() -> Column:
+    """One long for a row's doc_id and th, for ``membership``."""
+    return F.xxhash64("doc_id", "th")
+
+
+def probable_owners(texts: DataFrame, owners: DataFrame) -> DataFrame:
+    """The rows of ``texts`` for all documents in ``owners`` (doc_id, th) and,
+    by chance, some others; a join on both then drops these."""
+    return texts.where(membership(owners.select(row_hash().alias("key")).distinct())(row_hash()))
 
 
 WEIGHT_MOST = 1024            # rows that one counted row stands for when rows are numbered

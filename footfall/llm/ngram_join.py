@@ -20,7 +20,8 @@ shingles is 0.8 or more; a class is a connected component of the links.
    out, while copies that are linked already are never compared again.
 5. Links are counted once the components are known: a link never leaves its
    component, so all pairs of each are compared in cells like those above, each
-   pair in one cell, and only counts leave a cell.
+   pair in one cell: products of 0/1 columns give the shingles in common of all
+   pairs of a cell, and only counts leave it.
 6. Before texts are fetched, a pair whose whole signatures agree in too few
    places is dropped (four standard deviations below the least similarity,
    one pair in 30,000 at that similarity).
@@ -43,7 +44,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.common import id_text, keyed, probable_owners, stored, table
@@ -53,8 +54,11 @@ SIMILARITY = 0.8
 TREES, DEPTH = 20, 8
 RECALL = 0.9995
 CELL = 4096                   # nodes of a prefix group that are compared in one piece
-COUNT_CELL = 1024             # nodes of a component whose links are counted in one piece
-COUNT_DEVIATIONS = 6          # like DEVIATIONS, where links are counted
+WORD = "[^\\x20\\x09-\\x0D]"     # a text without one has no shingles
+COUNT_CELL = 2048             # nodes of a component whose links are counted in one piece
+COUNT_BYTES = 8 << 20         # bytes of text of such a piece
+DENSE = 128                   # sets of a piece that must have a shingle to make it a column
+COLUMNS = 1024                # columns that are multiplied at once
 DEVIATIONS = 4                # a pair's signature may fall this far short of the least similarity
 
 _U32 = np.uint32
@@ -129,7 +133,7 @@ def sketches(texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(nodes, pa.binary()),
                                               pa.array(sigs, pa.binary())], names=["doc_id", "th", "node", "sig"])
 
-    return texts.select("doc_id", "text", "th").mapInArrow(run, f"doc_id {kind}, th int, node binary, sig binary")
+    return texts.select("doc_id", "text", "th").mapInArrow(run, f"doc_id {kind}, th binary, node binary, sig binary")
 
 
 def _prefix_keys(sig: str, depth: int) -> str:
@@ -138,10 +142,10 @@ def _prefix_keys(sig: str, depth: int) -> str:
     return f"transform(sequence(0, {TREES - 1}), t -> xxhash64({depth}, t, substring({sig}, t * {width} + 1, {2 * depth})))"
 
 
-def _agreement(least: float, deviations: float = DEVIATIONS) -> int:
+def _agreement(least: float) -> int:
     """Places of a signature that must agree for a pair to be verified."""
     n = TREES * DEPTH
-    return int(n * least - deviations * (n * least * (1 - least)) ** 0.5)
+    return int(n * least - DEVIATIONS * (n * least * (1 - least)) ** 0.5)
 
 
 def likely(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
@@ -245,6 +249,14 @@ def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["node", "shingles"])
 
 
+def _shingled_beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, shingles, ...) of (node, text, ...)."""
+    for batch in batches:
+        sets = pa.array([shingles(t.as_py()).tobytes() for t in batch.column(1)], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), sets, *batch.columns[2:]],
+                                         names=["node", "shingles", *batch.schema.names[2:]])
+
+
 def _rest(placed: DataFrame, near: DataFrame, texts: DataFrame, depth: int, least: float) -> DataFrame:
     """Links (u, v) between all candidates in different components.
 
@@ -318,47 +330,78 @@ def _rest(placed: DataFrame, near: DataFrame, texts: DataFrame, depth: int, leas
         lambda b: _by_cell(b, linked), "u binary, v binary").distinct()
 
 
-def _degrees(comp: DataFrame, near: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Shingles that each left set shares with each right one.
+
+    A shingle of one set alone adds nothing.  One that DENSE sets or more have
+    is a column of 0 and 1, and the columns are multiplied in slices; for the
+    others the pairs of sets that have one are counted."""
+    size = np.array([len(x) for x in sets])
+    row = np.repeat(np.arange(len(sets)), size)
+    _, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    out = np.zeros((len(left), len(right)), np.float32)
+
+    column = np.cumsum(times >= DENSE) - 1
+    often = times[place] >= DENSE
+    r, c = row[often], column[place[often]]
+    order = np.argsort(c, kind="stable")
+    r, c = r[order], c[order]
+    for first in range(0, int(c[-1]) + 1 if len(c) else 0, COLUMNS):
+        a, b = np.searchsorted(c, [first, first + COLUMNS])
+        slice_ = np.zeros((len(sets), COLUMNS), np.float32)
+        slice_[r[a:b], c[a:b] - first] = 1
+        out += slice_[left] @ slice_[right].T
+
+    at_left, at_right = np.full(len(sets), -1), np.full(len(sets), -1)
+    at_left[left], at_right[right] = np.arange(len(left)), np.arange(len(right))
+    some = ~often & (times[place] > 1)
+    r, c = row[some], place[some]
+    order = np.argsort(c, kind="stable")
+    r, c, flat, apart = r[order], c[order], out.reshape(-1), 1
+    keep = np.arange(len(r))
+    while len(keep):
+        keep = keep[keep + apart < len(r)]
+        keep = keep[c[keep] == c[keep + apart]]
+        for x, y in ((r[keep], r[keep + apart]), (r[keep + apart], r[keep])):
+            here = (at_left[x] >= 0) & (at_right[y] >= 0)
+            np.add.at(flat, at_left[x[here]] * len(right) + at_right[y[here]], np.float32(1))
+        apart += 1
+    return out
+
+
+def _degrees(comp: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """(node, degree): links of each node to the others of its component.
 
-    A component of up to COUNT_CELL nodes is one cell, a larger one is dealt
-    into blocks whose pairs are cells, so each pair of nodes is in one cell.
-    Signatures are compared, then shingle sets; rows are nodes in cells."""
-    n, need = TREES * DEPTH, _agreement(least, COUNT_DEVIATIONS)
+    A component of up to COUNT_CELL nodes and COUNT_BYTES of text is one cell,
+    a larger one is dealt into blocks whose pairs are cells, so each pair of
+    nodes is in one cell, where the shingles of all pairs in common are counted
+    at once.  Rows are nodes in cells; only counts leave a cell."""
     cells = ["key", "i", "j"]
-    sizes = comp.groupBy("comp").agg(F.count("*").alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / COUNT_CELL).cast("int")
-    sets = texts.select("node", "text").mapInArrow(_shingled, "node binary, shingles binary")
-    rows = (comp.join(sizes.select("comp", blocks.alias("blocks")), "comp").join(near.select("node", "sig"), "node")
-            .join(sets, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-            .withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select(F.xxhash64("comp").alias("key"), F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"),
-                    "block", "node", "comp", "sig", "shingles"))
+    own = comp.join(texts.select("node", "text"), "node")
+    sizes = own.groupBy("comp").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).where("n > 1")
+    blocks = F.greatest(F.ceil(F.col("n") / COUNT_CELL), F.ceil(F.col("bytes") / COUNT_BYTES)).cast("int")
+    sets = (own.join(sizes.select("comp", blocks.alias("blocks")), "comp")
+            .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+            .select("node", "text", F.xxhash64("comp").alias("key"), "comp", "blocks", "block").mapInArrow(
+                _shingled_beside, "node binary, shingles binary, key bigint, comp binary, blocks int, block int"))
+    rows = (sets.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("key", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"),
+                    "block", "node", "comp", "shingles"))
 
     def count(cell: pa.Table) -> Iterator[pa.RecordBatch]:
         left, right, same, comp = _sides(cell)
-        sig = np.frombuffer(b"".join(cell.column("sig").to_pylist()), "<u2").reshape(-1, n)
         sets = [np.frombuffer(x, np.uint64) for x in cell.column("shingles").to_pylist()]
-        size = np.array([len(x) for x in sets])
-        place = np.unique(np.concatenate(sets), return_inverse=True)[1]
-        start = np.cumsum(size) - size
-        mark, degree = np.zeros(int(place.max()) + 1, bool), np.zeros(len(sets), np.int64)
-        for at, x in enumerate(left):
-            other = right[at + 1:] if same else right
-            # components whose names have one hash share a cell
-            other = other[(comp[other] == comp[x]) & (np.minimum(size[other], size[x]) >= least * np.maximum(size[other], size[x]))]
-            other = other[(sig[other] == sig[x]).sum(axis=1) >= need]
-            if not len(other):
-                continue
-            own = place[start[x]:start[x] + size[x]]
-            mark[own] = True
-            ends = np.cumsum(size[other])
-            flat = np.repeat(start[other] - (ends - size[other]), size[other]) + np.arange(int(ends[-1]))
-            both = np.add.reduceat(mark[place[flat]], ends - size[other], dtype=np.int64)
-            mark[own] = False
-            hit = other[both >= least * (size[other] + size[x] - both) - 1e-9]
-            degree[hit] += 1
-            degree[x] += len(hit)
+        size, degree = np.array([len(x) for x in sets]), np.zeros(len(sets), np.int64)
+        both = _common(sets, left, right)
+        for a in range(0, len(left), 256):                        # a slice of the matrix at a time
+            x = left[a:a + 256]
+            hit = both[a:a + 256] * (1 + least) >= least * (size[x][:, None] + size[right][None, :]) - 1e-9
+            hit &= comp[x][:, None] == comp[right][None, :]       # components whose names have one hash share a cell
+            if same:
+                hit[np.arange(len(x)), a + np.arange(len(x))] = False
+            else:
+                degree[right] += hit.sum(axis=0)
+            degree[x] += hit.sum(axis=1)
         yield pa.RecordBatch.from_arrays([cell.column("node").combine_chunks(), pa.array(degree)], names=["node", "degree"])
 
     counted = rows.repartition(*cells).sortWithinPartitions(*cells).mapInArrow(
@@ -372,10 +415,11 @@ def join(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id",
     texts = keyed(id_text(docs, id_col, text_col))
     rows, classes = _classes(texts, least)
     alone = F.col("node").isNull()
-    out = rows.join(classes, "node", "left")
-    return out.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class.doc_id")).alias("class_id"),
-                      F.when(alone, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"),
-                      F.when(alone, F.lit(1)).otherwise(F.col("class_size")).cast("long").alias("class_size"))
+    found = rows.where(~alone).join(classes, "node").select(
+        "doc_id", F.col("class.doc_id").alias("class_id"), F.col("n_links").cast("long"), F.col("class_size").cast("long"))
+    return found.unionByName(rows.where(alone).select("doc_id", F.col("doc_id").alias("class_id"),
+                                                      F.lit(0).cast("long").alias("n_links"),
+                                                      F.lit(1).cast("long").alias("class_size")))
 
 
 def _classes(texts: DataFrame, least: float, count_links: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -426,7 +470,7 @@ def _classes(texts: DataFrame, least: float, count_links: bool = True) -> tuple[
     comp = stored(_relabelled(comp, more), "components")
 
     if count_links:
-        degree = _degrees(comp, near, near_texts, least)
+        degree = _degrees(comp, near_texts, least)
         n_links = F.coalesce("degree", F.lit(0)) + F.col("copies") - 1
     else:
         degree, n_links = nodes.limit(0).select("node"), F.lit(None).cast("long")
@@ -444,15 +488,13 @@ def keep_one(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id",
     packed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"),
                          F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     texts = keyed(packed)
-    rows, classes = _classes(texts.select("doc_id", "text", "th"), least, count_links=False)
-    keep = classes.select("class.doc_id", "class.th").distinct().withColumn("keep", F.lit(True))
-    wordless = rows.where("node is null").select("doc_id", "th").distinct().withColumn("keep", F.lit(False))
-    chosen = keep.unionByName(wordless).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "keep")
+    classes = _classes(texts.select("doc_id", "text", "th"), least, count_links=False)[1]
+    keep = classes.select(F.col("class.doc_id").alias("_id"), F.col("class.th").alias("_th")).distinct()
     joined = texts.select("row", "doc_id", "th").join(
-        chosen, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
-    # rows with one id and text: the first of them (they are alike to the join)
-    nth = F.row_number().over(Window.partitionBy("doc_id", "th").orderBy("doc_id"))
-    return joined.withColumn("_n", nth).where("_n = 1 or not keep").select("row.*")
+        keep, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
+    # rows with one id and text are alike: any of them, chosen before the shuffle
+    one = joined.groupBy("doc_id", "th").agg(F.first("row").alias("row"))
+    return one.select("row.*").unionByName(packed.where(~F.col("text").rlike(WORD)).select("row.*"))
 
 
 def query(spark, sf_dir):
