@@ -12,25 +12,43 @@ from pyspark.sql import types as T
 
 from footfall.operators.ranking import exact_row_number
 
-def order_bucket(df: DataFrame, col: str) -> Column:
-    """A coarse value of ``col`` that never decreases along its order: a
-    prefix for text, sign and magnitude for numbers and dates."""
-    kind = df.schema[col].dataType
-    if isinstance(kind, T.StringType):
-        return F.substring(col, 1, 3)
-    x = F.unix_date(col) if isinstance(kind, T.DateType) else F.col(col)
-    x = x.cast("double")
-    return F.signum(x) * F.floor(8 * F.log2(F.abs(x) + 1))
+SAMPLED = 1024                # levels drawn as splitters; no more of them are held on the driver
+_OUTER = 32                   # splitters are searched in two steps
+
+
+def _drawn_levels(df: DataFrame, col: str, most: int = SAMPLED) -> tuple[DataFrame, list]:
+    """The distinct levels, and ``most`` of them drawn by md5, in order: the
+    same ones on every run, all of them if there are no more."""
+    levels = df.select(col).where(F.col(col).isNotNull()).distinct()
+    key = F.md5(F.col(col).cast("string").cast("binary"))
+    drawn = [r[0] for r in levels.orderBy(key, col).limit(most).collect()]
+    return levels, sorted(drawn, key=lambda v: (v != v, v))
+
+
+def _range_of(value: Column, splitters: list, kind: T.DataType) -> Column:
+    """Number of splitters up to the value, found in two steps."""
+    def literal(values):
+        return F.array(*[F.lit(v).cast(kind) for v in values])
+
+    runs = [splitters[i:i + _OUTER] for i in range(0, len(splitters), _OUTER)]
+    outer = F.greatest(F.size(F.filter(literal([r[0] for r in runs]), lambda s: s <= value)) - 1, F.lit(0))
+    inner = F.element_at(F.array(*[literal(r) for r in runs]), outer + 1)
+    return outer * _OUTER + F.size(F.filter(inner, lambda s: s <= value))
 
 
 def level_codes(df: DataFrame, col: str, code_col: str = "code") -> DataFrame:
     """Dictionary ``(col, code)``: code = alphabetical rank from 0 (T-01).
 
-    Distinct levels are ranked inside buckets that respect their order, plus
-    the number of levels in earlier buckets; lazy, and no task holds more
-    than one bucket."""
-    levels = df.select(col).where(F.col(col).isNotNull()).distinct()
-    ranked = exact_row_number(levels, [], [F.col(col)], order_bucket(df, col), "__rn")
+    A sample of levels, drawn by md5, splits their order into ranges of about
+    equal size, whatever prefixes the levels share; a level's code is its rank
+    in its range plus the levels of the ranges before.  A column with no more
+    levels than the sample has its codes at once."""
+    levels, drawn = _drawn_levels(df, col)
+    kind = df.schema[col].dataType
+    if len(drawn) < SAMPLED:
+        fields = T.StructType([T.StructField(col, kind), T.StructField(code_col, T.IntegerType())])
+        return df.sparkSession.createDataFrame([(v, i) for i, v in enumerate(drawn)], fields)
+    ranked = exact_row_number(levels, [], [F.col(col)], _range_of(F.col(col), drawn, kind), "__rn")
     return ranked.select(col, F.col("__rn").cast("int").alias(code_col))
 
 
@@ -77,10 +95,19 @@ class OrdinalEncoder:
         return out
 
 
+def one_hot_levels(df: DataFrame, col: str, most: int = SAMPLED - 1) -> list:
+    """The levels of a column in order, for ``one_hot``; more than ``most``
+    are an error, since each becomes a column."""
+    levels = _drawn_levels(df, col, most + 1)[1]
+    if len(levels) > most:
+        raise ValueError(f"{col} has more than {most} levels")
+    return levels
+
+
 def one_hot(df: DataFrame, col: str, levels: list[str], prefix: str | None = None) -> DataFrame:
     """0/1 indicator column per level, all levels kept (T-03).
 
-    ``levels`` is the fitted dictionary (a short list from ``level_codes``).
+    ``levels`` is the fitted dictionary (a short list from ``one_hot_levels``).
     """
     prefix = "" if prefix is None else prefix
     return df.select("*", *[(F.col(col) == F.lit(lv)).cast("int").alias(f"{prefix}{lv}") for lv in levels])

@@ -239,8 +239,7 @@ _PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
     f"cast(o_orderpriority = '{p}' as bigint) as \"{p}\"" for p in _PRIORITIES) + " from orders")
 def q_t03_one_hot(spark, sf):
     o = FX.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
-    # the fitted dictionary: one entry per level (bounded by the column's cardinality)
-    levels = [r[0] for r in EN.level_codes(o, "o_orderpriority").orderBy("code").collect()]
+    levels = EN.one_hot_levels(o, "o_orderpriority")       # one column a level: their number is checked
     return normalize(EN.one_hot(o, "o_orderpriority", levels).drop("o_orderpriority"))
 
 
