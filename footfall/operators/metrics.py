@@ -112,6 +112,22 @@ def f1_scores(df: DataFrame, y: str, pred: str, positive=1) -> DataFrame:
         _div(F.sum(f1 * F.col("support")), F.sum("support")).alias("f1_weighted"))
 
 
+def f1_macro_by_set(df: DataFrame, set_col: str, y: str, pred: str) -> DataFrame:
+    """(set, f1_macro): macro F1 of many predictions of the same rows at once;
+    a class counts in a set where it is a label or a prediction."""
+    counts = df.groupBy(set_col, F.col(y).cast("int").alias("y"), F.col(pred).cast("int").alias("p")).agg(
+        F.count(F.lit(1)).alias("n"))
+    none = F.lit(0).cast("bigint")
+    sides = F.array(
+        F.struct(F.col("y").alias("cls"), F.col("n").alias("support"), none.alias("predicted"),
+                 F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(none).alias("tp")),
+        F.struct(F.col("p").alias("cls"), none.alias("support"), F.col("n").alias("predicted"), none.alias("tp")))
+    per = (counts.select(set_col, F.explode(sides).alias("s")).select(set_col, "s.*").groupBy(set_col, "cls")
+           .agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "tp")]))
+    prec, rec = _div0(F.col("tp"), F.col("predicted")), _div0(F.col("tp"), F.col("support"))
+    return per.groupBy(set_col).agg(F.avg(_div0(2 * prec * rec, prec + rec)).alias("f1_macro"))
+
+
 def roc_points(df: DataFrame, y: str, score: str, positive=1, n_buckets: int = 256) -> DataFrame:
     """(threshold, fpr, tpr, tps, fps) at every distinct score (E-06).
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DAY_NAMES = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
@@ -138,6 +139,8 @@ def group_size_histogram(df: DataFrame, key: str, bins: int = 100) -> DataFrame:
     rng = sizes.agg(F.min("size").alias("lo"), F.max("size").alias("hi"))
     # the range is one row of two numbers (a fitted parameter)
     lo_hi = rng.first()
+    if lo_hi["lo"] is None:                      # no keys, no bins
+        return df.sparkSession.createDataFrame([], "bin int, left_edge double, right_edge double, n_keys bigint")
     lo, hi = int(lo_hi["lo"]), int(lo_hi["hi"])
     span = (hi - lo) if hi > lo else 1
     b = F.least(F.floor((F.col("size") - F.lit(lo)) * F.lit(bins) / F.lit(span)), F.lit(bins - 1)).cast("int")
@@ -151,6 +154,27 @@ def group_size_histogram(df: DataFrame, key: str, bins: int = 100) -> DataFrame:
                  .select("bin", "left_edge", "right_edge", F.coalesce("n_keys", F.lit(0)).alias("n_keys")))
 
 
+MOST_DATES = 100_000          # columns of the grid: some 270 years of days
+
+
+def densify(df: DataFrame, key: str, date: str, value: str, fill: float = 0.0) -> DataFrame:
+    """The full grid of keys and dates with ``fill`` where a key has no row on
+    a date that any key has (R-02); rows of one key and date are summed.
+
+    The dates in order are one array, bounded by the calendar.  Each key's rows
+    become a map as long as that array at most, and the key reads all dates
+    from its map: one shuffle of the aggregated rows, no join."""
+    rows = df.where(_q(key).isNotNull() & _q(date).isNotNull()).groupBy(key, date).agg(F.sum(value).alias("__v"))
+    dates = [r[0] for r in rows.select(date).distinct().limit(MOST_DATES + 1).collect()]
+    if len(dates) > MOST_DATES:
+        raise ValueError(f"more than {MOST_DATES} values of {date}")
+    kind = df.schema[date].dataType
+    maps = rows.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(date, "__v"))).alias("__m"))
+    held = F.lit(sorted(dates)) if dates else F.array().cast(T.ArrayType(kind))
+    return maps.select(key, "__m", F.explode(held).alias(date)).select(
+        key, date, F.coalesce(F.element_at("__m", F.col(date)), F.lit(fill)).alias(value))
+
+
 def union_by_name(*dfs: DataFrame) -> DataFrame:
     """UNION ALL aligned by column name; missing columns are NULL (U-01)."""
     out = dfs[0]

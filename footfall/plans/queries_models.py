@@ -17,7 +17,7 @@ from footfall.operators import metrics as M
 from footfall.operators.folds import holdout, stratified_kfold
 from footfall.operators.models import estimators as ES
 from footfall.operators.models import search as S
-from footfall.operators.models.linear import fit_ols, recursive_feature_elimination
+from footfall.operators.models.linear import fit_ols
 from footfall.operators.models.knn import knn_classify, knn_neighbours, knn_regress
 from footfall.operators.models.naive_bayes import fit_gaussian_nb
 from footfall.operators.models.stacking import fit_calibrated_svc, fit_stacking, fit_stacking_classifier
@@ -111,12 +111,6 @@ def q_m08_gaussian_nb(spark, sf):
 
 
 # ------------------------------------------------------------ rows-only ----
-@register("q_t07_rfe", None)
-def q_t07_rfe(spark, sf):
-    ranks = recursive_feature_elimination(reg_frame(spark, sf), REG_FEATURES, "label", keep=1)
-    return spark.createDataFrame(ranks, "feature string, rank int")
-
-
 def _lr_grid(lr, n):
     # C in {100, 10, 1, 0.1, 0.01} -> regParam = 1 / (C n) over n rows; l2 and l1
     return (ParamGridBuilder().addGrid(lr.regParam, [1 / (c * n) for c in (100, 10, 1, 0.1, 0.01)])

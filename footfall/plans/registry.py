@@ -10,6 +10,8 @@ def _load():
     from footfall.plans import queries_models  # noqa: F401
     from footfall.plans import queries_misc  # noqa: F401
     from footfall.plans import queries_closed  # noqa: F401
+    from footfall.plans import queries_paths  # noqa: F401
+    from footfall.plans import queries_linear  # noqa: F401
     return queries
 
 

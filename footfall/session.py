@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -78,6 +79,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new path under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and cut its lineage.
 
