@@ -3,8 +3,9 @@
 Documents are range-partitioned by doc_id, encoded, and their ids, each
 document's end id included, written as blocks of whole documents.  In a block
 frequent pairs of neighbouring ids are replaced by new symbols, round after
-round until no pair is frequent: a round counts all pairs, gives every frequent
-one a rule, and replaces its occurrences from left to right.  A block keeps the rules, the length that
+round until no pair is frequent: a round counts pairs (after the first one only those
+beside a symbol of the round before, since no other can be frequent), gives
+every frequent one a rule, and replaces its occurrences from left to right.  A block keeps the rules, the length that
 each symbol expands to, and the remaining sequence, so a document is decoded
 from the symbols that cover it, found by the running sum of lengths.
 
@@ -35,7 +36,7 @@ from footfall.llm.common import id_text, scratch_path, table, tasks_for
 BLOCK_TOKENS = 1 << 18
 MIN_COUNT = 24               # a pair rarer than this in a block gets no rule
 DOCS_PER_TASK = 4_000
-_BITS = 18                   # width of the table that counts pairs
+_BITS = 17                   # width of the table that counts pairs
 
 _RAW = [("block", "bigint"), ("doc_ids", "array<{}>"), ("lengths", "array<bigint>"), ("terminals", "bigint"),
         ("rules", "binary"), ("rounds", "binary"), ("expansion", "binary"), ("symbols", "binary")]
@@ -47,27 +48,35 @@ def _slot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return ((a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA6B))) * np.uint32(0xC2B2AE35) >> np.uint32(32 - _BITS)
 
 
-def _frequent(seq: np.ndarray, min_count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(frequent pairs, places of their occurrences, pair of each place).
+def _frequent(seq: np.ndarray, min_count: int, newest: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(frequent pairs, places of their occurrences, pair of each place) of
+    the pairs with a symbol from ``newest`` on.
 
     In a slot that holds enough occurrences one pair is counted directly; the
-    others there are sorted."""
-    slot = _slot(seq[:-1], seq[1:])
-    at = np.flatnonzero((np.bincount(slot, minlength=1 << _BITS) >= min_count)[slot])
-    slot = slot[at]
+    others there are sorted, if they are still enough."""
+    if newest:
+        fresh = seq >= newest
+        at = np.flatnonzero(fresh[:-1] | fresh[1:])
+        slot = _slot(seq[at], seq[at + 1])
+    else:
+        at, slot = np.arange(len(seq) - 1), _slot(seq[:-1], seq[1:])
+    often = (np.bincount(slot, minlength=1 << _BITS) >= min_count)[slot]
+    at, slot = at[often], slot[often]
     key = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
     one = np.zeros(1 << _BITS, np.uint64)
     one[slot] = key
     direct = one[slot] == key
     n = np.bincount(slot[direct], minlength=1 << _BITS)
     slots = np.flatnonzero(n >= min_count)
-    others, which, count = np.unique(key[~direct], return_inverse=True, return_counts=True)
+    rest = np.flatnonzero(~direct)
+    rest = rest[(np.bincount(slot[rest], minlength=1 << _BITS) >= min_count)[slot[rest]]]
+    others, which, count = np.unique(key[rest], return_inverse=True, return_counts=True)
     rule = np.full(1 << _BITS, -1, np.int64)
     rule[slots] = np.arange(len(slots))
     later = np.full(len(others), -1, np.int64)
     later[count >= min_count] = len(slots) + np.arange(int((count >= min_count).sum()))
     r = np.where(direct, rule[slot], -1)
-    r[~direct] = later[which]
+    r[rest] = later[which]
     pairs = np.concatenate([one[slots], others[count >= min_count]])
     return pairs, at[r >= 0], r[r >= 0]
 
@@ -77,9 +86,11 @@ def compress(ids: np.ndarray, terminals: int, rounds: int | None = None, min_cou
     rule, remaining symbols); symbol ``terminals + k`` is rule k.  Without
     ``rounds`` they go on until no pair is frequent."""
     seq = ids.astype(np.uint32)
-    rules, starts, lengths = np.empty((0, 2), np.uint32), [0], np.empty(0, np.int64)
+    rules, starts, lengths, newest = np.empty((0, 2), np.uint32), [0], np.empty(0, np.int64), 0
     while len(seq) > min_count and (rounds is None or len(starts) <= rounds):
-        pairs, at, r = _frequent(seq, min_count)
+        # a round leaves no occurrence of a frequent pair, and the rare ones only
+        # lose some: what is frequent next has a symbol of the round before
+        pairs, at, r = _frequent(seq, min_count, newest)
         if not len(pairs):
             break
         # of neighbouring occurrences that overlap, every other one from the left
@@ -97,7 +108,7 @@ def compress(ids: np.ndarray, terminals: int, rounds: int | None = None, min_cou
         seq[at] = (terminals + len(rules) + r).astype(np.uint32)
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        seq = seq[keep]
+        seq, newest = seq[keep], terminals + len(rules)
         rules, lengths = np.concatenate([rules, new]), np.concatenate([lengths, added])
         starts.append(len(rules))
     return rules, np.array(starts, np.int32), lengths, seq
