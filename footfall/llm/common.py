@@ -47,7 +47,8 @@ LEAST_BITS, MOST_BITS = 20, 26      # size of a filter: 128 kB to 8 MB
 
 def keyed(texts: DataFrame) -> DataFrame:
     """``texts`` with th, a 128-bit hash that tells rows of one doc_id apart."""
-    return texts.withColumn("th", F.unhex(F.md5(F.col("text").cast("binary"))))
+    two = (F.xxhash64("text"), F.xxhash64(F.lit(1), "text"))
+    return texts.withColumn("th", F.unhex(F.concat(*[F.lpad(F.hex(h), 16, "0") for h in two])))
 
 
 def membership(keys: DataFrame) -> Callable[[Column], Column]:

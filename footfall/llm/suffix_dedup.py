@@ -1,17 +1,22 @@
 """Repeated passages by suffix sorting with linear grouping.
 
-Every string of ``LENGTH`` bytes that starts in two places is found, and each
-byte that such a string covers is removed.  Suffixes are sorted where equal
-strings are bound to meet:
-
-1. Runs.  A string's key is the least hash of its 32-byte substrings, so equal
+Every string of a search's length that starts in two places is found, and each
+byte that such a string covers is removed.  A search reads texts as symbols:
+bytes (strings of ``LENGTH``), or the 64-bit hashes of their words in a row, so
+that passages of ``PASSAGE`` words repeat whatever stands between the words.
+All searches share one pass: their keys are kept apart, the steps are the same.
+Suffixes are sorted where equal strings are bound to meet:
+
+1. Runs.  A string's key is the least hash of its short substrings, so equal
    strings have equal keys; starts with one key at one place are a run, whose
    region is the text under them.  The key's place differs among the strings
    of a run, so no two of them are equal.  Per run only hashes travel.
-2. Classes.  Runs with one key and equal regions are a class, counted with
-   partial aggregation.  All starts of a class with two runs repeat, whatever
-   its size.
-3. Shards.  Only keys with different regions are left.  One region a class
+2. Keys.  Nearly all keys occur once.  Keys alone are counted, with partial
+   aggregation, and only the runs of keys that occur twice go on (a bitmap
+   holds most others back before the join that decides).
+3. Classes.  Runs with one key and equal regions are a class.  All starts of a
+   class with two runs repeat, whatever its size.
+4. Shards.  Only keys with different regions are left.  One region a class
    goes to the key's shard.  There the regions are cut at content-defined
    anchors into chunks, and the suffixes of the chunk sequence are sorted by
    linear grouping: groups of suffixes by their Lyndon prefix, in descending
@@ -19,22 +24,21 @@ strings are bound to meet:
    order inside each group is emitted along those pointers.  No renaming
    recursion.  Neighbours in the order that share enough bytes are candidates;
    their starts repeat where two of them carry the same string.
-4. A key with very many regions is not sorted in one task: the hashes of its
-   strings go to as many shards as they need, and are compared there.
-5. The spans of a document are merged and cut.
-
-Repeated runs of ``words`` words, whatever their bytes, are found the same way:
-a text is then the 64-bit hashes of its words in a row, a string is ``words``
-hashes, and the spans of words are turned into spans of bytes.
+5. A key whose regions are more than a shard's bytes is not sorted in one
+   task: the hashes of its strings go to the shards of the hashes, and are
+   compared there.
+6. The spans of a document are merged and cut.  Texts without spans are not
+   shuffled for it.
 
 Equality is that of 128-bit hashes (key and region hash, or two string
-hashes).  Text is shuffled twice, once only for documents that own a region
-to be sorted (a filter of fixed size keeps most others back).
+hashes).  Before texts are shuffled, a bitmap keeps back most of those that
+own no region to be sorted, or no span.
 
 Defined results: a null text is an empty text; rows that repeat are copies of
-each other and lose their repeats; texts shorter than LENGTH keep everything;
-a null doc_id is an id like any other; extra columns are ignored or kept as
-they are; very long texts take memory in proportion to one text.
+each other and lose their repeats; texts shorter than the length keep
+everything; a null doc_id is an id like any other; extra columns are ignored
+or kept as they are; an empty table gives no rows; very long texts take memory
+in proportion to one text.
 """
 
 from __future__ import annotations
@@ -42,6 +46,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -49,25 +54,55 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import id_text, keyed, probable_owners, stored, table
+from footfall.llm.common import id_text, keyed, membership, probable_owners, row_hash, stored, table
 
-LENGTH = 400
-GRAM = 32                     # bytes under a key's hash, a power of two
-ANCHOR_GRAM, ANCHOR_EVERY = 8, 32
-SHARED = LENGTH // 2          # bytes that sorted neighbours must share to be candidates
+LENGTH = 400                  # bytes
+PASSAGE = 51                  # words: passages of over 50 that repeat
 SHARD_BYTES = 2_000_000
-HOT_REGIONS = 20_000          # regions of one key beyond which its strings are spread
-
-WORD_BYTES = 8                # bytes that stand for a word
+ROWS_SENT = 4_096
 _WORD = re.compile(rb"\S+")
 
 _U64 = np.uint64
 
 
-def word_bytes(text: str) -> bytes:
-    """The hashes of a text's words, WORD_BYTES each."""
+def byte_symbols(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode(), np.uint8)
+
+
+def word_symbols(text: str) -> np.ndarray:
+    """The hashes of a text's words."""
     words = text.encode().split()
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), _U64, len(words)).tobytes()
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), _U64, len(words))
+
+
+@dataclass(frozen=True)
+class Search:
+    """Strings of ``length`` symbols of what ``encode`` makes of a text; a key
+    is a hash of ``gram`` symbols, an anchor of ``anchor`` symbols stands at
+    every ``every``-th place or so."""
+    length: int
+    encode: Callable[[str], np.ndarray] = byte_symbols
+    dtype: type = np.uint8
+    gram: int = 32
+    anchor: int = 8
+    every: int = 32
+
+    @property
+    def shared(self) -> int:
+        """Symbols that sorted neighbours must share to be candidates."""
+        return self.length // 2
+
+    @property
+    def width(self) -> int:
+        return np.dtype(self.dtype).itemsize
+
+
+def byte_search(length: int = LENGTH) -> Search:
+    return Search(length)
+
+
+def word_search(words: int = PASSAGE) -> Search:
+    return Search(words, word_symbols, np.uint64, min(4, words), 1, 8)
 
 
 def _finish(h: np.ndarray) -> np.ndarray:
@@ -77,7 +112,7 @@ def _finish(h: np.ndarray) -> np.ndarray:
 
 
 def gram_hashes(data: np.ndarray, width: int, factor: int = 0xD6E8FEB86659FD93) -> np.ndarray:
-    """Hash of every substring of ``width`` bytes; the hash of a substring
+    """Hash of every substring of ``width`` symbols; the hash of a substring
     comes from those of its parts, whose widths are powers of two."""
     if len(data) < width:
         return np.empty(0, _U64)
@@ -89,7 +124,7 @@ def gram_hashes(data: np.ndarray, width: int, factor: int = 0xD6E8FEB86659FD93)
             if width & w:
                 if out is None:
                     out = h
-                else:                               # out covers `done` bytes, h the next w
+                else:                               # out covers `done` symbols, h the next w
                     n = len(data) - done - w + 1
                     out = out[:n] * f + h[done:done + n]
                 done += w
@@ -110,19 +145,47 @@ def _least(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(ahead[:n - width + 1], behind[width - 1:n])
 
 
-def runs_of(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def runs_of(data: np.ndarray, search: Search) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(key, first start, start after the last) of each run."""
-    if len(text) < length:
+    if len(data) < search.length:
         none = np.empty(0, np.int64)
         return none.astype(_U64), none, none
-    grams = gram_hashes(np.frombuffer(text, np.uint8), GRAM)
-    key = _least(grams, length - GRAM + 1)
+    grams = gram_hashes(data, search.gram)
+    key = _least(grams, search.length - search.gram + 1)
     # a run ends where its key changes, or where its first substring with the key's hash is left behind
     new = np.concatenate([[True], (key[1:] != key[:-1]) | (grams[:len(key) - 1] == key[:-1])])
     first = np.flatnonzero(new)
     return key[first], first, np.append(first[1:], len(key))
 
 
+_BASE = 0x9E3779B97F4A7C15 | 1
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 ... base ** (n - 1), by doubling."""
+    out, done = np.ones(max(1, n), _U64), 1
+    with np.errstate(over="ignore"):
+        while done < n:
+            step = _U64(pow(base, done, 1 << 64))
+            out[done:2 * done] = out[:min(done, n - done)] * step
+            done *= 2
+    return out
+
+
+def region_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of data[begin:end] for each region: a polynomial in the scattered
+    symbols, from prefix sums."""
+    if not len(begin):
+        return np.empty(0, _U64)
+    with np.errstate(over="ignore"):
+        terms = np.zeros(len(data) + 1, _U64)
+        terms[1:] = _finish((data.astype(_U64) + _U64(1)) * _U64(0x9E3779B97F4A7C15)) * _powers(_BASE, len(data))
+        total = np.cumsum(terms, dtype=_U64)
+        return _finish((total[end] - total[begin]) * _powers(_INVERSE, int(begin.max()) + 1)[begin]
+                       + (end - begin).astype(_U64))
+
+
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
     """Order of the suffixes of whole numbers; the last must be the least and
     occur once.
@@ -213,28 +276,29 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def _candidates(data: np.ndarray, begin: np.ndarray, end: np.ndarray, length: int) -> np.ndarray:
-    """Mask over the bytes of all regions: starts that may repeat, by sorting
+def _candidates(data: np.ndarray, begin: np.ndarray, end: np.ndarray, search: Search) -> np.ndarray:
+    """Mask over the symbols of all regions: starts that may repeat, by sorting
     the suffixes of the regions' chunk sequences."""
+    length, gram = search.length, search.anchor
     mask = np.zeros(len(data), bool)
     starts = np.zeros(len(data) + 1, np.int64)           # places where a string starts, by difference
     np.add.at(starts, begin, 1)
     np.add.at(starts, end - length + 1, -1)
     is_start = np.cumsum(starts[:-1]) > 0
-    h = gram_hashes(data, ANCHOR_GRAM)
+    h = gram_hashes(data, gram)
     region = np.repeat(np.arange(len(begin)), end - begin)
-    anchor = np.flatnonzero((h & _U64(ANCHOR_EVERY - 1)) == 0)
-    anchor = anchor[anchor + ANCHOR_GRAM <= end[region[anchor]]]
+    anchor = np.flatnonzero((h & _U64(search.every - 1)) == 0)
+    anchor = anchor[anchor + gram <= end[region[anchor]]]
     if not len(anchor):
         return is_start
     owner = region[anchor]
     last_of_region = np.append(owner[1:] != owner[:-1], True)
     follow = np.append(anchor[1:], len(data))
     span = np.where(last_of_region, 0, follow - anchor)
-    # a chunk runs from its anchor through the next one's bytes; its name is its place among all chunks
+    # a chunk runs from its anchor through the next one's symbols; its name is its place among all chunks
     whole = np.flatnonzero(~last_of_region)
-    view = memoryview(data.tobytes())
-    names = np.fromiter((xxhash.xxh3_64_intdigest(view[a:b + ANCHOR_GRAM])
+    view, w = memoryview(data.tobytes()), search.width
+    names = np.fromiter((xxhash.xxh3_64_intdigest(view[a * w:(b + gram) * w])
                          for a, b in zip(anchor[whole].tolist(), follow[whole].tolist(), strict=True)), _U64, len(whole))
     distinct, name = np.unique(names, return_inverse=True)
     symbols = np.empty(len(anchor) + 1, np.int64)
@@ -248,43 +312,44 @@ def _candidates(data: np.ndarray, begin: np.ndarray, end: np.ndarray, length: in
     live = np.arange(len(left))
     while len(live):
         a, b = left[live], right[live]
-        same = (symbols[a] == symbols[b]) & (shared[live] < SHARED)
+        same = (symbols[a] == symbols[b]) & (shared[live] < search.shared)
         live = live[same]
         shared[live] += span[left[live]]
         left[live] += 1
         right[live] += 1
-    close = shared + ANCHOR_GRAM >= min(SHARED, length // 2)
+    close = shared + gram >= search.shared
     chosen = np.zeros(len(anchor), bool)
     chosen[order[:-1][close]] = True
     chosen[order[1:][close]] = True
-    # a start looks at its first anchor; without enough anchored bytes it is a candidate anyway
+    # a start looks at its first anchor; without enough anchored symbols it is a candidate anyway
     place = np.flatnonzero(is_start)
     first = np.searchsorted(anchor, place)
-    last = np.searchsorted(anchor, place + length - ANCHOR_GRAM, "right") - 1
+    last = np.searchsorted(anchor, place + length - gram, "right") - 1
     few = (first > last) | (anchor[np.minimum(last, len(anchor) - 1)] - anchor[np.minimum(first, len(anchor) - 1)]
-                            + ANCHOR_GRAM < min(SHARED, length // 2))
+                            + gram < search.shared)
     mask[place[few | chosen[np.minimum(first, len(anchor) - 1)]]] = True
     return mask
 
 
-def repeated_starts(regions: list[bytes], copies: list[int], length: int = LENGTH) -> list[np.ndarray]:
-    """For each region the starts of strings that occur twice among all
-    regions; all starts of a region that has copies."""
-    begin = np.cumsum([0] + [len(r) for r in regions])[:-1]
-    end = begin + np.array([len(r) for r in regions])
-    data = np.frombuffer(b"".join(regions), np.uint8)
+def repeated_starts(regions: list[bytes], copies: list[int], search: Search) -> list[np.ndarray]:
+    """For each region (its symbols' bytes) the starts of strings that occur
+    twice among all regions; all starts of a region that has copies."""
+    size = np.array([len(r) // search.width for r in regions], np.int64)
+    begin = np.cumsum(size) - size
+    end = begin + size
+    data = np.frombuffer(b"".join(regions), search.dtype)
     if not len(data):
         return [np.empty(0, np.int64) for _ in regions]
-    at = np.flatnonzero(_candidates(data, begin, end, length))
+    at = np.flatnonzero(_candidates(data, begin, end, search))
     owner = np.searchsorted(begin, at, "right") - 1
-    order, first = _string_groups(*(gram_hashes(data, length, f)[at] for f in _FACTORS))
+    order, first = _string_groups(*(gram_hashes(data, search.length, f)[at] for f in _FACTORS))
     total = np.add.reduceat(np.array(copies, np.int64)[owner[order]], first) if len(at) else np.empty(0, np.int64)
     hit = np.zeros(len(at), bool)
     hit[order] = np.repeat(total >= 2, np.diff(np.append(first, len(at))))
     at, owner = at[hit], owner[hit]
     edges = np.searchsorted(owner, np.arange(len(regions) + 1))
-    return [np.arange(len(r) - length + 1) if n > 1 else at[a:b] - s
-            for r, n, a, b, s in zip(regions, copies, edges, edges[1:], begin, strict=False)]
+    return [np.arange(n_ - search.length + 1) if n > 1 else at[a:b] - s
+            for n_, n, a, b, s in zip(size, copies, edges, edges[1:], begin, strict=False)]
 
 
 _FACTORS = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
@@ -307,51 +372,65 @@ def _spans(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return starts[first], starts[np.append(first[1:], len(starts)) - 1] + length
 
 
-def _span_table(kind: pa.DataType, ids, keys, begin, end) -> pa.Table:
-    return pa.table({"doc_id": pa.array(ids, kind), "th": pa.array(keys, pa.int32()),
+def _span_table(kind: pa.DataType, ids, keys, which, begin, end) -> pa.Table:
+    return pa.table({"doc_id": pa.array(ids, kind), "th": pa.array(keys, pa.binary()), "search": pa.array(which, pa.int32()),
                      "a": pa.array(begin, pa.int64()), "b": pa.array(end, pa.int64())})
 
 
-def repeated_spans(texts: DataFrame, length: int = LENGTH, hot_regions: int = HOT_REGIONS,
-                   encode: Callable[[str], bytes] = str.encode) -> DataFrame:
+def repeated_spans(texts: DataFrame, searches: tuple[Search, ...] = (byte_search(),),
+                   hot_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, th, spans) of ``texts`` (doc_id, text, th), for documents with
-    repeats; th tells rows of one doc_id apart.  Spans are places in what
-    ``encode`` makes of a text."""
+    repeats; th tells rows of one doc_id apart.  A span (search, a, b) is a
+    place in the symbols that the search makes of the text."""
     kind = texts.schema["doc_id"].dataType.simpleString()
     arrow_kind = texts.select("doc_id").limit(0).toArrow().schema.field("doc_id").type
+    sorts = len(searches)
+    of_search = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("search") + 1)
+    length_of = of_search([x.length for x in searches])
 
     def find_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, keys, regions, begins, ends = [], [], [], [], []
             for row, text in enumerate(batch.column(1)):
-                data = encode(text.as_py())
-                key, a, b = runs_of(data, length)
-                view = memoryview(data)
-                regions += [xxhash.xxh3_64_intdigest(view[i:j + length - 1])
-                            for i, j in zip(a.tolist(), b.tolist(), strict=True)]
-                rows.append(np.full(len(key), row)), keys.append(key), begins.append(a), ends.append(b)
+                for k, x in enumerate(searches):
+                    data = x.encode(text.as_py())
+                    key, a, b = runs_of(data, x)
+                    regions.append(region_hashes(data, a, b + x.length - 1))
+                    # a key tells its search: the remainder by their number
+                    rows.append(np.full(len(key), row)), keys.append(key - key % _U64(sorts) + _U64(k))
+                    begins.append(a), ends.append(b)
             if not rows:
                 continue
-            at = pa.array(np.concatenate(rows), pa.int64())
+            at, key = pa.array(np.concatenate(rows), pa.int64()), np.concatenate(keys)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(2).take(at), pa.array(np.concatenate(keys).view(np.int64)),
-                 pa.array(np.array(regions, _U64).view(np.int64)), pa.array(np.concatenate(begins), pa.int64()),
-                 pa.array(np.concatenate(ends), pa.int64())], names=["doc_id", "th", "m", "r", "s", "e"])
+                [batch.column(0).take(at), batch.column(2).take(at), pa.array((key % _U64(sorts)).astype(np.int32)),
+                 pa.array(key.view(np.int64)), pa.array(np.concatenate(regions).view(np.int64)),
+                 pa.array(np.concatenate(begins), pa.int64()), pa.array(np.concatenate(ends), pa.int64())],
+                names=["doc_id", "th", "search", "m", "r", "s", "e"])
 
     runs = stored(texts.select("doc_id", "text", "th").mapInArrow(
-        find_runs, f"doc_id {kind}, th int, m bigint, r bigint, s bigint, e bigint"), "dedup-runs")
-    classes = runs.groupBy("m", "r").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "th", "s", "e")).alias("own"))
-    keys = classes.groupBy("m").agg(F.count("*").alias("regions"))
-    found = stored(classes.join(keys, "m").where("n > 1 or regions > 1")
-                   .select("m", "r", "n", "regions", "own.*"), "dedup-classes")
-
-    copied = runs.join(found.where("n > 1").select("m", "r"), ["m", "r"]).select(
-        "doc_id", "th", F.col("s").alias("a"), (F.col("e") + length - 1).alias("b"))
-
-    mixed = found.where("regions > 1").withColumn("hot", F.col("regions") > hot_regions)
-    owned = mixed.groupBy("doc_id", "th").agg(F.collect_list(F.struct("m", "n", "s", "e", "hot")).alias("own"))
-    size = mixed.agg(F.coalesce(F.sum(F.col("e") - F.col("s") + length), F.lit(0))).first()[0]
-    shards = max(16, -(-size // SHARD_BYTES))
+        find_runs, f"doc_id {kind}, th binary, search int, m bigint, r bigint, s bigint, e bigint"), "dedup-runs")
+    keys = runs.groupBy("m").agg(F.count("*").alias("n"), F.min("r").alias("low"), F.max("r").alias("high"))
+    keys = stored(keys.where("n > 1").select("m", (F.col("low") != F.col("high")).alias("mixed")), "dedup-keys")
+    live = stored(runs.where(membership(keys)(F.col("m"))).join(keys, "m"), "dedup-runs")
+
+    classes = live.where("mixed").groupBy("m", "r", "search").agg(
+        F.count("*").alias("n"), F.min(F.struct("doc_id", "th", "s", "e")).alias("own"))
+    mixed = stored(classes.select("m", "r", "search", "n", "own.*"), "dedup-classes")
+    again = live.where("mixed").join(mixed.where("n > 1").select("m", "r"), ["m", "r"])
+    copied = live.where("not mixed").select(*again.columns).unionByName(again).select(
+        "doc_id", "th", "search", F.col("s").alias("a"), (F.col("e") + length_of - 1).alias("b"))
+
+    bytes_ = (F.col("e") - F.col("s") + length_of) * of_search([x.width for x in searches])
+    heavy = mixed.groupBy("m").agg(F.sum(bytes_).alias("_bytes")).where(F.col("_bytes") > hot_bytes).select(
+        "m", F.lit(True).alias("hot"))
+    owned = mixed.join(heavy, "m", "left").groupBy("doc_id", "th").agg(
+        F.collect_list(F.struct("m", "search", "n", "s", "e", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("own"))
+    owned = stored(owned, "dedup-owners")
+    size, hot_starts = mixed.join(heavy, "m", "left").agg(
+        F.coalesce(F.sum(F.when(F.col("hot").isNull(), bytes_)), F.lit(0)),
+        F.coalesce(F.sum(F.when(F.col("hot"), F.col("e") - F.col("s"))), F.lit(0))).first()
+    shards, hot_shards = max(16, -(-size // SHARD_BYTES)), max(4, -(-hot_starts * 3 * _U64(0).itemsize // SHARD_BYTES))
     owners = probable_owners(texts, owned)
     fetched = owners.alias("t").join(owned.alias("o"), F.col("t.doc_id").eqNullSafe(F.col("o.doc_id"))
                                      & (F.col("t.th") == F.col("o.th"))).select("t.doc_id", "t.th", "t.text", "o.own")
@@ -359,32 +438,41 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, hot_regions: int = HO
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Regions to their key's shard; strings of hot keys, as hashes, to
         the shards of the hashes."""
+        def sent(out: list[tuple]) -> pa.RecordBatch:
+            types = (pa.int64(), arrow_kind, pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+            columns = zip(*out, strict=True) if out else [[]] * 7
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+                                              names=["shard", "doc_id", "th", "search", "n", "s", "data"])
+
         for batch in batches:
             out: list[tuple] = []
             for doc, th, text, own in zip(*batch.columns, strict=True):
-                data = encode(text.as_py())
+                doc, th, made = doc.as_py(), th.as_py(), {}
                 for o in own.as_py():
-                    region = data[o["s"]:o["e"] + length - 1]
+                    k = o["search"]
+                    if k not in made:
+                        made[k] = searches[k].encode(text.as_py())
+                    region = made[k][o["s"]:o["e"] + searches[k].length - 1]
                     if not o["hot"]:
-                        out.append((o["m"] % shards, doc.as_py(), th.as_py(), o["m"], o["n"], o["s"], region))
-                        continue
-                    raw = np.frombuffer(region, np.uint8)
-                    h = np.column_stack([*(gram_hashes(raw, length, f) for f in _FACTORS),
-                                         np.arange(o["s"], o["e"], dtype=_U64)])
-                    to = (h[:, 0] % _U64(shards)).astype(np.int64)
-                    by = np.argsort(to, kind="stable")
-                    edges = np.searchsorted(to[by], np.arange(shards + 1))
-                    out += [(shards + k, doc.as_py(), th.as_py(), None, o["n"], o["s"], h[by[a:b]].tobytes())
-                            for k, a, b in zip(range(shards), edges, edges[1:]) if a < b]
-            types = (pa.int64(), arrow_kind, pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            columns = zip(*out, strict=True) if out else [[]] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                                             names=["shard", "doc_id", "th", "m", "n", "s", "data"])
+                        out.append((o["m"] % shards, doc, th, k, o["n"], o["s"], region.tobytes()))
+                    else:
+                        h = np.column_stack([*(gram_hashes(region, searches[k].length, f) for f in _FACTORS),
+                                             np.arange(o["s"], o["e"], dtype=_U64)])
+                        to = (h[:, 0] % _U64(hot_shards)).astype(np.int64)
+                        by = np.argsort(to, kind="stable")
+                        targets, first = np.unique(to[by], return_index=True)
+                        out += [(shards + int(t), doc, th, k, o["n"], o["s"], part.tobytes())
+                                for t, part in zip(targets, np.split(h[by], first[1:]), strict=True)]
+                    if len(out) >= ROWS_SENT:
+                        yield sent(out)
+                        out = []
+            yield sent(out)
 
     def sort_shard(group: pa.Table) -> pa.Table:
+        """Spans of one search's regions in a shard."""
         ids, ths, n, s = (group.column(c).to_pylist() for c in ("doc_id", "th", "n", "s"))
-        data = group.column("data").to_pylist()
-        out: list[tuple] = []
+        data, k = group.column("data").to_pylist(), group.column("search")[0].as_py()
+        length, out = searches[k].length, []
         if group.column("shard")[0].as_py() >= shards:
             h = [np.frombuffer(d, _U64).reshape(-1, 3) for d in data]
             owner, h = np.repeat(np.arange(len(h)), [len(x) for x in h]), np.concatenate(h)
@@ -395,36 +483,38 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, hot_regions: int = HO
             edges = np.searchsorted(owner[hit], np.arange(len(data) + 1))
             found_at = [h[hit[a:b], 2].astype(np.int64) for a, b in zip(edges, edges[1:])]
         else:
-            found_at = [x + b for x, b in zip(repeated_starts(data, n, length), s, strict=True)]
-        for k, at in enumerate(found_at):
-            if n[k] == 1:                               # copies are spans already
-                out += [(ids[k], ths[k], a, b) for a, b in zip(*(x.tolist() for x in _spans(at, length)), strict=True)]
-        return _span_table(arrow_kind, *(zip(*out, strict=True) if out else [[]] * 4))
+            found_at = [x + b for x, b in zip(repeated_starts(data, n, searches[k]), s, strict=True)]
+        for j, at in enumerate(found_at):
+            if n[j] == 1:                               # copies are spans already
+                out += [(ids[j], ths[j], k, a, b) for a, b in zip(*(x.tolist() for x in _spans(at, length)), strict=True)]
+        return _span_table(arrow_kind, *(zip(*out, strict=True) if out else [[]] * 5))
 
-    sorted_ = fetched.mapInArrow(cut, f"shard bigint, doc_id {kind}, th int, m bigint, n bigint, s bigint, data binary"
-                                 ).groupBy("shard").applyInArrow(sort_shard, f"doc_id {kind}, th int, a bigint, b bigint")
-    return copied.unionByName(sorted_).groupBy("doc_id", "th").agg(
-        F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans"))
+    sorted_ = fetched.mapInArrow(cut, f"shard bigint, doc_id {kind}, th binary, search int, n bigint, s bigint, data binary"
+                                 ).groupBy("shard", "search").applyInArrow(
+        sort_shard, f"doc_id {kind}, th binary, search int, a bigint, b bigint")
+    return stored(copied.unionByName(sorted_).groupBy("doc_id", "th").agg(
+        F.sort_array(F.collect_list(F.struct("search", "a", "b"))).alias("spans")), "dedup-spans")
 
 
-def _merge(spans: list[dict] | None) -> list[tuple[int, int]]:
+def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted spans without overlap."""
     out: list[tuple[int, int]] = []
-    for x in spans or []:
-        if out and x["a"] <= out[-1][1]:
-            out[-1] = out[-1][0], max(out[-1][1], x["b"])
+    for a, b in spans:
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], b)
         else:
-            out.append((x["a"], x["b"]))
+            out.append((a, b))
     return out
 
 
-def _word_spans(text: str, spans: list[dict] | None) -> list[dict]:
-    """Spans of bytes of ``text`` for spans of ``word_bytes(text)``."""
-    if not spans:
-        return []
-    at = [m.span() for m in _WORD.finditer(text.encode())]
-    # a span that begins or ends inside a word's hash loses that word
-    whole = ((-(-x["a"] // WORD_BYTES), x["b"] // WORD_BYTES) for x in spans)
-    return [{"a": at[a][0], "b": at[b - 1][1]} for a, b in whole if a < b]
+def _of_search(spans: list[dict] | None, search: int) -> list[tuple[int, int]]:
+    return _merge([(x["a"], x["b"]) for x in spans or [] if x["search"] == search])
+
+
+def _places(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans of bytes of ``text`` for spans of its words."""
+    at = [m.span() for m in _WORD.finditer(text.encode())] if spans else []
+    return [(at[a][0], at[b - 1][1]) for a, b in spans]
 
 
 def _kept(text: str, spans: list[tuple[int, int]]) -> bytes:
@@ -436,32 +526,44 @@ def _kept(text: str, spans: list[tuple[int, int]]) -> bytes:
 
 
 def _with_spans(texts: DataFrame, spans: DataFrame) -> DataFrame:
+    """``texts`` with their spans, null where there is none; a bitmap lets
+    most texts without spans past the join."""
+    maybe = membership(spans.select(row_hash().alias("key")).distinct())
+    marked = texts.withColumn("_maybe", maybe(row_hash()))
     s = spans.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "spans")
-    return texts.join(s, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left").drop("_id", "_th")
+    met = marked.where("_maybe").join(s, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left")
+    past = marked.where("not _maybe").withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
+    return met.select(*texts.columns, "spans").unionByName(past.select(*texts.columns, "spans"))
 
 
-def digests(docs: DataFrame, length: int = LENGTH, hot_regions: int = HOT_REGIONS, id_col: str = "doc_id",
-            text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+def digests(docs: DataFrame, length: int = LENGTH, words: int = PASSAGE, hot_bytes: int = SHARD_BYTES,
+            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256
+    of the strings of ``length`` bytes, and n_passages, n_passage_words: what
+    runs of ``words`` words that repeat would take further."""
     texts = keyed(id_text(docs, id_col, text_col))
     kind = texts.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size, gone, n, sha = [], [], [], []
+            out: list[tuple] = []
             for text, found in zip(batch.column(1), batch.column(2), strict=True):
-                spans = _merge(found.as_py())
+                found = found.as_py()
+                spans, passages = _of_search(found, 0), _of_search(found, 1)
                 kept = _kept(text.as_py(), spans)
-                gone.append(sum(b - a for a, b in spans))
-                size.append(len(kept) + gone[-1])
-                n.append(len(spans))
-                sha.append(hashlib.sha256(kept).hexdigest())
+                gone = sum(b - a for a, b in spans)
+                out.append((len(kept) + gone, gone, len(spans), hashlib.sha256(kept).hexdigest(), len(passages),
+                            sum(b - a for a, b in passages)))
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+            columns = zip(*out, strict=True) if out else [[]] * 6
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(x, pa.int64()) for x in (size, gone, n)), pa.array(sha, pa.string())],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                [batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passages", "n_passage_words"])
 
-    joined = _with_spans(texts, repeated_spans(texts, length, hot_regions)).select("doc_id", "text", "spans")
-    return joined.mapInArrow(run, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    spans = repeated_spans(texts, (byte_search(length), word_search(words)), hot_bytes)
+    return _with_spans(texts, spans).select("doc_id", "text", "spans").mapInArrow(
+        run, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, "
+             "n_passages bigint, n_passage_words bigint")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
@@ -473,23 +575,18 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     row = F.struct(F.col(text_col).isNull().alias("is_null"), *(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(others)))
     texts = keyed(docs.select(row.alias("row"), F.col(id_col).alias("doc_id"),
                                F.coalesce(F.col(text_col), F.lit("")).alias("text")))
-    spans = repeated_spans(texts.select("doc_id", "text", "th"), length).withColumn("in_words", F.lit(False))
-    if words:
-        runs = repeated_spans(texts.select("doc_id", "text", "th"), WORD_BYTES * words, encode=word_bytes)
-        spans = spans.unionByName(runs.withColumn("in_words", F.lit(True)))
-    spans = spans.groupBy("doc_id", "th").agg(*(
-        F.first(F.when(F.col("in_words") == w, F.col("spans")), ignorenulls=True).alias(n)
-        for w, n in ((False, "of_bytes"), (True, "of_words"))))
-    spans = spans.select("doc_id", "th", F.struct("of_bytes", "of_words").alias("spans"))
-
-    def cut_text(text: str, spans: dict) -> str:
-        found = (spans["of_bytes"] or []) + _word_spans(text, spans["of_words"])
-        return _kept(text, _merge(sorted(found, key=lambda x: x["a"]))).decode("utf-8", "ignore")
+    searches = (byte_search(length), word_search(words)) if words else (byte_search(length),)
+    spans = repeated_spans(texts.select("doc_id", "text", "th"), searches)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [t.as_py() if not s.is_valid else cut_text(t.as_py(), s.as_py())
-                    for t, s in zip(batch.column(1), batch.column(2), strict=True)]
+            kept = []
+            for t, found in zip(batch.column(1), batch.column(2), strict=True):
+                text, found = t.as_py(), found.as_py()
+                if found:
+                    cut = _of_search(found, 0) + _places(text, _of_search(found, 1))
+                    text = _kept(text, _merge(sorted(cut))).decode("utf-8", "ignore")
+                kept.append(text)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.string())], names=["row", "kept"])
 
     joined = _with_spans(texts, spans).select("row", "text", "spans")

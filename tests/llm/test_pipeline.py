@@ -1,7 +1,7 @@
 """The pipeline against the plain versions of its stages."""
 
 import re
-from collections import defaultdict
+from collections import Counter
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -16,20 +16,22 @@ from tests.llm import test_bpe, test_ngram_join, test_pii
 MARKS = ("<EMAIL>", "<IP>", "<CARD>", "<PHONE>")
 
 
-def _cut(texts, length):
-    """Texts without the bytes of strings of ``length`` that occur twice."""
-    seen = defaultdict(int)
+def _cut(texts, length, size):
+    """Texts without the strings of ``length`` bytes and the passages of
+    ``size`` words that stand in two places."""
     data = [t.encode() for t in texts]
-    for d in data:
-        for i in range(len(d) - length + 1):
-            seen[d[i:i + length]] += 1
+    words = [[m.span() for m in re.finditer(rb"\S+", d)] for d in data]
+    spans = [[(i, i + length, d[i:i + length]) for i in range(len(d) - length + 1)]
+             + [(at[i][0], at[i + size - 1][1], tuple(d[x:y] for x, y in at[i:i + size])) for i in range(len(at) - size + 1)]
+             for d, at in zip(data, words)]
+    seen = Counter(key for found in spans for _, _, key in found)
     out = []
-    for d in data:
-        gone = np.zeros(len(d) + length + 1, np.int64)
-        for i in range(len(d) - length + 1):
-            if seen[d[i:i + length]] > 1:
+    for d, found in zip(data, spans):
+        gone = np.zeros(len(d) + 1, np.int64)
+        for i, j, key in found:
+            if seen[key] > 1:
                 gone[i] += 1
-                gone[i + length] -= 1
+                gone[j] -= 1
         keep = np.cumsum(gone)[:len(d)] == 0
         out.append(bytes(np.frombuffer(d, np.uint8)[keep]).decode("utf-8", "ignore"))
     return out
@@ -54,7 +56,7 @@ def test_stages_equal_plain_versions(spark):
     assert sorted(r.doc_id for r in rows) == sorted({c for _, c, _ in classes})
 
     cut = run("suffix_dedup", one)
-    want = {r.doc_id: t for r, t in zip(rows, _cut([r.text for r in rows], 400)) if t.strip(" ")}
+    want = {r.doc_id: t for r, t in zip(rows, _cut([r.text for r in rows], 400, corpus_pipeline.PASSAGE)) if t.strip()}
     rows = cut.collect()
     assert cut.columns == docs.columns and {r.doc_id: r.text for r in rows} == want
     assert all(r.n_chars == len(r.text) for r in rows)
@@ -82,16 +84,26 @@ def test_run_equals_the_stages_in_order(spark):
 
 
 def test_edges(spark):
+    """Nulls in every column, empty, blank and very long texts, repeated rows,
+    many rows without an id, other columns with the stages' own names."""
     base = " ".join(f"the word{k} of" for k in range(80))
+    long_ = " ".join(f"the long{k} and" for k in range(40_000))
     rows = [(1, base + " mail a@b.co", "en", "s", 5), (None, base, "en", None, None), (2, None, None, None, None),
-            (3, "", "en", "s", 0), (4, base.replace("word", "thing"), "en", "s", 1), (4, base.replace("word", "thing"), "en", "s", 1)]
-    docs = spark.createDataFrame(rows, table(spark, SF_SMALL, "documents").schema)
+            (3, "", "en", "s", 0), (4, base.replace("word", "thing"), "en", "s", 1), (4, base.replace("word", "thing"), "en", "s", 1),
+            (5, " \n\t \n", "en", "s", 1), (6, long_, None, "s", None)]
+    rows += [(None, base.replace("word", f"n{k}x"), "en", "s", 1) for k in range(30)] + [(None, " \n", "en", "s", 1)] * 30
+    clash = ", th string, row int, spans string, node string, kept string, sequence_id int"
+    docs = spark.createDataFrame([(*r, "t", 1, "s", "n", "k", 3) for r in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long" + clash)
     for empty in (docs.limit(0), docs):
         d = empty
-        for name, stage in corpus_pipeline.STAGES:
+        for name, stage in corpus_pipeline.STAGES[:-1]:
             d = stored(stage(spark, d, SF_SMALL), "t")
-        ids = sorted({r.doc_id for r in d.collect()})
-        assert ids == ([] if empty is not docs else [1, 4])
+            assert d.columns == docs.columns, name
+        assert sorted(r.doc_id or 0 for r in d.collect()) == ([] if empty is not docs else [0] * 30 + [1, 4, 6])
+        assert all("a@b.co" not in r.text and r.n_chars == len(r.text) and r.th == "t" for r in d.collect())
+        packed = stored(corpus_pipeline.STAGES[-1][1](spark, d, SF_SMALL), "t").collect()
+        assert sorted({r.doc_id or 0 for r in packed}) == ([] if empty is not docs else [0, 1, 4, 6])
 
 
 def test_passage_of_52_words_under_400_bytes_is_cut(spark):
@@ -110,29 +122,8 @@ def test_passage_of_52_words_under_400_bytes_is_cut(spark):
 
 def test_suffix_dedup_stage_cuts_repeated_bytes_and_words(spark):
     """The stage on the whole table against dictionaries of all strings."""
-    rows = table(spark, SF_SMALL, "documents").collect()
-    seen, gone = [defaultdict(int), defaultdict(int)], {}
-    words = [[m.span() for m in re.finditer(rb"\S+", r.text.encode())] for r in rows]
-    bytes_, runs = [], []
-    for r, at in zip(rows, words):
-        d = r.text.encode()
-        bytes_.append([d[i:i + 400] for i in range(len(d) - 399)])
-        w = [d[a:b] for a, b in at]
-        runs.append([b" ".join(w[i:i + 51]) for i in range(len(w) - 50)])
-        for k, found in enumerate((bytes_[-1], runs[-1])):
-            for x in found:
-                seen[k][x] += 1
-    want = {}
-    for r, at, b, w in zip(rows, words, bytes_, runs):
-        d = r.text.encode()
-        spans = [(i, i + 400) for i, x in enumerate(b) if seen[0][x] > 1]
-        spans += [(at[i][0], at[i + 50][1]) for i, x in enumerate(w) if seen[1][x] > 1]
-        gone = np.zeros(len(d) + 1, np.int64)
-        for i, j in spans:
-            gone[i] += 1
-            gone[j] -= 1
-        text = bytes(np.frombuffer(d, np.uint8)[np.cumsum(gone)[:len(d)] == 0]).decode("utf-8", "ignore")
-        if text.strip(" "):
-            want[r.doc_id] = text
-    got = dict(corpus_pipeline.STAGES)["suffix_dedup"](spark, table(spark, SF_SMALL, "documents"), SF_SMALL)
+    docs = table(spark, SF_SMALL, "documents")
+    rows = docs.collect()
+    want = {r.doc_id: t for r, t in zip(rows, _cut([r.text for r in rows], 400, 51)) if t.strip()}
+    got = dict(corpus_pipeline.STAGES)["suffix_dedup"](spark, docs, SF_SMALL)
     assert {r.doc_id: r.text for r in got.collect()} == want

@@ -30,11 +30,27 @@ def brute(texts, length):
     return out
 
 
-def _check(spark, rows, length, **more):
+def brute_words(texts, size):
+    """(runs, words) of each text that passages of ``size`` words cover which
+    stand in two places, whatever parts the words."""
+    data = [(t or "").encode().split() for t in texts]
+    count = Counter(tuple(d[i:i + size]) for d in data for i in range(len(d) - size + 1))
+    out = []
+    for d in data:
+        mask = np.zeros(len(d), bool)
+        for i in range(len(d) - size + 1):
+            if count[tuple(d[i:i + size])] > 1:
+                mask[i:i + size] = True
+        out.append((int((np.diff(mask.astype(int), prepend=0) == 1).sum()), int(mask.sum())))
+    return out
+
+
+def _check(spark, rows, length, words=51, **more):
     df = spark.createDataFrame(rows, "doc_id long, text string, th string, spans int")
-    got = sorted((r.doc_id is not None, r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
-                 for r in S.digests(df, length, **more).collect())
-    want = brute([r[1] for r in rows], length)
+    got = sorted((r.doc_id is not None, r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.n_passages,
+                  r.n_passage_words) for r in S.digests(df, length, words, **more).collect())
+    texts = [r[1] for r in rows]
+    want = [(*a, *b) for a, b in zip(brute(texts, length), brute_words(texts, words))]
     assert got == sorted((r[0] is not None, r[0] or 0, *w) for r, w in zip(rows, want))
 
 
@@ -64,22 +80,22 @@ def test_repeated_starts_of_regions():
         for r, c in zip(regions, copies):
             for i in range(len(r) - length + 1):
                 count[r[i:i + length]] += c
-        got = S.repeated_starts(regions, copies, length)
+        got = S.repeated_starts(regions, copies, S.byte_search(length))
         for r, g in zip(regions, got):
             assert g.tolist() == [i for i in range(len(r) - length + 1) if count[r[i:i + length]] > 1]
 
 
 def test_whole_table_equals_brute_force(spark):
     docs = table(spark, SF_SMALL, "documents").collect()
-    want = brute([d.text for d in docs], S.LENGTH)
+    want = [(*a, *b) for a, b in zip(brute([d.text for d in docs], S.LENGTH), brute_words([d.text for d in docs], S.PASSAGE))]
     got = {r.doc_id: r for r in S.query(spark, SF_SMALL).collect()}
     assert len(got) == len(docs) and sum(w[1] for w in want) > 0
     for d, w in zip(docs, want):
         r = got[d.doc_id]
-        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == w, d.doc_id
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.n_passages, r.n_passage_words) == w, d.doc_id
 
 
-@pytest.mark.parametrize("hot", [S.HOT_REGIONS, 1])
+@pytest.mark.parametrize("hot", [S.SHARD_BYTES, 1])
 def test_passages_copies_and_edges(spark, hot):
     rng = random.Random(2)
     word = lambda n: "".join(rng.choice("abcdeé ") for _ in range(n))
@@ -89,7 +105,16 @@ def test_passages_copies_and_edges(spark, hot):
     rows += [(50, passage, None, None), (50, passage, None, None), (51, None, None, 1), (None, "", "", 1),
              (None, word(90), "", 1), (52, "a" * 30_000, "", 1), (53, "ab" * 400, "", 1), (54, word(99), "", 1),
              (55, passage[:100] + "É" + passage[100:], "", 1), (55, passage[:100] + "è" + passage[100:], "", 1)]
-    _check(spark, rows, 100, hot_regions=hot)
+    _check(spark, rows, 100, words=9, hot_bytes=hot)
+
+
+def test_many_rows_without_an_id_and_one_hot_passage(spark):
+    """Rows of one id are told apart; a passage in all of them is one key."""
+    words = [f"w{k}" for k in range(60)]
+    rows = [(None, " ".join([f"own{i}"] + words + [f"end{i}x{j}" for j in range(i % 7)]), "x", 1) for i in range(150)]
+    rows += [(None, "a text of its own " + "q" * 90, "x", 1)] * 3
+    for hot in (S.SHARD_BYTES, 200):
+        _check(spark, rows, 64, hot_bytes=hot)
 
 
 def test_empty_table_and_kept_columns(spark):
