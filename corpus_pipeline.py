@@ -1,7 +1,14 @@
 """Corpus pipeline: documents to packed training sequences, stage by stage.
 
 Each stage takes (spark, docs, sf_dir); ``docs`` has the columns of documents
-and is what the stage before kept.  All but the last return those columns."""
+and is what the stage before kept.  All but the last return those columns.
+
+Defined results: a null text counts as empty; null, empty and blank texts fail
+the quality rules, and a text that repeated passages leave blank goes, too.
+Nulls in other columns change nothing; a null doc_id is an id like any other.
+Rows that repeat are copies, of which one stays.  Further columns, whatever
+their names, are kept up to the last stage.  Very long texts are taken whole.
+An empty table gives no rows."""
 
 from __future__ import annotations
 
@@ -32,7 +39,7 @@ def repeated_passages(spark, docs, sf_dir):
     """Cut every passage of PASSAGE words, or of op7's length in bytes, that
     stands in two places; a document of which nothing is left goes."""
     cut = _counted(suffix_dedup.remove_repeats(docs, words=PASSAGE))
-    return cut.where(F.coalesce(F.trim("text"), F.lit("")) != "")
+    return cut.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
 
 
 def personal_data(spark, docs, sf_dir):
