@@ -11,6 +11,12 @@ from footfall.sources import fixtures as FX
 FIXTURE_WEATHER_MEASURES = ["precipitation", "high_temperature"]
 
 
+def customer_inputs(spark: SparkSession, sf_dir: str) -> ForecastInputs:
+    """Visits with a customer as the store: thousands of stores, few days each."""
+    return ForecastInputs(visits=FX.customer_visits(spark, sf_dir), stores=FX.customer_stores(spark, sf_dir),
+                          calendar=FX.calendar(spark, sf_dir))
+
+
 def fixture_inputs(spark: SparkSession, sf_dir: str) -> ForecastInputs:
     return ForecastInputs(
         visits=FX.visits(spark, sf_dir),

@@ -49,6 +49,15 @@ FIXTURE_SQL = {
 }
 
 
+# the same facts with a customer as the store: many stores
+CUSTOMER_SQL = {
+    "fx_store": """select cast(c_custkey as varchar) as store_id, c_mktsegment as genre_name,
+        c_mktsegment || ' ' || cast(c_nationkey as varchar) as area_name from customer""",
+    "fx_visits": """select cast(o_custkey as varchar) as store_id, cast(o_orderdate as date) as visit_date,
+        sum(l_quantity) as visitors from lineitem join orders on l_orderkey = o_orderkey
+        group by o_custkey, cast(o_orderdate as date)""",
+}
+
 FIXTURE_SQL.update({
     "fx_reg": """select o_orderkey, count(*) as n_lines, sum(l_quantity) as qty, max(l_discount) as max_disc,
         o_orderpriority, o_totalprice as y
@@ -279,13 +288,14 @@ def with_ctes(ctes: dict[str, str], body: str) -> str:
     return "with " + ",\n".join(f"{k} as ({v})" for k, v in ctes.items()) + "\n" + body
 
 
-def snapshot_sql(families, columns: list[str]) -> str:
-    """Snapshot SQL restricted to ``columns`` (label keys + family features)."""
+def snapshot_sql(families, columns: list[str], fixtures: dict[str, str] | None = None) -> str:
+    """Snapshot SQL restricted to ``columns`` (label keys + family features);
+    ``fixtures`` replaces input relations."""
     fam = set(families)
     need = set(fam)
     if "ratios" in fam:
         need |= {"store", "genre"}
-    ctes = dict(FIXTURE_SQL)
+    ctes = {**FIXTURE_SQL, **(fixtures or {})}
     ctes.update(SNAPSHOT_CTES)
     ctes["label"] = _label_cte()
     ctes.update(_family_ctes())

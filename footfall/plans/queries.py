@@ -11,7 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from footfall.plans import oracle as O
-from footfall.plans.inputs import fixture_inputs
+from footfall.plans.inputs import customer_inputs, fixture_inputs
 from footfall.plans.normalize import normalize
 from footfall.plans.snapshot import LABEL_COLUMNS, create_snapshots
 from footfall.operators import diffs as DF
@@ -74,6 +74,18 @@ _ALL = ("weather", "store", "store_dow", "diff", "reserve", "genre", "ratios")
 _snapshot_query("q_snapshot", _ALL, O.snapshot_columns(_ALL))
 
 
+# the store families with a customer as the store (A-01, A-02, A-04, A-05, A-08 ... A-10)
+_MANY = ("store", "store_dow")
+_MANY_COLUMNS = (KEYS + FE.stats_columns("store") + FE.decay_columns("store", K.DECAY_WEIGHTS) + FE.stats_columns("store_dow")
+                 + FE.decay_columns("store_dow", K.DOW_DECAY_WEIGHTS) + FE.FIRST_LAST_COLUMNS)
+
+
+@register("q_a01_many_stores", O.snapshot_sql(_MANY, _MANY_COLUMNS, O.CUSTOMER_SQL))
+def q_a01_many_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = create_snapshots(customer_inputs(spark, sf_dir), fixture_anchors(), families=_MANY)
+    return normalize(df.select(*[FE.q(c) for c in _MANY_COLUMNS]))
+
+
 # weather of the label day itself (observed mode; the reference mode is the
 # constant fill value, covered by q_snapshot) (J-08, S-03, P-09)
 def _weather_observed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,9 +7,10 @@ Plan shape (all anchors at once; the original loops 64 times):
     reservations ─ explode(anchors) ─ groupBy ───┤                    │
                                                  └─ left joins on (end_date, store_id) ─ ratios
 
-Every store-level family is keyed by (end_date, store_id), so the label
-table is hash-partitioned once and each family meets it without another
-exchange of the (wide) label side.  Genre and per-day reservation totals are
+History rows are shuffled once, by store, before the anchors multiply them, so
+what a store family shuffles does not grow with the anchors: its aggregates run
+where the rows are, and one row an anchor and store goes on to the label rows.
+The label table is hash-partitioned once by (end_date, store_id).  Genre and per-day reservation totals are
 small blocks with a checked or proven size and are broadcast.
 """
 
@@ -81,16 +82,20 @@ def create_snapshots(inp: ForecastInputs, anchors: list[Anchor], families=ALL_FA
         labels = WX.weather_features(labels, inp.weather, inp.weather_measures, weather_mode)
         out_cols += [F.col(m) for m in inp.weather_measures]
 
+    # one row a store and day: the rows of one store are as many as the windows
+    # have days, so all of them can meet in one task before the anchors multiply
+    # them there; each store family then aggregates without another exchange
     hist = history(base, anchors, max(lookbacks))
+    store_hist = history(base.repartition("store_id"), anchors, max(lookbacks))
     out = labels
     # ratios read the store and genre means, so those blocks join for them too;
     # their columns are output only when the family itself was asked for
     if "store" in families or "ratios" in families:
-        out = out.join(FE.store_block(hist, lookbacks, median_mode), KEY, "left")
+        out = out.join(FE.store_block(store_hist, lookbacks, median_mode), KEY, "left")
         if "store" in families:
             out_cols += FE.select_store_features(lookbacks)
     if "store_dow" in families:
-        out = out.join(FE.store_dow_pack(hist, lookbacks, median_mode), KEY, "left")
+        out = out.join(FE.store_dow_pack(store_hist, lookbacks, median_mode), KEY, "left")
         out_cols += FE.select_store_dow_features(lookbacks)
     if "diff" in families:
         out = out.join(diffs.diff_block(base, anchors), KEY, "left")

@@ -64,6 +64,20 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
               .agg(F.sum("l_quantity").alias("visitors")))
 
 
+def customer_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """store_id, genre_name, area_name with a customer as the store."""
+    c = table(spark, sf_dir, "customer")
+    return c.select(F.col("c_custkey").cast("string").alias("store_id"), F.col("c_mktsegment").alias("genre_name"),
+                    F.concat("c_mktsegment", F.lit(" "), F.col("c_nationkey").cast("string")).alias("area_name"))
+
+
+def customer_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """store_id, visit_date, visitors: daily quantity per customer."""
+    df = _order_lines(spark, sf_dir, ["l_quantity"], with_customer=False)
+    return (df.groupBy(F.col("o_custkey").cast("string").alias("store_id"), F.col("o_orderdate").cast("date").alias("visit_date"))
+              .agg(F.sum("l_quantity").alias("visitors")))
+
+
 def reserve_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First reservation channel: store_id, reserve_ts, visit_ts, reserve_visitors."""
     df = _order_lines(spark, sf_dir, ["l_quantity", "l_shipdate"], with_customer=True)
