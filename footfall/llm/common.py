@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -68,10 +68,10 @@ def membership(keys: DataFrame) -> Callable[[Column], Column]:
     bitmap[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint32)
     held = spark.sparkContext.broadcast(bitmap)
 
-    @F.pandas_udf("boolean")
-    def maybe(bit: pd.Series) -> pd.Series:
+    @F.arrow_udf("boolean")
+    def maybe(bit: pa.Array) -> pa.Array:
         b = bit.to_numpy()
-        return pd.Series((held.value[b >> 5] >> (b & 31).astype(np.uint32)) & 1 == 1)
+        return pa.array((held.value[b >> 5] >> (b & 31).astype(np.uint32)) & 1 == 1)
 
     return lambda key: maybe(F.pmod(F.xxhash64(key), F.lit(1 << bits)))
 

@@ -525,15 +525,14 @@ def _kept(text: str, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, data[at:]])
 
 
-def _with_spans(texts: DataFrame, spans: DataFrame) -> DataFrame:
-    """``texts`` with their spans, null where there is none; a bitmap lets
-    most texts without spans past the join."""
+def _with_spans(texts: DataFrame, spans: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``texts`` that may have spans, with them (null where there is none), and
+    the others, which a bitmap lets past the join."""
     maybe = membership(spans.select(row_hash().alias("key")).distinct())
     marked = texts.withColumn("_maybe", maybe(row_hash()))
     s = spans.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "spans")
     met = marked.where("_maybe").join(s, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left")
-    past = marked.where("not _maybe").withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
-    return met.select(*texts.columns, "spans").unionByName(past.select(*texts.columns, "spans"))
+    return met.select(*texts.columns, "spans"), marked.where("not _maybe").select(*texts.columns)
 
 
 def digests(docs: DataFrame, length: int = LENGTH, words: int = PASSAGE, hot_bytes: int = SHARD_BYTES,
@@ -561,9 +560,14 @@ def digests(docs: DataFrame, length: int = LENGTH, words: int = PASSAGE, hot_byt
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passages", "n_passage_words"])
 
     spans = repeated_spans(texts, (byte_search(length), word_search(words)), hot_bytes)
-    return _with_spans(texts, spans).select("doc_id", "text", "spans").mapInArrow(
+    met, past = _with_spans(texts, spans)
+    cut = met.select("doc_id", "text", "spans").mapInArrow(
         run, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, "
              "n_passages bigint, n_passage_words bigint")
+    none = F.lit(0).cast("bigint")
+    return cut.unionByName(past.select(
+        "doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"), none.alias("n_passages"), none.alias("n_passage_words")))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
@@ -589,8 +593,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                 kept.append(text)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.string())], names=["row", "kept"])
 
-    joined = _with_spans(texts, spans).select("row", "text", "spans")
-    cut = joined.mapInArrow(run, f"row {joined.schema['row'].dataType.simpleString()}, kept string")
+    met, past = _with_spans(texts, spans)
+    cut = met.select("row", "text", "spans").mapInArrow(run, f"row {met.schema['row'].dataType.simpleString()}, kept string")
+    cut = cut.unionByName(past.select("row", F.col("text").alias("kept")))
     place = {c: F.col("row")[f"c{k}"].alias(c) for k, c in enumerate(others)}
     kept = F.when(~F.col("row.is_null"), F.col("kept")).alias(text_col)
     return cut.select(*(place.get(c, kept) for c in docs.columns))
