@@ -131,8 +131,8 @@ def q_v04_grid_search(spark, sf):
 
 # grids of the registered searches: the original's, but for the iterative linear
 # families and the stack, whose every set is a fit of its own
-CLF_GRIDS = {**SEL.CLASSIFIER_GRIDS, "LogisticRegression": {"elasticNetParam": (1.0, 0.0), "C": (100, 1.0)},
-             "LinearSVC": {"C": (1, 1000)}, "RBF": {"gamma": (1e-3, 1e-4), "C": (10,)}}
+CLF_GRIDS = {**SEL.CLASSIFIER_GRIDS, "LogisticRegression": {"elasticNetParam": (0.0,), "C": (100, 1.0)},
+             "LinearSVC": {"C": (1, 1000)}, "RBF": {"gamma": (1e-3,), "C": (10,)}}
 REG_GRIDS = {**SEL.REGRESSOR_GRIDS, "Stacking": {"maxDepth": (5,), "minInstancesPerNode": (3,)}}
 
 
