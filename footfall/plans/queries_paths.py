@@ -109,17 +109,19 @@ def q_v05_knn_path(spark, sf):
                      .withColumn("p", F.col("p").cast("int")))
 
 
-# sums by value of n_lines, then the best cut of a node, of each half, again
+# sums by value of n_lines, then the best cut of a node, of each half, again; a
+# cut lies halfway between two values that occur in training, other values follow it
 _CUT = """{out} as (
-      select {keys}, arg_max(v, sl * sl / nl + (s - sl) * (s - sl) / (n - nl)) as cut
-      from (select {keys}, v, sum(n) over w as nl, sum(s) over w as sl, sum(n) over (partition by {keys}) as n,
-                   sum(s) over (partition by {keys}) as s from {rows} window w as (partition by {keys} order by v))
+      select {keys}, arg_max((v + after) / 2.0, sl * sl / nl + (s - sl) * (s - sl) / (n - nl)) as cut
+      from (select {keys}, v, lead(v) over w as after, sum(n) over w as nl, sum(s) over w as sl,
+                   sum(n) over (partition by {keys}) as n, sum(s) over (partition by {keys}) as s
+            from {rows} where n > 0 window w as (partition by {keys} order by v))
       where nl < n group by {keys})"""
 
 _TREE_PATH_SQL = with_ctes({"fx_reg": FIXTURE_SQL["fx_reg"]}, normalize_sql(f"""
     with r as (select n_lines as v, y / 1000 as y, {md5_mod_sql('o_orderkey', K.N_FOLDS)} as own from fx_reg),
     f as (select unnest(range({K.N_FOLDS})) as fold),
-    s0 as (select fold, v, count(*) as n, sum(y) as s from r, f where own <> fold group by all),
+    s0 as (select fold, v, count(*) filter (own <> fold) as n, coalesce(sum(y) filter (own <> fold), 0) as s from r, f group by all),
     {_CUT.format(out='c1', keys='fold', rows='s0')},
     s1 as (select s0.*, v > cut as a from s0 join c1 using (fold)),
     {_CUT.format(out='c2', keys='fold, a', rows='s1')},
