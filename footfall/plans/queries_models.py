@@ -341,8 +341,7 @@ def q_m07_knn_regress(spark, sf):
 def q_m10_rff_regression(spark, sf):
     """Approximate RBF-kernel regression: random Fourier features + ridge,
     held-out MSE (M-10, regression)."""
-    df = reg_frame(spark, sf)
-    split = holdout(df, "o_orderkey")
+    split = materialize(holdout(reg_frame(spark, sf), "o_orderkey"))     # read by every pass of the fits
     est = ES.pipeline(REG_FEATURES, ES.regressor("RFFRidge"), scale=True)
     model = est.fit(split.where(F.col("is_test") == 0))
     return M.mse(model.transform(split.where(F.col("is_test") == 1)), "label", "prediction")
