@@ -16,7 +16,8 @@ nested ranges of words with one prefix.  The edit matrix of a query against a
 list word needs a band of three cells a row, and the rows of a shared prefix
 are computed once for the whole range; a range whose row has no cell below
 two is skipped with everything in it.  All queries of a task go down the
-ranges together, one row of the matrices a step, as numpy arrays.
+ranges together, one row of the matrices a step, as numpy arrays; where that
+makes more than MOST_RANGES pairs, the queries go down in two halves.
 
 **Forms.**  A word's form is its commonest near word if that is FACTOR times
 as common.  Counts rise along a chain of forms, so chains are short; they are
@@ -51,6 +52,7 @@ NOISE = 31                    # a word of a document loses a character when this
 HELD_WORDS = 200_000          # words counted in a task before they are sent on
 LIST_CELLS = 1 << 14          # characters of a list's rests that are scanned together at most
 SCAN_CELLS = 1 << 18          # characters of the lists that one step scans
+MOST_RANGES = 1 << 18         # (query, range) pairs that one step of a scan holds
 ROWS_PER_TASK = 100_000
 NO_LIMIT = 1 << 30
 
@@ -177,11 +179,16 @@ class Scan:
         q, s, e = queries, starts[home], ends[home]
         row = [np.full(len(q), 2, np.int8), np.zeros(len(q), np.int8), np.ones(len(q), np.int8)]
         found_q, found_w = [], []
-        depth = 0
-        while len(q):
+        open_ = [(q, s, e, row, 0)]
+        while open_:
+            q, s, e, row, depth = open_.pop()
             begins = np.flatnonzero(self.lcp <= depth)                 # ranges of depth + 1 characters
             low, high = np.searchsorted(begins, s), np.searchsorted(begins, e)
             n = high - low
+            if len(q) > 1 and n.sum() > MOST_RANGES:
+                mid = len(q) // 2
+                open_ += [(q[h], s[h], e[h], [x[h] for x in row], depth) for h in (slice(mid, None), slice(mid))]
+                continue
             at = np.repeat(np.arange(len(q)), n)                       # range -> the ranges in it
             child = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n) + low[at]
             s = begins[child]
@@ -201,8 +208,8 @@ class Scan:
             z = np.minimum(c + (letter != self.chars[q, last]), y + 1)
             live = ~ended & (np.minimum(np.minimum(x, y), z) <= 1)
             q, s, e = q[live], s[live], e[live]
-            row = [np.minimum(v[live], 2).astype(np.int8) for v in (x, y, z)]
-            depth += 1
+            if len(q):
+                open_.append((q, s, e, [np.minimum(v[live], 2).astype(np.int8) for v in (x, y, z)], depth + 1))
         none = np.zeros(0, np.int64)
         return np.concatenate([none, *found_q]), np.concatenate([none, *found_w])
 
@@ -227,8 +234,9 @@ def _scan(rows: pa.Table) -> pa.RecordBatch:
     q, w = q[fresh], w[fresh]
     longer = size[w] > size[q]
     a, b = np.concatenate([q, w[longer]]), np.concatenate([w, q[longer]])
-    names = np.array(word.to_pylist(), object)
-    order = np.lexsort((names[b].astype(str), -n[b], a)) if len(a) else np.zeros(0, np.int64)
+    place = np.empty(len(n), np.int64)                     # in code-point order
+    place[pc.sort_indices(word).to_numpy()] = np.arange(len(n))
+    order = np.lexsort((place[b], -n[b], a))
     a, b = a[order], b[order]
     at = np.flatnonzero(np.diff(a, prepend=-1))
     counts = np.diff(np.append(at, len(a)))

@@ -101,3 +101,20 @@ def test_roots_follow_long_chains(spark):
     rows = [(f"w{k:03d}", f"w{k + 1:03d}" if k % 40 != 39 else None) for k in range(120)]
     got = {r.word: r.root for r in spelling.rooted(spark.createDataFrame(rows, "word string, form string")).collect()}
     assert got == {w: f"w{int(w[1:]) // 40 * 40 + 39:03d}" for w, _ in rows}
+
+
+def test_a_scan_holds_a_bounded_number_of_ranges(monkeypatch):
+    import itertools
+
+    import numpy as np
+
+    from footfall.llm import spelling
+    rests = sorted("".join(w) for w in itertools.product("abcde", repeat=3))
+    scan = spelling.Scan(rests, np.array([0]))
+    whole = set(zip(*(x.tolist() for x in scan.pairs(np.arange(len(rests))))))
+    most, repeat = [0], np.repeat
+    monkeypatch.setattr(spelling, "MOST_RANGES", 200)
+    monkeypatch.setattr(spelling.np, "repeat", lambda a, n, *r: most.append(int(np.sum(n))) or repeat(a, n, *r))
+    cut = list(zip(*(x.tolist() for x in scan.pairs(np.arange(len(rests))))))
+    assert max(most) <= 200 and len(cut) == len(set(cut)) and set(cut) == whole
+    assert len(whole) == 125 * 12                # one of three letters is one of four others
