@@ -26,9 +26,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
-MAX_PIECES = 300_000          # distinct pieces remembered by one worker, and as many older ones
+MAX_PIECES = 200_000          # distinct pieces remembered by one worker, and as many older ones
 IDLE_SECONDS = 5              # after so long without a task a worker forgets them
-SLICE_BYTES = 16_000_000      # text that is split together
+SLICE_BYTES = 4_000_000       # text that is split together
 MAX_TOKENS = 10_000           # distinct runs of punctuation remembered, too
 _PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _TWO_BLANKS = re.compile(r"\s\s")
@@ -119,13 +119,18 @@ class PieceEncoder:
         word = core[1:] if lead else core
         if not word.isalpha() or not word.isascii() and max(word) > "\u024f":
             return self._whole(piece if lead else before + piece)
+        tail = piece[len(core):]
+        if tail and before and not lead:         # the word alone may be known
+            out = self.pieces.get(core) or self.older.get(core)
+            if out:
+                return out + self._known(tail)
         if word.isascii():                       # visible ASCII stands for itself
             out = b"".join([_pack(t.id) for t in self.model.tokenize(
                 word if lead or not before else self.blank + word)])
             out = self._known("\n") + out if lead else out
         else:
             out = self._known("\n") + self._token(word) if lead else self._token(before + word)
-        return out + self._known(piece[len(core):]) if len(core) < len(piece) else out
+        return out + self._known(tail) if tail else out
 
     def _known(self, token: str) -> bytes:
         ids = self._tokens.get(token)
@@ -147,9 +152,17 @@ class PieceEncoder:
             self.older, self.pieces = self.pieces, {}
         known, older = self.pieces, self.older
         out = list(map(known.get, parts))
-        for k in [k for k, ids in enumerate(out) if ids is None]:
-            p = parts[k]
-            out[k] = known[p] = older.get(p) or self._piece(p)
+        merges, blank = self.model.tokenize, self.blank
+        for k, ids in enumerate(out):
+            if ids is None:
+                p = parts[k]
+                ids = older.get(p)
+                if ids is None:
+                    if p.isalpha() and p.isascii():         # a pre-token as it is
+                        ids = b"".join([_pack(t.id) for t in merges(blank + p)])
+                    else:
+                        ids = self._piece(p)
+                out[k] = known[p] = ids
         return out
 
     def _plain(self, text: str) -> bytes:

@@ -222,3 +222,27 @@ def test_the_program_is_solved_and_its_rounding_places_the_pieces(name):
         pieces = {k: n for k, (_, n) in part.items()}
         assert pieces["program"] >= 0.9 * counts.sum() and sum(pieces.values()) == counts.sum()
         assert sum(n for n, _ in part.values()) <= 1.002 * bound + 1
+
+
+def test_a_word_before_punctuation_is_not_merged_twice():
+    from footfall.llm.bpe import PieceEncoder
+    encoder = PieceEncoder()
+    merged, learn = [], encoder._whole("a house, a house. A garden; (garden) Gardens!").__len__()
+    words = "a house a garden, a house. garden; house! (garden)"
+
+    class Model:
+        def __init__(self, model):
+            self.model = model
+
+        def tokenize(self, text):
+            merged.append(text)
+            return self.model.tokenize(text)
+
+    encoder.model = Model(encoder.model)
+    assert learn and list(encoder.encode(words)) == encoder.tokenizer.encode(words, add_special_tokens=False).ids
+    assert sum(t == encoder.blank + "house" for t in merged) == 1
+
+
+def test_texts_are_split_in_small_slices():
+    from footfall.llm import bpe
+    assert bpe.SLICE_BYTES <= 4_000_000 and bpe.MAX_PIECES <= 200_000
