@@ -163,3 +163,16 @@ def test_anchors_frame_literal_table(spark):
     assert df.schema.simpleString() == "struct<end_date:date,horizon:int>"
     assert sorted((r["end_date"], r["horizon"]) for r in df.collect()) == \
         sorted((a.end_date, a.horizon) for a in fixture_anchors())
+
+
+def test_store_features_are_made_for_label_rows_only(spark, monkeypatch):
+    from footfall.operators import features as FE
+    from footfall.plans.queries import customer_inputs
+    from footfall.plans.snapshot import create_snapshots
+    from footfall.sources.fixtures import fixture_anchors
+    from tests.conftest import SF_SMALL
+    seen, block = [], FE.store_block
+    monkeypatch.setattr(FE, "store_block", lambda hist, *a: seen.append(hist) or block(hist, *a))
+    out = create_snapshots(customer_inputs(spark, SF_SMALL), fixture_anchors(), families=("store",))
+    made = {tuple(r) for r in seen[0].select("end_date", "store_id").distinct().collect()}
+    assert made and made <= {tuple(r) for r in out.select("end_date", "store_id").distinct().collect()}
