@@ -25,6 +25,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from footfall.llm.common import release_memory
+
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
 MAX_PIECES = 200_000          # distinct pieces remembered by one worker, and as many older ones
 IDLE_SECONDS = 5              # after so long without a task a worker forgets them
@@ -99,7 +101,7 @@ class PieceEncoder:
     def _forget(self) -> None:
         self.pieces, self.older = {}, {}
         gc.collect()
-        pa.default_memory_pool().release_unused()
+        release_memory()
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -152,12 +154,23 @@ class PieceEncoder:
             self.older, self.pieces = self.pieces, {}
         known, older = self.pieces, self.older
         out = list(map(known.get, parts))
-        merges, blank = self.model.tokenize, self.blank
+        merges, blank, tokens = self.model.tokenize, self.blank, self._tokens
         for k, ids in enumerate(out):
             if ids is None:
                 p = parts[k]
                 ids = older.get(p)
                 if ids is None:
+                    core = p.rstrip(_PUNCTUATION)
+                    if core != p and core.isalpha() and (core.isascii() or max(core) <= "\u024f"):
+                        # a word is remembered without what follows it
+                        ids = known.get(core) or older.get(core)
+                        if ids is None:
+                            ids = (b"".join([_pack(t.id) for t in merges(blank + core)]) if core.isascii()
+                                   else self._token(" " + core))
+                        known[core] = ids
+                        tail = p[len(core):]
+                        out[k] = ids + (tokens.get(tail) or self._known(tail))
+                        continue
                     if p.isalpha() and p.isascii():         # a pre-token as it is
                         ids = b"".join([_pack(t.id) for t in merges(blank + p)])
                     else:

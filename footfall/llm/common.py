@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable
 
@@ -13,6 +14,15 @@ from pyspark.sql import functions as F
 from footfall.session import ensure_checkpoint_dir
 
 
+def release_memory() -> None:
+    """Hand memory that is free inside a Python worker back to the machine: a
+    worker outlives its task, and what it keeps adds up over the stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)         # GNU's C library has it
+    if trim is not None:
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

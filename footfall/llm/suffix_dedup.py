@@ -54,7 +54,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import id_text, keyed, membership, probable_owners, row_hash, stored, table
+from footfall.llm.common import id_text, keyed, membership, probable_owners, release_memory, row_hash, stored, table
 
 LENGTH = 400                  # bytes
 PASSAGE = 51                  # words: passages of over 50 that repeat
@@ -407,6 +407,7 @@ def repeated_spans(texts: DataFrame, searches: tuple[Search, ...] = (byte_search
                  pa.array(key.view(np.int64)), pa.array(np.concatenate(regions).view(np.int64)),
                  pa.array(np.concatenate(begins), pa.int64()), pa.array(np.concatenate(ends), pa.int64())],
                 names=["doc_id", "th", "search", "m", "r", "s", "e"])
+        release_memory()
 
     runs = stored(texts.select("doc_id", "text", "th").mapInArrow(
         find_runs, f"doc_id {kind}, th binary, search int, m bigint, r bigint, s bigint, e bigint"), "dedup-runs")
@@ -467,6 +468,7 @@ def repeated_spans(texts: DataFrame, searches: tuple[Search, ...] = (byte_search
                         yield sent(out)
                         out = []
             yield sent(out)
+        release_memory()
 
     def sort_shard(group: pa.Table) -> pa.Table:
         """Spans of one search's regions in a shard."""
@@ -487,7 +489,10 @@ def repeated_spans(texts: DataFrame, searches: tuple[Search, ...] = (byte_search
         for j, at in enumerate(found_at):
             if n[j] == 1:                               # copies are spans already
                 out += [(ids[j], ths[j], k, a, b) for a, b in zip(*(x.tolist() for x in _spans(at, length)), strict=True)]
-        return _span_table(arrow_kind, *(zip(*out, strict=True) if out else [[]] * 5))
+        found = _span_table(arrow_kind, *(zip(*out, strict=True) if out else [[]] * 5))
+        del data, found_at
+        release_memory()
+        return found
 
     sorted_ = fetched.mapInArrow(cut, f"shard bigint, doc_id {kind}, th binary, search int, n bigint, s bigint, data binary"
                                  ).groupBy("shard", "search").applyInArrow(
@@ -558,6 +563,7 @@ def digests(docs: DataFrame, length: int = LENGTH, words: int = PASSAGE, hot_byt
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passages", "n_passage_words"])
+        release_memory()
 
     spans = repeated_spans(texts, (byte_search(length), word_search(words)), hot_bytes)
     met, past = _with_spans(texts, spans)
@@ -592,6 +598,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                     text = _kept(text, _merge(sorted(cut))).decode("utf-8", "ignore")
                 kept.append(text)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.string())], names=["row", "kept"])
+        release_memory()
 
     met, past = _with_spans(texts, spans)
     cut = met.select("row", "text", "spans").mapInArrow(run, f"row {met.schema['row'].dataType.simpleString()}, kept string")

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from footfall.llm import bpe_chunks, packing, token_store
@@ -225,7 +226,6 @@ def test_the_program_is_solved_and_its_rounding_places_the_pieces(name):
 
 
 def test_a_word_before_punctuation_is_not_merged_twice():
-    from footfall.llm.bpe import PieceEncoder
     encoder = PieceEncoder()
     merged, learn = [], encoder._whole("a house, a house. A garden; (garden) Gardens!").__len__()
     words = "a house a garden, a house. garden; house! (garden)"
@@ -246,3 +246,11 @@ def test_a_word_before_punctuation_is_not_merged_twice():
 def test_texts_are_split_in_small_slices():
     from footfall.llm import bpe
     assert bpe.SLICE_BYTES <= 4_000_000 and bpe.MAX_PIECES <= 200_000
+
+
+def test_a_word_is_remembered_without_what_follows_it():
+    encoder = PieceEncoder()
+    texts = ["So kalt, kalt. kalt! süß; süß? süß", "kalt) süß,"]
+    got = [np.frombuffer(raw, "<u4").tolist() for raw in encoder.each_bytes(pa.array(texts))]
+    assert got == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert set(encoder.pieces) - {""} == {"kalt", "süß"}

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from footfall.llm import suffix_dedup as S
-from footfall.llm.common import table
+from footfall.llm.common import release_memory, table
 from tests.conftest import SF_SMALL
 
 
@@ -126,3 +126,16 @@ def test_empty_table_and_kept_columns(spark):
     rows = {r.doc_id: r for r in out.collect()}
     assert rows[2].text is None and rows[3].text == "y" * 10 and rows[1].text == "" and rows[2].row == "b"
     assert S.remove_repeats(df.select("doc_id", "text")).columns == ["doc_id", "text"]
+
+
+def test_release_memory_hands_back_what_small_objects_leave():
+    try:
+        status = lambda: int(next(x for x in open("/proc/self/status") if x.startswith("VmRSS")).split()[1])
+        status()
+    except OSError:
+        pytest.skip("no /proc here")
+    held = [bytes(2000) for _ in range(100_000)]
+    held = held[::500]                           # a few stay and keep the heap from shrinking by itself
+    before = status()
+    release_memory()
+    assert before - status() > 100_000 and len(held) == 200
