@@ -254,3 +254,64 @@ def test_a_word_is_remembered_without_what_follows_it():
     got = [np.frombuffer(raw, "<u4").tolist() for raw in encoder.each_bytes(pa.array(texts))]
     assert got == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
     assert set(encoder.pieces) - {""} == {"kalt", "süß"}
+
+
+def _counted(encoder):
+    """What the merge model and the batches of the library get."""
+    merged, batches = [], []
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def tokenize(self, text):
+            merged.append(text)
+            return self.inner.tokenize(text)
+
+        def encode_batch_fast(self, texts, **kw):
+            batches.append(texts)
+            return self.inner.encode_batch_fast(texts, **kw)
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+    encoder.model, encoder.tokenizer = Counted(encoder.model), Counted(encoder.tokenizer)
+    return merged, batches
+
+
+def test_new_words_of_a_column_go_to_the_library_in_batches(library):
+    encode, _ = library
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghijkléüÖ") for _ in range(rng.randrange(1, 12))) for _ in range(5000)]
+    texts = [" ".join(rng.choice(words) + rng.choice(["", "", ",", ".", "!)"]) for _ in range(60)) for _ in range(300)]
+    encoder = PieceEncoder()
+    merged, batches = _counted(encoder)
+    for _ in range(2):                       # and once more from memory
+        got = [np.frombuffer(raw, "<u4").tolist() for raw in encoder.each_bytes(pa.array(texts))]
+        assert got == [encode(t) for t in texts]
+    assert len(merged) <= 2 * len(texts) + 10 and 1 <= len(batches) <= 6      # each text's first piece; marks
+
+
+def test_columns_of_odd_texts_equal_the_library(library):
+    encode, _ = library
+    rng = random.Random(3)
+    parts = ["word", "Wort,", "é!", "\n", " ", " ", " ", "don't", "x1.", "\t", "...", "\x1c", "日本,", "\xa0", "a\u0301", "ªº.", "×"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(3000)] + ["", " ", "\n", "a ", "a\n"]
+    got = [np.frombuffer(raw, "<u4").tolist() for raw in PieceEncoder().each_bytes(pa.array(texts))]
+    assert got == [encode(t) for t in texts]
+    assert list(PieceEncoder().each_bytes(pa.array(["", ""]))) == [b"", b""]
+
+
+def test_words_are_not_joined_beside_a_special_token_with_a_blank(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+    with open(vocabulary_path(), encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["added_tokens"].append({**spec["added_tokens"][0], "id": 50257, "content": "b c"})
+    path = tmp_path / "blank.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    tokenizer, texts = Tokenizer.from_file(str(path)), ["a ab x", "a cd x", "a b c d"]
+    encoder = PieceEncoder(str(path))
+    got = [np.frombuffer(raw, "<u4").tolist() for raw in encoder.each_bytes(pa.array(texts))]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
