@@ -60,6 +60,8 @@ LENGTH = 400                  # bytes
 PASSAGE = 51                  # words: passages of over 50 that repeat
 SHARD_BYTES = 2_000_000
 ROWS_SENT = 4_096
+KEPT_POWERS = 1 << 18         # powers of a base that one worker keeps, 2 MB
+GROUP_SYMBOLS = 1 << 14       # symbols of short texts that are searched for runs together
 _WORD = re.compile(rb"\S+")
 
 _U64 = np.uint64
@@ -145,32 +147,55 @@ def _least(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(ahead[:n - width + 1], behind[width - 1:n])
 
 
-def runs_of(data: np.ndarray, search: Search) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, first start, start after the last) of each run."""
+def runs_of(data: np.ndarray, search: Search, size: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, first start, start after the last) of each run; with ``size``, of
+    texts of so many symbols each that stand one after another in ``data``."""
     if len(data) < search.length:
         none = np.empty(0, np.int64)
         return none.astype(_U64), none, none
     grams = gram_hashes(data, search.gram)
     key = _least(grams, search.length - search.gram + 1)
-    # a run ends where its key changes, or where its first substring with the key's hash is left behind
-    new = np.concatenate([[True], (key[1:] != key[:-1]) | (grams[:len(key) - 1] == key[:-1])])
-    first = np.flatnonzero(new)
-    return key[first], first, np.append(first[1:], len(key))
+    size = np.array([len(data)]) if size is None else size
+    begin, starts = np.cumsum(size) - size, size - search.length + 1        # of each text
+    begin, starts = begin[starts > 0], starts[starts > 0]
+    step = np.zeros(len(key) + 1, np.int64)
+    np.add.at(step, begin, 1)
+    np.add.at(step, begin + starts, -1)
+    is_start = np.cumsum(step) > 0
+    # a run ends where its key changes, where its first substring with the key's hash is left behind, or with its text
+    new = is_start.copy()
+    new[1:-1] &= (key[1:] != key[:-1]) | (grams[:len(key) - 1] == key[:-1])
+    new[begin] = new[begin + starts] = True
+    edge = np.flatnonzero(new)
+    run = np.flatnonzero(is_start[edge])
+    first = edge[run]
+    return key[first], first, edge[run + 1]
 
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
+_kept_powers: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 ... base ** (n - 1), by doubling."""
-    out, done = np.ones(max(1, n), _U64), 1
+    """base ** 0 ... base ** (n - 1), by doubling; a worker keeps up to
+    KEPT_POWERS of them for its next texts."""
+    kept = _kept_powers.get(base)
+    if kept is not None and n <= len(kept):
+        return kept[:n]
+    size = max(1, n) if n > KEPT_POWERS else max(4_096, 1 << (n - 1).bit_length())
+    out, done = np.ones(size, _U64), 1
     with np.errstate(over="ignore"):
-        while done < n:
+        while done < size:
             step = _U64(pow(base, done, 1 << 64))
-            out[done:2 * done] = out[:min(done, n - done)] * step
+            out[done:2 * done] = out[:min(done, size - done)] * step
             done *= 2
-    return out
+    if size <= KEPT_POWERS:
+        out.flags.writeable = False
+        _kept_powers[base] = out
+    return out[:n]
 
 
 def region_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -388,24 +413,42 @@ def repeated_spans(texts: DataFrame, searches: tuple[Search, ...] = (byte_search
     of_search = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("search") + 1)
     length_of = of_search([x.length for x in searches])
 
+    def group_runs(k: int, group: list[tuple[int, np.ndarray]]) -> tuple[np.ndarray, ...]:
+        """(row, key, region hash, first start, start after the last) of the
+        runs of short texts, searched as one array."""
+        x, size = searches[k], np.array([len(d) for _, d in group])
+        data = np.concatenate([d for _, d in group])
+        key, a, b = runs_of(data, x, size)
+        end = np.cumsum(size)
+        owner = np.searchsorted(end, a, "right")
+        at = (end - size)[owner]
+        # a key tells its search: the remainder by their number
+        return (np.array([row for row, _ in group])[owner], key - key % _U64(sorts) + _U64(k),
+                region_hashes(data, a, b + x.length - 1), a - at, b - at)
+
     def find_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, keys, regions, begins, ends = [], [], [], [], []
+            found, groups, held = [], [[] for _ in searches], [0] * sorts
             for row, text in enumerate(batch.column(1)):
+                text = text.as_py()
                 for k, x in enumerate(searches):
-                    data = x.encode(text.as_py())
-                    key, a, b = runs_of(data, x)
-                    regions.append(region_hashes(data, a, b + x.length - 1))
-                    # a key tells its search: the remainder by their number
-                    rows.append(np.full(len(key), row)), keys.append(key - key % _U64(sorts) + _U64(k))
-                    begins.append(a), ends.append(b)
-            if not rows:
+                    data = x.encode(text)
+                    if len(data) < x.length:
+                        continue
+                    if groups[k] and held[k] + len(data) > GROUP_SYMBOLS:
+                        found.append(group_runs(k, groups[k]))
+                        groups[k], held[k] = [], 0
+                    groups[k].append((row, data))
+                    held[k] += len(data)
+            found += [group_runs(k, group) for k, group in enumerate(groups) if group]
+            if not found:
                 continue
-            at, key = pa.array(np.concatenate(rows), pa.int64()), np.concatenate(keys)
+            at, key, region, begin, end = map(np.concatenate, zip(*found, strict=True))
+            at = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(at), batch.column(2).take(at), pa.array((key % _U64(sorts)).astype(np.int32)),
-                 pa.array(key.view(np.int64)), pa.array(np.concatenate(regions).view(np.int64)),
-                 pa.array(np.concatenate(begins), pa.int64()), pa.array(np.concatenate(ends), pa.int64())],
+                 pa.array(key.view(np.int64)), pa.array(region.view(np.int64)),
+                 pa.array(begin, pa.int64()), pa.array(end, pa.int64())],
                 names=["doc_id", "th", "search", "m", "r", "s", "e"])
         release_memory()
 

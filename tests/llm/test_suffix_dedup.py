@@ -139,3 +139,29 @@ def test_release_memory_hands_back_what_small_objects_leave():
     before = status()
     release_memory()
     assert before - status() > 100_000 and len(held) == 200
+
+
+def test_runs_of_texts_searched_together_are_those_of_each():
+    rng = np.random.default_rng(4)
+    for search in (S.byte_search(40), S.word_search(6), S.Search(1, gram=1), S.Search(5, gram=5)):
+        texts = [rng.integers(0, v, n).astype(search.dtype) for n in (0, 3, 39, 40, 41, 500, 5, 6, 7, 200, 1, 0) for v in (1, 3, 200)]
+        data, size = np.concatenate(texts), np.array(list(map(len, texts)))
+        key, a, b = S.runs_of(data, search, size)
+        got = list(zip(key.tolist(), a.tolist(), b.tolist(), S.region_hashes(data, a, b + search.length - 1).tolist()))
+        want, at = [], 0
+        for x in texts:
+            key, a, b = S.runs_of(x, search)
+            h = S.region_hashes(x, a, b + search.length - 1)
+            want += list(zip(key.tolist(), (a + at).tolist(), (b + at).tolist(), h.tolist()))
+            starts = np.concatenate([np.arange(i, j) for i, j in zip(a, b)]) if len(a) else a
+            assert starts.tolist() == list(range(max(0, len(x) - search.length + 1)))
+            at += len(x)
+        assert got == want and want
+
+
+def test_powers_are_computed_once():
+    for n in (1, 2, 5, 4_096, 4_097, S.KEPT_POWERS + 3, 7):
+        got = S._powers(S._INVERSE, n)
+        assert len(got) == n and all(int(got[k]) == pow(S._INVERSE, k, 1 << 64) for k in {0, n // 2, n - 1})
+    assert np.shares_memory(S._powers(S._INVERSE, 100), S._powers(S._INVERSE, 3_000))
+    assert max(map(len, S._kept_powers.values())) <= S.KEPT_POWERS
