@@ -315,3 +315,47 @@ def test_words_are_not_joined_beside_a_special_token_with_a_blank(tmp_path):
     encoder = PieceEncoder(str(path))
     got = [np.frombuffer(raw, "<u4").tolist() for raw in encoder.each_bytes(pa.array(texts))]
     assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def _letters(rng, alphabet, n):
+    return sorted({"".join(rng.choice(alphabet) for _ in range(rng.randrange(3, 9))) for _ in range(n)})
+
+
+def test_ascii_words_skip_the_pre_tokenizer(library):
+    encode, _ = library
+    rng = random.Random(10)
+    words = _letters(rng, "abcdefghiJKL", 1500) + _letters(rng, "éüÖßāz", 700)
+    rng.shuffle(words)
+    texts = ["x " + " ".join(words[k:k + 50]) for k in range(0, len(words), 50)]
+    encoder = PieceEncoder()
+    _, batches = _counted(encoder)
+    got = [np.frombuffer(raw, "<u4").tolist() for raw in encoder.each_bytes(pa.array(texts))]
+    assert got == [encode(t) for t in texts]
+    sent = " ".join(t for batch in batches for t in batch).split()
+    assert sorted(sent) == sorted(w for w in words if not w.isascii())
+
+
+def test_words_used_last_are_remembered_up_to_a_size(monkeypatch, library):
+    from footfall.llm import bpe
+    encode, _ = library
+    monkeypatch.setattr(bpe, "WORD_BYTES", 20_000)
+    rng = random.Random(11)
+    often = _letters(rng, "éüÖß", 100)
+    encoder = PieceEncoder()
+    _, batches = _counted(encoder)
+    for k in range(20):
+        rare = _letters(rng, "āēīō", 100)
+        texts = ["x " + " ".join(often), "y " + " ".join(w + "," for w in rare)]
+        got = [np.frombuffer(raw, "<u4").tolist() for raw in encoder.each_bytes(pa.array(texts))]
+        assert got == [encode(t) for t in texts]
+        assert sum(len(w.encode()) + len(ids) + 12 for w, ids in zip(
+            *(x.to_pylist() for x in encoder.words), strict=True)) <= 20_000
+    sent = " ".join(t for batch in batches for t in batch).split()
+    assert all(sent.count(w) == 1 for w in often)
+
+
+def test_long_and_many_marks_after_words_equal_the_library(library):
+    encode, _ = library
+    texts = ["a word" + "." * n + " word" + "!)" * (n % 7) + " ñu" + "-" * n for n in range(60)]
+    got = [np.frombuffer(raw, "<u4").tolist() for raw in PieceEncoder().each_bytes(pa.array(texts))]
+    assert got == [encode(t) for t in texts]
